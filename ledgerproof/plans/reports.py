@@ -98,15 +98,21 @@ def run_all(
     out_dir: str,
 ) -> dict[str, str]:
     """Runs the three main reports in order and writes each as CSV; returns the folders."""
-    steps: dict[str, Callable[[], DataFrame]] = {
-        "join_diff": lambda: join_diff(payout, bank, cfg),
-        "payout_not_bank": lambda: cutoff.payout_not_bank_cutoff(payout, bank, full_bank, cfg),
-        "bank_not_payout": lambda: cutoff.bank_not_payout_cutoff(
-            payout, bank, payment, full_payout, cfg
+    steps: list[tuple[str, Callable[[], DataFrame], list[str]]] = [
+        ("join_diff", lambda: join_diff(payout, bank, cfg), []),
+        (
+            "payout_not_bank",
+            lambda: cutoff.payout_not_bank_cutoff(payout, bank, full_bank, cfg),
+            ["tms_cutoff_year", "tms_cutoff_month", "provider_flag"],
         ),
-    }
+        (
+            "bank_not_payout",
+            lambda: cutoff.bank_not_payout_cutoff(payout, bank, payment, full_payout, cfg),
+            ["payout_from_year", "payout_from_month", "exists_in_full_payout"],
+        ),
+    ]
     written = {}
-    for name, build in steps.items():
+    for name, build, order_by in steps:
         written[name] = f"{out_dir.rstrip('/')}/{name}"
-        write_report(build(), written[name])
+        write_report(build(), written[name], order_by)
     return written

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,6 +50,12 @@ def local_session(cores: int = 8, app: str = "ledgerproof") -> SparkSession:
     )
 
 
+def setting_in_bytes(value: str) -> int:
+    """A size setting such as ``128MB`` or ``134217728`` as a number of bytes."""
+    digits, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", value.strip().lower()).groups()
+    return int(digits) * 1024 ** " kmgtp".index(unit or " ")
+
+
 @functools.cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="ledgerproof-")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import null_if_empty
+from ..functions import escape_preview, null_if_empty
 from .headers import clean_header, read_header, text_schema
 from .records import field_count, read_records
 
@@ -107,19 +107,41 @@ def read_tolerant(spark: SparkSession, path: str, cap: int = REJECT_CAP) -> Data
     return good
 
 
-def read_strict(spark: SparkSession, path: str, show: int = 20) -> DataFrame:
-    """All rows, or an error that lists the first malformed records with their position."""
-    from .quality import bad_structure
+def preview(parsed: DataFrame, fields: int, chars: int) -> Column:
+    """The first cells of a record, shortened, for messages and reports."""
+    names = parsed.schema["cells"].dataType.names[:fields]
+    cells = [escape_preview(F.coalesce(F.col("cells").getField(n), F.lit("")), chars) for n in names]
+    return F.array_join(F.array(*cells), " | ")
 
-    found = bad_structure(spark, path).orderBy("file", "record_num").limit(show).collect()
-    if found:
-        lines = [
-            f"record {r.record_num}, lines {r.start_line}-{r.end_line}: "
-            f"{r.actual_fields} fields instead of {r.expected_fields}: {r.preview}"
-            for r in found
-        ]
-        raise RejectedRows(f"malformed records in {path}\n" + "\n".join(lines))
-    return read_quoted(spark, path)
+
+def read_strict(spark: SparkSession, path: str) -> DataFrame:
+    """All rows; a query that reads or writes any of the columns fails at a malformed record.
+
+    The check is part of the same pass, and the message says where the record is and
+    what it looks like. The structure report lists all of them.
+    """
+    parsed = read_parsed(spark, path)
+    message = F.concat(
+        F.lit("malformed record "),
+        F.col("record_num").cast("string"),
+        F.lit(", lines "),
+        F.col("start_line").cast("string"),
+        F.lit("-"),
+        F.col("end_line").cast("string"),
+        F.lit(" of "),
+        F.col("file"),
+        F.lit(": "),
+        F.col("fields").cast("string"),
+        F.lit(" fields instead of "),
+        F.col("expected").cast("string"),
+        F.lit(": "),
+        preview(parsed, 8, 80),
+    )
+    # In the projection and not in a filter: a filter may be moved to lines that are no records.
+    checked = F.when(
+        F.col("fields") != F.col("expected"), F.raise_error(message).cast(parsed.schema["cells"].dataType)
+    ).otherwise(F.col("cells"))
+    return parsed.withColumn("cells", checked).select("cells.*")
 
 
 def empty_to_null(df: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import escape_preview, has_line_break, joined_where
 from ..operators.perkey import distinct_keys
 from ..operators.skew import spread_join
-from .csvfiles import read_parsed
+from .csvfiles import preview, read_parsed
 from .headers import clean_header, read_header
-from .records import raw_lines, read_records
+from .records import file_totals, numbered_lines, raw_lines
 
 
 def physical_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,8 +45,9 @@ def line_vs_record_count(spark: SparkSession, path: str, loaded: DataFrame) -> D
 def record_shape(spark: SparkSession, path: str) -> DataFrame:
     """One row: logical records without the header, and columns in the header."""
     columns = len(read_header(spark, path))
-    return read_records(spark, path).where("record_num > 0").agg(
-        F.count("*").alias("records"), F.lit(columns).cast("bigint").alias("columns")
+    return file_totals(spark, path).agg(
+        F.sum(F.col("records") - 1).cast("bigint").alias("records"),
+        F.lit(columns).cast("bigint").alias("columns"),
     )
 
 
@@ -69,7 +70,7 @@ def multiline_records(
     key_cell = F.col("cells").getField(key) if key in names else F.lit("")
     return (
         read_parsed(spark, path)
-        .where("end_line > start_line OR " + _any_break("raw"))
+        .where((F.col("end_line") > F.col("start_line")) | has_line_break("raw"))
         .select(
             "file",
             "record_num",
@@ -84,17 +85,16 @@ def multiline_records(
     )
 
 
-def _any_break(column: str) -> str:
-    return f"contains({column}, '\\n') OR contains({column}, '\\r')"
-
-
 def multiline_totals(spark: SparkSession, path: str) -> DataFrame:
-    """One row: records scanned, multi-line records and the sum of their extra lines."""
-    several = F.col("end_line") > F.col("start_line")
-    return read_records(spark, path).where("record_num > 0").agg(
-        F.count("*").alias("scanned_records"),
-        F.count_if(several | F.expr(_any_break("raw"))).alias("multiline_records"),
-        F.sum(F.col("end_line") - F.col("start_line")).cast("bigint").alias("extra_physical_lines"),
+    """One row: records scanned, multi-line records and the sum of their extra lines.
+
+    Only flags of the lines are looked at; no record is put together for this.
+    """
+    lines = numbered_lines(spark, path, columns=("inner_cr",)).where("record_num > 0")
+    return lines.agg(
+        F.count_if(F.col("starts")).alias("scanned_records"),
+        F.count_if(F.col("starts") & (~F.col("whole") | F.col("inner_cr"))).alias("multiline_records"),
+        F.count_if(~F.col("starts")).alias("extra_physical_lines"),
     )
 
 
@@ -102,20 +102,15 @@ def bad_structure(
     spark: SparkSession, path: str, preview_fields: int = 8, preview_chars: int = 80
 ) -> DataFrame:
     """Records whose field count differs from the header's, blank lines included."""
-    names = clean_header(read_header(spark, path))[:preview_fields]
-    cells = [escape_preview(F.coalesce(F.col("cells").getField(n), F.lit("")), preview_chars) for n in names]
-    return (
-        read_parsed(spark, path)
-        .where("fields <> expected")
-        .select(
-            "file",
-            "record_num",
-            "start_line",
-            "end_line",
-            F.col("fields").alias("actual_fields"),
-            F.col("expected").alias("expected_fields"),
-            F.array_join(F.array(*cells), " | ").alias("preview"),
-        )
+    parsed = read_parsed(spark, path)
+    return parsed.where("fields <> expected").select(
+        "file",
+        "record_num",
+        "start_line",
+        "end_line",
+        F.col("fields").alias("actual_fields"),
+        F.col("expected").alias("expected_fields"),
+        preview(parsed, preview_fields, preview_chars).alias("preview"),
     )
 
 

@@ -16,9 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import setting_in_bytes
+
 # A record may not be longer than this; a longer one is a quote that was never closed.
 MAX_RECORD_BYTES = 64 * 1024 * 1024
 
+# The offsets are broadcast up to this many splits (about 200 bytes each, 250 TB of files
+# in splits of 256 MB); beyond it the join is left to Spark.
+MAX_BROADCAST_SPLITS = 1_000_000
+
 
 def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """Physical lines with the split they start in and their number of quotes."""
@@ -32,49 +38,52 @@ def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
             F.col("_metadata.file_block_start").alias("split_start"),
             (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))).alias("quotes"),
             (F.octet_length(value) + 1).cast("bigint").alias("line_bytes"),
+            F.contains(F.rtrim(value, F.lit("\r")), F.lit("\r")).alias("inner_cr"),
         )
     )
 
 
-def _number_in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds, per split: the line's index, the quote parity before it, and how many lines
-    up to it start with even parity. A task reads its splits one after the other."""
-    split, line, parity, evens = None, 0, 0, 0
-    for batch in batches:
-        n = batch.num_rows
-        starts = batch.column("split_start").to_numpy(zero_copy_only=False)
-        files = batch.column("file").dictionary_encode()
-        codes = files.indices.to_numpy(zero_copy_only=False)
-        quotes = batch.column("quotes").to_numpy(zero_copy_only=False).astype(np.int64)
-        changed = np.flatnonzero((np.diff(starts) != 0) | (np.diff(codes) != 0)) + 1
-        out_line, out_parity, out_evens = (np.empty(n, np.int64) for _ in range(3))
-        for lo, hi in zip([0, *changed], [*changed, n]):
-            if lo == hi:
-                continue
-            here = (files.dictionary[int(codes[lo])].as_py(), int(starts[lo]))
-            if here != split:
-                split, line, parity, evens = here, 0, 0, 0
-            upto = parity + np.cumsum(quotes[lo:hi])
-            before = (upto - quotes[lo:hi]) & 1
-            out_line[lo:hi] = line + np.arange(hi - lo)
-            out_parity[lo:hi] = before
-            out_evens[lo:hi] = evens + np.cumsum(before == 0)
-            line, parity, evens = line + hi - lo, int(upto[-1]) & 1, int(out_evens[hi - 1])
-        added = {"idx": out_line, "parity": out_parity, "evens": out_evens}
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, *(pa.array(v) for v in added.values())],
-            names=[*batch.schema.names, *added],
-        )
-
-
 def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with idx, parity and evens, each counted from the start of the line's split."""
+
+    def number_in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds, per split: the line's index, the quote parity before it, and how many lines
+        up to it start with even parity. A task reads its splits one after the other."""
+        split, line, parity, evens = None, 0, 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            starts = batch.column("split_start").to_numpy(zero_copy_only=False)
+            files = batch.column("file").dictionary_encode()
+            codes = files.indices.to_numpy(zero_copy_only=False)
+            quotes = batch.column("quotes").to_numpy(zero_copy_only=False).astype(np.int64)
+            changed = np.flatnonzero((np.diff(starts) != 0) | (np.diff(codes) != 0)) + 1
+            out_line, out_parity, out_evens = (np.empty(n, np.int64) for _ in range(3))
+            for lo, hi in zip([0, *changed], [*changed, n]):
+                if lo == hi:
+                    continue
+                here = (files.dictionary[int(codes[lo])].as_py(), int(starts[lo]))
+                if here != split:
+                    split, line, parity, evens = here, 0, 0, 0
+                upto = parity + np.cumsum(quotes[lo:hi])
+                before = (upto - quotes[lo:hi]) & 1
+                out_line[lo:hi] = line + np.arange(hi - lo)
+                out_parity[lo:hi] = before
+                out_evens[lo:hi] = evens + np.cumsum(before == 0)
+                line, parity, evens = line + hi - lo, int(upto[-1]) & 1, int(out_evens[hi - 1])
+            added = {"idx": out_line, "parity": out_parity, "evens": out_evens}
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(v) for v in added.values())],
+                names=[*batch.schema.names, *added],
+            )
+
+    # Defined here, the function travels to the executors by value, without this package.
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields)
-    return lines.mapInArrow(_number_in_split, f"{schema}, idx bigint, parity bigint, evens bigint")
+    return lines.mapInArrow(number_in_split, f"{schema}, idx bigint, parity bigint, evens bigint")
 
 
-def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
-    """One row per split: lines and records before it, and the quote state at its start."""
-    per_split = (
+def split_totals(lines: DataFrame) -> DataFrame:
+    """One row per split: its lines, quotes, bytes, and lines with even parity before them."""
+    return (
         _numbered(lines.select("file", "split_start", "quotes", "line_bytes"))
         .groupBy("file", "split_start")
         .agg(
@@ -84,6 +93,10 @@ def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) ->
             F.max("evens").alias("evens"),
         )
     )
+
+
+def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
+    """One row per split: lines and records before it and in it, and the quote state at its start."""
     # One row per split, so even a file of 100 TB is some 400,000 rows here.
     earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(
         Window.unboundedPreceding, -1
@@ -104,7 +117,8 @@ def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) ->
         F.col("line_offset").cast("string"),
     )
     return (
-        per_split.withColumn("line_offset", before(F.col("lines")))
+        split_totals(lines)
+        .withColumn("line_offset", before(F.col("lines")))
         .withColumn("start_parity", before(F.col("quotes")) % 2)
         .withColumn(
             "starts",
@@ -114,34 +128,61 @@ def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) ->
             ).otherwise(starts),
         )
         .withColumn("record_offset", before(F.col("starts")))
-        .select("file", "split_start", "line_offset", "start_parity", "record_offset")
+        .select("file", "split_start", "line_offset", "start_parity", "record_offset", "lines", "starts")
     )
 
 
+def _few_splits(spark: SparkSession, path: str) -> bool:
+    """Whether the files can have at most MAX_BROADCAST_SPLITS splits, by their sizes alone."""
+    split_bytes = setting_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    files = spark.read.format("binaryFile").load(path)  # listed, not read: content is not selected
+    size = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    return size.n + size.b / split_bytes <= MAX_BROADCAST_SPLITS
+
+
 def numbered_lines(
-    spark: SparkSession, path: str, quote: str = '"', max_record_bytes: int = MAX_RECORD_BYTES
+    spark: SparkSession,
+    path: str,
+    quote: str = '"',
+    max_record_bytes: int = MAX_RECORD_BYTES,
+    columns: tuple[str, ...] = ("value",),
 ) -> DataFrame:
-    """Every physical line with its line number (from 1) and record number (header is 0)."""
+    """Every physical line with its line number (from 1) and record number (header is 0).
+
+    ``columns`` of the raw lines are kept. ``starts`` marks the first line of a record
+    and ``whole`` a line that is a record by itself.
+    """
     lines = raw_lines(spark, path, quote)
-    offsets = split_offsets(lines, max_record_bytes)
+    offsets = split_offsets(lines, max_record_bytes).drop("lines", "starts")
+    if _few_splits(spark, path):
+        offsets = F.broadcast(offsets)
     starts_so_far = F.when(F.col("start_parity") == 0, F.col("evens")).otherwise(
         F.col("idx") + 1 - F.col("evens")
     )
+    starts = (F.col("parity") + F.col("start_parity")) % 2 == 0
     return (
-        _numbered(lines.select("value", "file", "split_start", "quotes"))
+        _numbered(lines.select(*columns, "file", "split_start", "quotes"))
         .join(offsets, ["file", "split_start"])
         .select(
             "file",
-            "value",
+            *columns,
             (F.col("line_offset") + F.col("idx") + 1).alias("line_num"),
             (F.col("record_offset") + starts_so_far - 1).alias("record_num"),
-            (((F.col("parity") + F.col("start_parity")) % 2 == 0) & (F.col("quotes") % 2 == 0)).alias(
-                "whole"
-            ),
+            starts.alias("starts"),
+            (starts & (F.col("quotes") % 2 == 0)).alias("whole"),
         )
     )
 
 
+def file_totals(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """Per file: physical lines and records, header included, from the split table alone."""
+    return (
+        split_offsets(raw_lines(spark, path, quote))
+        .groupBy("file")
+        .agg(F.sum("lines").alias("lines"), F.sum("starts").alias("records"))
+    )
+
+
 def read_records(
     spark: SparkSession, path: str, quote: str = '"', max_record_bytes: int = MAX_RECORD_BYTES
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +40,24 @@ def typed_ledger(df: DataFrame, created_at: str, amounts: list[str]) -> DataFram
 def write_typed_ledger(df: DataFrame, path: str) -> DataFrame:
     """Stores a typed ledger by month, so a period report opens only its own months.
 
-    Rows stay where they are read: there is no shuffle, so a large month is written
-    by all the tasks that hold a part of it.
+    The rebalance hint gathers a month into files of a useful size and, at run time,
+    splits a month that is too large for one task.
     """
-    df.write.mode("overwrite").partitionBy("ledger_month").option(
+    df.hint("rebalance", "ledger_month").write.mode("overwrite").partitionBy("ledger_month").option(
         "maxRecordsPerFile", ROWS_PER_FILE
     ).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """One CSV file with header. Reports are aggregates of at most some hundred rows."""
-    report.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
+def write_report(report: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+    """One CSV file with header, for reports: aggregates of at most some hundred rows.
+
+    The aggregate itself stays parallel; only its result goes to the writing task.
+    """
+    rows = report.repartition(1)
+    if order_by:
+        rows = rows.sortWithinPartitions(*order_by)
+    rows.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def jdbc_options(

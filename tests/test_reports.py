@@ -5,6 +5,7 @@ import random
 import duckdb
 import pytest
 from oracle_check import as_bag
+from pyspark.sql import functions as F
 
 from ledgerproof import sample
 from ledgerproof.functions import money
@@ -148,3 +149,15 @@ def test_empty_ledgers(spark, case):
     empty = frames["full_payout"].limit(0)
     row = reports.join_diff(empty, frames["full_bank"], CFG).first()
     assert (row.cnt, row.sum_diff_usd) == (0, None)
+
+
+@pytest.mark.parametrize("sum_bank_first", [True, False])
+def test_bad_amounts_outside_the_period_do_not_stop_strict_reports(spark, case, sum_bank_first):
+    frames, _ = case
+    p, b = frames["full_payout"], frames["full_bank"]
+    late = {"withdrawal_created_at": "2001-01-01", "total_cashout_usd": "no amount"}
+    bad_p = p.limit(20).withColumns({c: F.lit(v) for c, v in late.items()})
+    bad_b = b.limit(20).withColumns({"created_at": F.lit("2001-01-01"), "usd_amount": F.lit("no amount")})
+    report = reports.join_diff_by_method(p.union(bad_p), b.union(bad_b), CFG, sum_bank_first=sum_bank_first)
+    same = reports.join_diff_by_method(p, b, CFG, sum_bank_first=sum_bank_first)
+    assert sorted(map(str, report.collect())) == sorted(map(str, same.collect()))

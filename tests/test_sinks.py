@@ -2,14 +2,14 @@ import csv
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 
 from ledgerproof import sample
 from ledgerproof.config import Period
 from ledgerproof.functions import in_period
 from ledgerproof.plans import load, reports
-from ledgerproof.session import cluster_conf
+from ledgerproof.session import cluster_conf, setting_in_bytes
 from ledgerproof.sources import sinks
-from ledgerproof.sources.csvfiles import RejectedRows
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,7 +88,7 @@ def test_load_job_stages_every_table_in_order(spark, tmp_path):
     a = spark.read.parquet(str(staged / "a"))
     assert a.columns == ["Key_ID", "when"]
     assert a.where(in_period("when", Period("1998-10-01", "1999-01-01"))).count() == 1
-    with pytest.raises(RejectedRows):
+    with pytest.raises(PySparkException, match="malformed record 2, lines 3-3 .* 1 fields instead of 2: 3 |"):
         load.load_all(spark, [load.LoadJob("b", str(raw / "b.csv"), "strict")], str(staged))
 
 
@@ -114,3 +114,8 @@ def test_cluster_settings_grow_with_the_data():
     small, large = cluster_conf(10**9, 16), cluster_conf(5 * 10**12, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 32
     assert int(large["spark.sql.shuffle.partitions"]) > 18_000
+
+
+def test_size_settings():
+    values = ("300", "128MB", "134217728b", "1g", "64k")
+    assert [setting_in_bytes(v) for v in values] == [300, 128 << 20, 128 << 20, 1 << 30, 64 << 10]
