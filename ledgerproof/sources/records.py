@@ -2,21 +2,23 @@
 
 A quoted field may hold line breaks, so a line alone does not tell whether it starts a
 record: that takes the number of quotes before it, back to the start of the file. Here
-every split is scanned on its own, for both possible states at its start; a running sum
-over one small row per split then says which of the two applies. The text itself is not
-shuffled, except the lines of records that span several lines.
+every split is first counted on its own, for both possible states at its start; a running
+sum over one small row per split then says which of the two applies. With that known, each
+task joins the lines of its records by itself. Nothing but the two records that a split
+shares with its neighbours is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import setting_in_bytes
+from . import linescan
+
+# The scan functions travel to the executors with the query; the package need not be there.
+cloudpickle.register_pickle_by_value(linescan)
 
 # A record may not be longer than this; a longer one is a quote that was never closed.
 MAX_RECORD_BYTES = 64 * 1024 * 1024
@@ -29,6 +31,7 @@ MAX_BROADCAST_SPLITS = 1_000_000
 def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """Physical lines with the split they start in and their number of quotes."""
     value = F.col("value")
+    without = F.octet_length(F.replace(value, F.lit(quote), F.lit("")))
     return (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -36,62 +39,24 @@ def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
             value,
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split_start"),
-            (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))).alias("quotes"),
+            F.when(F.contains(value, F.lit(quote)), F.octet_length(value) - without)
+            .otherwise(F.lit(0))
+            .alias("quotes"),
             (F.octet_length(value) + 1).cast("bigint").alias("line_bytes"),
             F.contains(F.rtrim(value, F.lit("\r")), F.lit("\r")).alias("inner_cr"),
+            F.monotonically_increasing_id().alias("pos"),
         )
     )
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Lines with idx, parity and evens, each counted from the start of the line's split."""
-
-    def number_in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds, per split: the line's index, the quote parity before it, and how many lines
-        up to it start with even parity. A task reads its splits one after the other."""
-        split, line, parity, evens = None, 0, 0, 0
-        for batch in batches:
-            n = batch.num_rows
-            starts = batch.column("split_start").to_numpy(zero_copy_only=False)
-            files = batch.column("file").dictionary_encode()
-            codes = files.indices.to_numpy(zero_copy_only=False)
-            quotes = batch.column("quotes").to_numpy(zero_copy_only=False).astype(np.int64)
-            changed = np.flatnonzero((np.diff(starts) != 0) | (np.diff(codes) != 0)) + 1
-            out_line, out_parity, out_evens = (np.empty(n, np.int64) for _ in range(3))
-            for lo, hi in zip([0, *changed], [*changed, n]):
-                if lo == hi:
-                    continue
-                here = (files.dictionary[int(codes[lo])].as_py(), int(starts[lo]))
-                if here != split:
-                    split, line, parity, evens = here, 0, 0, 0
-                upto = parity + np.cumsum(quotes[lo:hi])
-                before = (upto - quotes[lo:hi]) & 1
-                out_line[lo:hi] = line + np.arange(hi - lo)
-                out_parity[lo:hi] = before
-                out_evens[lo:hi] = evens + np.cumsum(before == 0)
-                line, parity, evens = line + hi - lo, int(upto[-1]) & 1, int(out_evens[hi - 1])
-            added = {"idx": out_line, "parity": out_parity, "evens": out_evens}
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(v) for v in added.values())],
-                names=[*batch.schema.names, *added],
-            )
-
-    # Defined here, the function travels to the executors by value, without this package.
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields)
-    return lines.mapInArrow(number_in_split, f"{schema}, idx bigint, parity bigint, evens bigint")
-
-
 def split_totals(lines: DataFrame) -> DataFrame:
     """One row per split: its lines, quotes, bytes, and lines with even parity before them."""
-    return (
-        _numbered(lines.select("file", "split_start", "quotes", "line_bytes"))
-        .groupBy("file", "split_start")
-        .agg(
-            F.count("*").alias("lines"),
-            F.sum("quotes").alias("quotes"),
-            F.sum("line_bytes").alias("bytes"),
-            F.max("evens").alias("evens"),
-        )
+    counted = lines.select("file", "split_start", "quotes", "line_bytes").mapInArrow(
+        linescan.count_splits,
+        "file string, split_start bigint, lines bigint, quotes bigint, bytes bigint, evens bigint",
+    )
+    return counted.groupBy("file", "split_start").agg(
+        *[F.sum(c).alias(c) for c in ("lines", "quotes", "bytes", "evens")]
     )
 
 
@@ -140,6 +105,23 @@ def _few_splits(spark: SparkSession, path: str) -> bool:
     return size.n + size.b / split_bytes <= MAX_BROADCAST_SPLITS
 
 
+def _with_offsets(
+    spark: SparkSession, path: str, columns: list[str], quote: str, max_record_bytes: int
+) -> DataFrame:
+    """Lines in file order within each split, next to the offsets of their split.
+
+    A broadcast leaves the lines where and in the order they are read. With too many
+    splits for that, the lines are brought together by split and put in order again.
+    """
+    lines = raw_lines(spark, path, quote)
+    offsets = split_offsets(lines, max_record_bytes).drop("lines", "starts")
+    rows = lines.select(*dict.fromkeys([*columns, "file", "split_start", "quotes", "pos"]))
+    if _few_splits(spark, path):
+        return rows.join(F.broadcast(offsets), ["file", "split_start"])
+    joined = rows.join(offsets, ["file", "split_start"])
+    return joined.repartition("file", "split_start").sortWithinPartitions("file", "split_start", "pos")
+
+
 def numbered_lines(
     spark: SparkSession,
     path: str,
@@ -152,25 +134,17 @@ def numbered_lines(
     ``columns`` of the raw lines are kept. ``starts`` marks the first line of a record
     and ``whole`` a line that is a record by itself.
     """
-    lines = raw_lines(spark, path, quote)
-    offsets = split_offsets(lines, max_record_bytes).drop("lines", "starts")
-    if _few_splits(spark, path):
-        offsets = F.broadcast(offsets)
-    starts_so_far = F.when(F.col("start_parity") == 0, F.col("evens")).otherwise(
-        F.col("idx") + 1 - F.col("evens")
-    )
-    starts = (F.col("parity") + F.col("start_parity")) % 2 == 0
-    return (
-        _numbered(lines.select(*columns, "file", "split_start", "quotes"))
-        .join(offsets, ["file", "split_start"])
-        .select(
-            "file",
-            *columns,
-            (F.col("line_offset") + F.col("idx") + 1).alias("line_num"),
-            (F.col("record_offset") + starts_so_far - 1).alias("record_num"),
-            starts.alias("starts"),
-            (starts & (F.col("quotes") % 2 == 0)).alias("whole"),
-        )
+    lines = _with_offsets(spark, path, list(columns), quote, max_record_bytes)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields)
+    return lines.mapInArrow(
+        linescan.number_lines, f"{schema}, line_num bigint, record_num bigint, starts boolean"
+    ).select(
+        "file",
+        *columns,
+        "line_num",
+        "record_num",
+        "starts",
+        (F.col("starts") & (F.col("quotes") % 2 == 0)).alias("whole"),
     )
 
 
@@ -188,30 +162,25 @@ def read_records(
 ) -> DataFrame:
     """CSV records as raw text: file, record_num, start_line, end_line, raw.
 
-    A record on one line is passed on as it is; only lines of longer records are
-    brought together, and a record is bounded by ``max_record_bytes``.
+    Records within a split are joined where they are read; only the pieces of records
+    that straddle a split end are shuffled, at most two per split.
     """
-    lines = numbered_lines(spark, path, quote, max_record_bytes)
-    single = lines.where("whole").select(
-        "file",
-        "record_num",
-        F.col("line_num").alias("start_line"),
-        F.col("line_num").alias("end_line"),
-        F.col("value").alias("raw"),
-    )
-    parts = F.sort_array(F.collect_list(F.struct("line_num", "value")))
-    several = (
-        lines.where("NOT whole")
+    lines = _with_offsets(spark, path, ["value"], quote, max_record_bytes)
+    schema = "file string, record_num bigint, start_line bigint, end_line bigint, raw string"
+    inside = lines.mapInArrow(linescan.join_records(fragments=False), schema)
+    pieces = F.sort_array(F.collect_list(F.struct("start_line", "raw")))
+    straddling = (
+        lines.mapInArrow(linescan.join_records(fragments=True), schema)
         .groupBy("file", "record_num")
         .agg(
-            F.min("line_num").alias("start_line"),
-            F.max("line_num").alias("end_line"),
-            F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("raw"),
+            F.min("start_line").alias("start_line"),
+            F.max("end_line").alias("end_line"),
+            F.array_join(F.transform(pieces, lambda p: p["raw"]), "\n").alias("raw"),
         )
     )
     raw = F.col("raw")
     without_cr = F.when(F.endswith(raw, F.lit("\r")), F.left(raw, F.length(raw) - 1)).otherwise(raw)
-    return single.unionByName(several).withColumn("raw", without_cr)
+    return inside.unionByName(straddling).withColumn("raw", without_cr)
 
 
 def field_count(raw: Column | str, quote: str = '"', delimiter: str = ",") -> Column:

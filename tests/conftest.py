@@ -18,12 +18,16 @@ def spark():
 
 @pytest.fixture
 def small_splits(spark):
-    """Files are cut into splits of a few hundred bytes, so that records straddle them."""
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set(key, "300")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    yield 300
-    spark.conf.set(key, before)
-    spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    """Files are cut into splits of a few hundred bytes and these into batches of a few
+    lines, so that records straddle both."""
+    small = {
+        "spark.sql.files.maxPartitionBytes": "300",
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "3",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
-from ledgerproof.sources import csvfiles, quality
+from ledgerproof.sources import csvfiles, quality, records
 from ledgerproof.sources.headers import clean_header, clean_name, read_header
 from ledgerproof.sources.records import numbered_lines, raw_lines, read_records, split_offsets
 
@@ -54,8 +54,15 @@ def write(path, data: str) -> str:
     return str(path)
 
 
-@pytest.mark.parametrize("seed,newline,last", [(1, "\n", True), (2, "\r\n", True), (3, "\n", False)])
-def test_records_match_csv_reader_across_splits(spark, tmp_path, small_splits, seed, newline, last):
+@pytest.mark.parametrize(
+    "seed,newline,last,broadcast",
+    [(1, "\n", True, True), (2, "\r\n", True, True), (3, "\n", False, True), (7, "\n", True, False)],
+)
+def test_records_match_csv_reader_across_splits(
+    spark, tmp_path, small_splits, monkeypatch, seed, newline, last, broadcast
+):
+    if not broadcast:
+        monkeypatch.setattr(records, "MAX_BROADCAST_SPLITS", 0)
     data = random_csv(seed, 120, newline, last)
     path = write(tmp_path / "a.csv", data)
     splits = split_offsets(raw_lines(spark, path)).count()
