@@ -18,12 +18,6 @@ from .perkey import distinct_keys, totals_by, weighted_count, weighted_sum
 from .skew import spread_join
 
 
-def _provider_flag(cfg: ReconConfig) -> Column:
-    return F.when(
-        normalised(cfg.payout.provider) == cfg.flagged_provider, F.lit(cfg.flagged_label)
-    ).otherwise(F.lit(cfg.unflagged_label))
-
-
 def _period_bank_keys(bank: DataFrame, cfg: ReconConfig) -> DataFrame:
     return distinct_keys(bank_in_period(bank, cfg), cfg.bank.key, "bank_key")
 
@@ -41,17 +35,38 @@ def _without(left: DataFrame, key: str, others: DataFrame, other_key: str) -> Da
 
 
 def _unmatched_payout_totals(payout: DataFrame, bank: DataFrame, cfg: ReconConfig) -> DataFrame:
-    p = totals_by(
-        payout_in_period(payout, cfg),
-        [F.col(cfg.payout.key).alias("key"), _provider_flag(cfg).alias("provider_flag")],
-        {"initial_usd": try_money(cfg.payout.initial), "cashout_usd": try_money(cfg.payout.cashout)},
+    """One row per unmatched id, with the totals of the flagged provider and of the others
+    side by side: grouping by the id alone leaves the rows where the joins need them."""
+    is_flagged = normalised(cfg.payout.provider) == cfg.flagged_provider
+    flagged = F.coalesce(is_flagged, F.lit(False))
+    initial, cashout = try_money(cfg.payout.initial), try_money(cfg.payout.cashout)
+
+    def totals(condition: Column, label: str) -> Column:
+        return F.struct(
+            F.lit(label).alias("provider_flag"),
+            F.count_if(condition).alias("rows"),
+            F.sum(F.when(condition, initial)).cast(TOTAL).alias("initial_usd"),
+            F.sum(F.when(condition, cashout)).cast(TOTAL).alias("cashout_usd"),
+        )
+
+    per_id = payout_in_period(payout, cfg).groupBy(F.col(cfg.payout.key).alias("key")).agg(
+        totals(flagged, cfg.flagged_label).alias("flagged"),
+        totals(~flagged, cfg.unflagged_label).alias("unflagged"),
+    )
+    return _without(per_id, "key", _period_bank_keys(bank, cfg), "bank_key")
+
+
+def _one_row_per_flag(per_id: DataFrame, *columns: str) -> DataFrame:
+    return (
+        per_id.select("key", *columns, F.explode(F.array("flagged", "unflagged")).alias("side"))
+        .select("key", *columns, "side.*")
+        .where("rows > 0")
     )
-    return _without(p, "key", _period_bank_keys(bank, cfg), "bank_key")
 
 
 def payout_not_bank_totals(payout: DataFrame, bank: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Count and sums of the period's payouts that the bank ledger lacks."""
-    return _unmatched_payout_totals(payout, bank, cfg).agg(
+    return _one_row_per_flag(_unmatched_payout_totals(payout, bank, cfg)).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("cnt"),
         F.sum("initial_usd").cast(TOTAL).alias("sum_initial_withdrawal_usd"),
         F.sum("cashout_usd").cast(TOTAL).alias("sum_total_cashout_usd"),
@@ -89,8 +104,9 @@ def payout_not_bank_cutoff(
     unmatched = _unmatched_payout_totals(payout, bank, cfg)
     months = _bank_months(full_bank, cfg, earliest)
     times = F.coalesce("times", F.lit(1))
+    dated = unmatched.join(months, F.col("key") == F.col("bank_key"), "left")
     return (
-        unmatched.join(months, F.col("key") == F.col("bank_key"), "left")
+        _one_row_per_flag(dated, "y", "m", "times")
         .groupBy(
             F.col("y").alias("tms_cutoff_year"),
             F.col("m").alias("tms_cutoff_month"),
@@ -170,19 +186,28 @@ def payout_undated_rows(
     Either no bank row carries the id, or some carry it without a readable date;
     ``bank_rows`` says how many such rows there are (0 when the id is unknown).
     """
-    seen = (
-        full_bank.where(F.col(cfg.bank.key).isNotNull())
-        .groupBy(F.col(cfg.bank.key).alias("full_key"))
-        .agg(F.count_if(day_of(cfg.bank.created_at).isNull()).alias("undated"))
+    none = F.lit(0)
+    known = (
+        bank_in_period(bank, cfg)
+        .select(F.col(cfg.bank.key).alias("bank_key"), F.lit(1).alias("period"), none.alias("ever"), none.alias("no_day"))
+        .unionByName(
+            full_bank.select(
+                F.col(cfg.bank.key).alias("bank_key"),
+                none.alias("period"),
+                F.lit(1).alias("ever"),
+                day_of(cfg.bank.created_at).isNull().cast("int").alias("no_day"),
+            )
+        )
+        .where("bank_key IS NOT NULL")
+        .groupBy("bank_key")
+        .agg(*[F.sum(c).alias(c) for c in ("period", "ever", "no_day")])
     )
-    rows = unmatched_payout_rows(payout, bank, cfg)
+    rows = payout_in_period(payout, cfg).withColumn("withdrawal_date", day_of(cfg.payout.created_at))
     return (
-        spread_join(
-            rows, seen, cfg.payout.key, "full_key", "left", min_hot_rows=cfg.hot_key_rows
-        )
-        .where("full_key IS NULL OR undated > 0")
-        .withColumn("bank_rows", F.coalesce("undated", F.lit(0)).cast("bigint"))
-        .drop("full_key", "undated")
+        spread_join(rows, known, cfg.payout.key, "bank_key", "left", min_hot_rows=cfg.hot_key_rows)
+        .where("bank_key IS NULL OR (period = 0 AND (ever = 0 OR no_day > 0))")
+        .withColumn("bank_rows", F.coalesce("no_day", none).cast("bigint"))
+        .drop("bank_key", "period", "ever", "no_day")
     )
 
 
