@@ -60,6 +60,8 @@ class Scope:
     )
     different: tuple[tuple[str, str], ...] = (("type", "Returned"),)
     empty: tuple[str, ...] = ("receiver_id", "sender_id", "return_id")
+    # Databases often compare text without regard to case; Spark does so only on demand.
+    ignore_case: bool = False
 
 
 @dataclass(frozen=True)

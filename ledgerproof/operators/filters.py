@@ -13,8 +13,9 @@ from ..functions import in_period, is_blank, normalised, year_prefix
 
 def in_scope(scope: Scope) -> Column:
     """All scope conditions at once. ``<>`` drops a NULL type, as SQL does."""
-    terms = [F.col(c) == value for c, value in scope.equal]
-    terms += [F.col(c) != value for c, value in scope.different]
+    fold = (lambda c: F.lower(c)) if scope.ignore_case else (lambda c: c)
+    terms = [fold(F.col(c)) == fold(F.lit(value)) for c, value in scope.equal]
+    terms += [fold(F.col(c)) != fold(F.lit(value)) for c, value in scope.different]
     terms += [F.col(c).isNull() for c in scope.empty]
     combined = terms[0]
     for term in terms[1:]:

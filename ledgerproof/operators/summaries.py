@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,15 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("cnt"))
 
 
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, cnt) for several tables."""
+    counts = [
+        df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
+        for name, df in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 def month_histogram(df: DataFrame, text: str) -> DataFrame:
     """Rows per month; rows without a readable date form a group of their own."""
     day = day_of(text)

@@ -32,14 +32,13 @@ class LoadJob:
     mode: str = "strict"
 
 
-def load_all(spark: SparkSession, jobs: Iterable[LoadJob], target: str) -> dict[str, int]:
-    """Stages the tables one after the other; returns the rows of each as stored."""
-    counts = {}
+def load_all(spark: SparkSession, jobs: Iterable[LoadJob], target: str) -> dict[str, DataFrame]:
+    """Stages the tables one after the other; returns them as stored."""
+    stored = {}
     for job in jobs:
-        df = MODES[job.mode](spark, job.path)
-        stored = replace_table(csvfiles.empty_to_null(df), f"{target.rstrip('/')}/{job.table}")
-        counts[job.table] = stored.count()
-    return counts
+        df = csvfiles.empty_to_null(MODES[job.mode](spark, job.path))
+        stored[job.table] = replace_table(df, f"{target.rstrip('/')}/{job.table}")
+    return stored
 
 
 def check_loaded(

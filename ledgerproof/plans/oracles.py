@@ -91,6 +91,14 @@ SELECT {year('f.d')} AS tms_cutoff_year, {month('f.d')} AS tms_cutoff_month, {PR
 FROM p_only x LEFT JOIN {{full}} f ON x.tms_reconciliation_id = f.reconciliation_id
 GROUP BY 1, 2, 3, 4"""
 
+BANK_CUTOFF = (
+    f"SELECT {year('f.d')} AS payout_from_year, {month('f.d')} AS payout_from_month, "
+    "CASE WHEN f.tms_reconciliation_id IS NOT NULL THEN 1 ELSE 0 END AS exists_in_full_payout, "
+    "CASE WHEN t.withdrawal_id IS NOT NULL THEN 'contractor_withdrawal' ELSE 'other_withdrawal' END AS withdrawal_type, "
+    f"a.status, count(*) AS cnt, sum({AMOUNT}) AS sum_usd_amount FROM b_only t "
+    "LEFT JOIN (SELECT * FROM p WHERE d IS NOT NULL) f ON t.reconciliation_id = f.tms_reconciliation_id "
+    "LEFT JOIN apcw a ON t.withdrawal_id = a.withdrawal_id GROUP BY 1, 2, 3, 4, 5"
+)
 MULTI = "(length(text) - length(replace(text, chr(10), '')))"
 VALUE_COUNT = "SELECT '{c}' AS column_name, {c} AS value, count(*) AS cnt FROM {t} GROUP BY {c}"
 
@@ -176,15 +184,7 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN b f ON x.tms_reconciliation_id = f.reconciliation_id WHERE f.d IS NULL "
         f"GROUP BY {', '.join('x.' + c for c in PAYOUT_COLS.split(', '))}, x.d"
     ),
-    "bank_not_payout_cutoff": _tagged(
-        "LEFT",
-        f"SELECT {year('f.d')} AS payout_from_year, {month('f.d')} AS payout_from_month, "
-        "CASE WHEN f.tms_reconciliation_id IS NOT NULL THEN 1 ELSE 0 END AS exists_in_full_payout, "
-        "CASE WHEN t.withdrawal_id IS NOT NULL THEN 'contractor_withdrawal' ELSE 'other_withdrawal' END AS withdrawal_type, "
-        f"a.status, count(*) AS cnt, sum({AMOUNT}) AS sum_usd_amount FROM b_only t "
-        "LEFT JOIN (SELECT * FROM p WHERE d IS NOT NULL) f ON t.reconciliation_id = f.tms_reconciliation_id "
-        "LEFT JOIN apcw a ON t.withdrawal_id = a.withdrawal_id GROUP BY 1, 2, 3, 4, 5",
-    ),
+    "bank_not_payout_cutoff": _tagged("LEFT", BANK_CUTOFF),
     "bank_not_payout_by_status": _tagged(
         "INNER",
         f"SELECT {year('f.d')} AS cutoff_year, {month('f.d')} AS cutoff_month, a.status, count(*) AS cnt, "
@@ -329,6 +329,16 @@ ORACLES: dict[str, str] = {
     "report_csv": _sql(
         "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (" + CUTOFF.format(full="b").strip() + ")"
     ),
+    "table_from_csv": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+    "o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderpriority FROM orders",
+    "load_all": "SELECT 'documents' AS table_name, count(*) AS cnt FROM documents UNION ALL "
+    "SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'customers', count(*) FROM customer",
+    "run_all": _tagged(
+        "LEFT",
+        "SELECT 'join_diff' AS table_name, CAST(1 AS BIGINT) AS cnt UNION ALL "
+        f"SELECT 'payout_not_bank', count(*) FROM ({CUTOFF.format(full='b')}) UNION ALL "
+        f"SELECT 'bank_not_payout', count(*) FROM ({BANK_CUTOFF})",
+    ),
     "sql_report": _sql(
         f"SELECT lower(trim(payment_provider_name)) AS provider, count(*) AS cnt, "
         f"sum({CASH}) AS sum_total_cashout_usd FROM payout GROUP BY 1"
@@ -337,6 +347,10 @@ ORACLES: dict[str, str] = {
         "SELECT * FROM ar_ledger l WHERE NOT EXISTS "
         "(SELECT 1 FROM ar_loaded t WHERE t.unique_key = l.unique_key)"
     ),
+    "first_missing": _sql(
+        "SELECT unique_key FROM ar_ledger l WHERE NOT EXISTS "
+        "(SELECT 1 FROM ar_loaded t WHERE t.unique_key = l.unique_key) ORDER BY unique_key LIMIT 20"
+    ),
     "missing_csv_records": _sql(
         "SELECT * FROM ar_ledger l WHERE NOT EXISTS "
         "(SELECT 1 FROM ar_loaded t WHERE t.unique_key = l.unique_key)"

@@ -14,7 +14,7 @@ from ..operators import cutoff, filters, summaries
 from ..operators.controls import compare_controls, long_metrics, tie_out as tie_out_proof
 from ..session import scratch_dir
 from ..sources import csvfiles, quality, sinks
-from . import exports, reports
+from . import exports, load, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = sample.CONFIG
@@ -193,21 +193,15 @@ def control_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    frames = {
-        "ar_ledger": sample.ar_ledger(spark, sf),
-        "clearing": sample.clearing(spark, sf),
-        "full_bank": _bank(spark, sf),
-        "full_payout": _payout(spark, sf),
-        "payment": sample.payment(spark, sf),
-    }
-    counts = [
-        df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
-        for name, df in frames.items()
-    ]
-    result = counts[0]
-    for more in counts[1:]:
-        result = result.unionByName(more)
-    return result
+    return summaries.row_counts(
+        {
+            "ar_ledger": sample.ar_ledger(spark, sf),
+            "clearing": sample.clearing(spark, sf),
+            "full_bank": _bank(spark, sf),
+            "full_payout": _payout(spark, sf),
+            "payment": sample.payment(spark, sf),
+        }
+    )
 
 
 # -- profiles -----------------------------------------------------------------------------
@@ -442,6 +436,36 @@ def report_csv(spark: SparkSession, sf: str) -> DataFrame:
     return csvfiles.read_quoted_small_files(spark, path)
 
 
+@query
+def table_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Create-table-as-select from a CSV export."""
+    orders = csvfiles.read_quoted(spark, exports.orders_csv(spark, sf))
+    return sinks.create_table(orders, "ledgerproof_orders", scratch_dir(spark, "orders_table"))
+
+
+@query
+def load_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The load job over several exports, with the rows of each table as stored."""
+    jobs = [
+        load.LoadJob("documents", exports.documents_csv(spark, sf), "strict"),
+        load.LoadJob("orders", exports.orders_csv(spark, sf), "small_files"),
+        load.LoadJob("customers", exports.quoted_names_csv(spark, sf), "unquoted"),
+    ]
+    return summaries.row_counts(load.load_all(spark, jobs, scratch_dir(spark, "load_all")))
+
+
+@query
+def run_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The three main reports, written as CSV one after the other, and the rows of each."""
+    payout, bank = _payout(spark, sf), _bank(spark, sf)
+    written = reports.run_all(
+        payout, bank, sample.payment(spark, sf), payout, bank, CFG, scratch_dir(spark, "reports")
+    )
+    return summaries.row_counts(
+        {name: csvfiles.read_quoted_small_files(spark, path) for name, path in written.items()}
+    )
+
+
 @query
 def sql_report(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.run_sql(
@@ -466,6 +490,12 @@ def missing_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def first_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """The first findings only, in key order."""
+    return summaries.first_rows(missing_rows(spark, sf).select("unique_key"), 20, ["unique_key"])
+
+
 @query
 def missing_csv_records(spark: SparkSession, sf: str) -> DataFrame:
     """The same from the CSV export; the record number depends on the files, so it is left out."""

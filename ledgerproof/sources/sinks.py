@@ -23,9 +23,11 @@ def replace_table(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
     return df.sparkSession.read.parquet(path)
 
 
-def create_table_from_csv(df: DataFrame, name: str) -> None:
-    """Create-table-as-select into the session catalog."""
-    df.write.mode("overwrite").saveAsTable(name)
+def create_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Create-table-as-select into the session catalog; ``path`` makes it an external table."""
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def typed_ledger(df: DataFrame, created_at: str, amounts: list[str]) -> DataFrame:

@@ -99,3 +99,15 @@ def test_year_prefix_and_joined_names(spark):
         joined_where(["x", "y"], [F.col("t").contains("1998"), F.col("t").contains("-")]).alias("j")
     )
     assert [r.j for r in joined.collect()] == ["x;y", "", ""]
+
+
+def test_scope_without_regard_to_case(spark):
+    from ledgerproof.config import Scope
+    from ledgerproof.operators.filters import in_scope
+
+    rows = [("OUTGOING", "Sent"), ("outgoing", "sent"), ("Outgoing", "RETURNED"), ("OUTGOING", None)]
+    df = spark.createDataFrame(rows, "direction string, type string")
+    exact = Scope(equal=(("direction", "OUTGOING"),), empty=())
+    folded = Scope(equal=(("direction", "OUTGOING"),), empty=(), ignore_case=True)
+    assert df.where(in_scope(exact)).count() == 1
+    assert df.where(in_scope(folded)).count() == 2

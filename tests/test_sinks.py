@@ -44,12 +44,12 @@ def test_monthly_ledger_opens_only_its_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ledger_month" in plan
 
 
-def test_create_table_from_csv(spark):
-    spark.sql("DROP TABLE IF EXISTS staged_probe")
+def test_create_table_replaces_the_old_one(spark, tmp_path):
     try:
-        for _ in range(2):
-            sinks.create_table_from_csv(spark.createDataFrame([("a",)], "c string"), "staged_probe")
-        assert spark.table("staged_probe").count() == 1
+        for i in range(2):
+            df = spark.createDataFrame([("a",)], "c string")
+            table = sinks.create_table(df, "staged_probe", str(tmp_path / f"t{i}"))
+        assert table.count() == 1
     finally:
         spark.sql("DROP TABLE IF EXISTS staged_probe")
 
@@ -83,8 +83,8 @@ def test_load_job_stages_every_table_in_order(spark, tmp_path):
         load.LoadJob("b", str(raw / "b.csv"), "tolerant"),
         load.LoadJob("c", str(raw / "c.csv"), "unquoted"),
     ]
-    counts = load.load_all(spark, jobs, str(staged))
-    assert list(counts.items()) == [("a", 2), ("b", 2), ("c", 1)]
+    tables = load.load_all(spark, jobs, str(staged))
+    assert [(name, df.count()) for name, df in tables.items()] == [("a", 2), ("b", 2), ("c", 1)]
     a = spark.read.parquet(str(staged / "a"))
     assert a.columns == ["Key_ID", "when"]
     assert a.where(in_period("when", Period("1998-10-01", "1999-01-01"))).count() == 1
