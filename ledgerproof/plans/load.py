@@ -14,6 +14,7 @@ from ..sources.sinks import replace_table
 MODES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict": csvfiles.read_strict,
     "tolerant": csvfiles.read_tolerant,
+    "tolerant_unquoted": csvfiles.read_tolerant_unquoted,
     "quoted": csvfiles.read_quoted,
     "small_files": csvfiles.read_quoted_small_files,
     "unquoted": csvfiles.read_unquoted,

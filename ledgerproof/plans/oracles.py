@@ -172,14 +172,14 @@ ORACLES: dict[str, str] = {
         f"SELECT count(*) AS cnt, sum({INIT}) AS sum_initial_withdrawal_usd, "
         f"sum({CASH}) AS sum_total_cashout_usd FROM p_only"
     ),
-    "payout_unmatched_rows": _sql(f"SELECT {PAYOUT_COLS}, d AS withdrawal_date FROM p_only"),
+    "payout_unmatched_rows": _sql(f"SELECT {PAYOUT_COLS}, CAST(d AS VARCHAR) AS withdrawal_date FROM p_only"),
     "payout_unresolved_detail": _sql(
-        f"SELECT {PAYOUT_COLS}, x.d AS withdrawal_date FROM p_only x "
+        f"SELECT {PAYOUT_COLS}, CAST(x.d AS VARCHAR) AS withdrawal_date FROM p_only x "
         "WHERE NOT EXISTS (SELECT 1 FROM b f WHERE f.reconciliation_id = x.tms_reconciliation_id) "
         f"AND x.tms_reconciliation_id IS NOT NULL AND lower(trim(payment_provider_name)) <> '{FLAG}'"
     ),
     "payout_undated_detail": _sql(
-        f"SELECT {', '.join('x.' + c for c in PAYOUT_COLS.split(', '))}, x.d AS withdrawal_date, "
+        f"SELECT {', '.join('x.' + c for c in PAYOUT_COLS.split(', '))}, CAST(x.d AS VARCHAR) AS withdrawal_date, "
         "count(f.reconciliation_id) AS bank_rows FROM p_only x "
         "LEFT JOIN b f ON x.tms_reconciliation_id = f.reconciliation_id WHERE f.d IS NULL "
         f"GROUP BY {', '.join('x.' + c for c in PAYOUT_COLS.split(', '))}, x.d"
@@ -299,7 +299,7 @@ ORACLES: dict[str, str] = {
     "scope_filter": _sql(f"SELECT {BANK_COLS} FROM full_bank WHERE {SCOPE}"),
     "year_prefix_filter": _sql(f"SELECT * FROM payment WHERE left(created_at, 4) IN ({YEARS})"),
     "typed_ledger": _sql(
-        f"SELECT {PAYOUT_COLS}, d AS ledger_day, strftime(d, '%Y-%m') AS ledger_month, "
+        f"SELECT {PAYOUT_COLS}, CAST(d AS VARCHAR) AS ledger_day, strftime(d, '%Y-%m') AS ledger_month, "
         f"{CASH} AS total_cashout_usd_typed, {INIT} AS initial_withdrawal_amount_usd_typed FROM p"
     ),
     "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
@@ -315,6 +315,8 @@ ORACLES: dict[str, str] = {
     ),
     "load_with_reject_cap": "SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS order_status, "
     "o_orderpriority AS priority FROM orders WHERE o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0",
+    "load_unquoted_with_cap": "SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS order_status, "
+    "'\"' || o_orderpriority || '\"' AS priority FROM orders WHERE o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0",
     "reject_summary": "SELECT count(*) FILTER (WHERE NOT bad) AS loaded, count(*) FILTER (WHERE bad) AS rejected, "
     "CAST(10000 AS BIGINT) AS cap, count(*) FILTER (WHERE bad) <= 10000 AS accepted "
     "FROM (SELECT o_orderkey % 101 = 0 OR o_orderkey % 103 = 0 AS bad FROM orders)",

@@ -39,6 +39,11 @@ def _bank(spark: SparkSession, sf: str) -> DataFrame:
     return sample.full_bank(spark, sf)
 
 
+def _day_as_text(df: DataFrame, column: str = "withdrawal_date") -> DataFrame:
+    """Days as ISO text, which every client shows alike."""
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 # -- reports ------------------------------------------------------------------------------
 
 
@@ -82,19 +87,19 @@ def payout_not_bank_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payout_unmatched_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return cutoff.unmatched_payout_rows(_payout(spark, sf), _bank(spark, sf), CFG)
+    return _day_as_text(cutoff.unmatched_payout_rows(_payout(spark, sf), _bank(spark, sf), CFG))
 
 
 @query
 def payout_unresolved_detail(spark: SparkSession, sf: str) -> DataFrame:
     bank = _bank(spark, sf)
-    return cutoff.payout_unresolved_rows(_payout(spark, sf), bank, bank, CFG)
+    return _day_as_text(cutoff.payout_unresolved_rows(_payout(spark, sf), bank, bank, CFG))
 
 
 @query
 def payout_undated_detail(spark: SparkSession, sf: str) -> DataFrame:
     bank = _bank(spark, sf)
-    return cutoff.payout_undated_rows(_payout(spark, sf), bank, bank, CFG)
+    return _day_as_text(cutoff.payout_undated_rows(_payout(spark, sf), bank, bank, CFG))
 
 
 @query
@@ -328,9 +333,10 @@ def year_prefix_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def typed_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.typed_ledger(
+    typed = sinks.typed_ledger(
         _payout(spark, sf), CFG.payout.created_at, [CFG.payout.cashout, CFG.payout.initial]
     )
+    return _day_as_text(typed, "ledger_day")
 
 
 # -- staging ------------------------------------------------------------------------------
@@ -398,6 +404,13 @@ def load_with_reject_cap(spark: SparkSession, sf: str) -> DataFrame:
     return good
 
 
+@query
+def load_unquoted_with_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """The good lines of the same export when quotes mean nothing."""
+    good, _ = csvfiles.split_rejects(spark, exports.damaged_csv(spark, sf), quoted=False)
+    return good
+
+
 @query
 def reject_summary(spark: SparkSession, sf: str) -> DataFrame:
     return csvfiles.reject_summary(spark, exports.damaged_csv(spark, sf))

@@ -59,16 +59,37 @@ def read_quoted_small_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_unquoted(spark: SparkSession, path: str) -> DataFrame:
-    """Plain split at every comma, one row per LF; quotes are ordinary characters."""
+def read_lines_parsed(spark: SparkSession, path: str) -> DataFrame:
+    """Lines split at every comma: raw, fields, expected, and the struct ``cells``.
+
+    Lines are read as CSV of one column, by a separator that text does not hold, so that
+    Spark drops each file's header and splits large files; should a line hold it after
+    all, the whole line is found in ``damaged``.
+    """
     names = clean_header(read_header(spark, path, quoted=False))
-    return (
-        spark.read.schema(text_schema(names))
-        .options(header=True, quote="", lineSep="\n", mode="PERMISSIVE")
-        .csv(path)
+    lines = spark.read.schema("line string, damaged string").options(
+        header=True, sep="\u0000", quote="", lineSep="\n", mode="PERMISSIVE", columnNameOfCorruptRecord="damaged"
+    )
+    raw = F.coalesce("damaged", "line")
+    parts = F.split(raw, ",", len(names))
+    cells = [null_if_empty(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(names)]
+    return lines.csv(path).select(
+        raw.alias("raw"),
+        F.size(F.split(raw, ",")).alias("fields"),
+        F.lit(len(names)).alias("expected"),
+        F.struct(*cells).alias("cells"),
     )
 
 
+def read_unquoted(spark: SparkSession, path: str) -> DataFrame:
+    """Plain split at every comma, one row per LF; quotes are ordinary characters.
+
+    The last column takes what is left of a line with too many commas, so no text is lost;
+    columns that a short line lacks are NULL.
+    """
+    return read_lines_parsed(spark, path).select("cells.*")
+
+
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Column types guessed from the data, which costs a pass of its own."""
     return spark.read.options(
@@ -76,37 +97,46 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     ).csv(path)
 
 
-def split_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def _parsed(spark: SparkSession, path: str, quoted: bool) -> DataFrame:
+    parsed = read_parsed(spark, path) if quoted else read_lines_parsed(spark, path)
+    return parsed.where("fields > 0")
+
+
+def split_rejects(spark: SparkSession, path: str, *, quoted: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected records): a reject has another number of fields than the header."""
-    parsed = read_parsed(spark, path).where("fields > 0")
+    parsed = _parsed(spark, path, quoted)
     good = parsed.where("fields = expected").select("cells.*")
-    rejected = parsed.where("fields <> expected").select(
-        "file", "record_num", "start_line", "fields", "expected", "raw"
-    )
-    return good, rejected
+    return good, parsed.where("fields <> expected").drop("cells")
 
 
-def reject_summary(spark: SparkSession, path: str, cap: int = REJECT_CAP) -> DataFrame:
+def reject_summary(
+    spark: SparkSession, path: str, cap: int = REJECT_CAP, *, quoted: bool = True
+) -> DataFrame:
     """One row: loaded and rejected records, the cap, and whether the load is accepted."""
     bad = F.col("fields") != F.col("expected")
     return (
-        read_parsed(spark, path)
-        .where("fields > 0")
+        _parsed(spark, path, quoted)
         .agg(F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected"))
         .withColumn("cap", F.lit(cap).cast("bigint"))
         .withColumn("accepted", F.col("rejected") <= F.col("cap"))
     )
 
 
-def read_tolerant(spark: SparkSession, path: str, cap: int = REJECT_CAP) -> DataFrame:
+def read_tolerant(
+    spark: SparkSession, path: str, cap: int = REJECT_CAP, *, quoted: bool = True
+) -> DataFrame:
     """Rows of the right shape; fails when more than ``cap`` records are malformed."""
-    good, rejected = split_rejects(spark, path)
+    good, rejected = split_rejects(spark, path, quoted=quoted)
     found = rejected.limit(cap + 1).count()
     if found > cap:
         raise RejectedRows(f"more than {cap} malformed records in {path}")
     return good
 
 
+def read_tolerant_unquoted(spark: SparkSession, path: str, cap: int = REJECT_CAP) -> DataFrame:
+    return read_tolerant(spark, path, cap, quoted=False)
+
+
 def preview(parsed: DataFrame, fields: int, chars: int) -> Column:
     """The first cells of a record, shortened, for messages and reports."""
     names = parsed.schema["cells"].dataType.names[:fields]

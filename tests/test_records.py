@@ -196,10 +196,22 @@ def test_bom_and_blank_header_cells(spark, tmp_path):
         assert rows == {("1", "2", "3", "4,5"), (None, None, None, None)}, reader
 
 
-def test_unquoted_and_inferred(spark, tmp_path):
-    path = write(tmp_path / "a.csv", 'k,v,w\n1,"x,y"\n2,z,\n')
-    rows = [tuple(r) for r in csvfiles.read_unquoted(spark, path).collect()]
-    assert rows == [("1", '"x', 'y"'), ("2", "z", None)]
+def test_unquoted_lines(spark, tmp_path, small_splits):
+    lines = [f'{i},"x,y{i}"' for i in range(100)] + ["short", "1,2,3,4,5", "a\x00b,c,d", ",,"]
+    path = write(tmp_path / "a.csv", "k,v,w\n" + "\n".join(lines) + "\n")
+    got = sorted(map(tuple, csvfiles.read_unquoted(spark, path).collect()), key=str)
+    want = [(str(i), '"x', f'y{i}"') for i in range(100)]
+    want += [("short", None, None), ("1", "2", "3,4,5"), ("a\x00b", "c", "d"), (None, None, None)]
+    assert got == sorted(want, key=str)
+    good, rejected = csvfiles.split_rejects(spark, path, quoted=False)
+    assert good.count() == 102
+    assert sorted((r.raw, r.fields) for r in rejected.collect()) == [("1,2,3,4,5", 5), ("short", 1)]
+    assert csvfiles.read_tolerant_unquoted(spark, path, cap=2).count() == 102
+    with pytest.raises(csvfiles.RejectedRows):
+        csvfiles.read_tolerant_unquoted(spark, path, cap=1)
+
+
+def test_inferred_types(spark, tmp_path):
     typed = write(tmp_path / "b.csv", "k,v\n1,2.5\n2,3.5\n")
     assert csvfiles.read_inferred(spark, typed).dtypes == [("k", "int"), ("v", "double")]
 
