@@ -246,13 +246,20 @@ def _bank_with_payments(
     """Bank totals per reconciliation id and platform id, joined to their payments."""
     day = day_of(cfg.bank.created_at)
     month = [F.year(day).alias("y"), F.month(day).alias("m")] if own_month else []
+    rows = bank_in_period(bank, cfg)
     totals = totals_by(
-        bank_in_period(bank, cfg),
+        rows,
         [F.col(cfg.bank.key).alias("key"), F.col(cfg.bank.platform_id).alias("platform"), *month],
         {"usd": try_money(cfg.bank.amount)},
     )
     return spread_join(
-        totals, payments, "platform", "withdrawal", how, min_hot_rows=cfg.hot_key_rows
+        totals,
+        payments,
+        "platform",
+        "withdrawal",
+        how,
+        min_hot_rows=cfg.hot_key_rows,
+        count_in=rows.select(F.col(cfg.bank.platform_id).alias("platform")),
     )
 
 

@@ -9,24 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# How many of the heaviest keys are looked at; this also bounds what is broadcast.
+# How many heavy keys are treated as hot at most. They become literals of the plan.
 MAX_HOT_KEYS = 200
+# Counters per sketch: a key with a thousandth of the rows is found.
+SKETCH_ITEMS = 4096
+# Tasks share sketches in this many groups, so that no single task merges all of them.
+SKETCH_GROUPS = 256
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """The heaviest keys with at least ``min_rows`` rows: one column, at most 200 rows.
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[str]:
+    """The heaviest keys with about ``min_rows`` rows or more, heaviest first, at most 200.
 
-    Ties are broken by the key, so every use of the result sees the same keys.
+    Each task counts heavy keys in a small sketch, so the keys themselves are not
+    shuffled. The list only decides how rows are dealt out, so an estimate will do.
     """
-    return (
+    sketches = (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("hot_key"))
-        .agg(F.count("*").alias("hot_rows"))
+        .select(
+            F.col(key).alias("hot_key"),
+            F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("sketch"),
+        )
+        .groupBy("sketch")
+        .agg(F.expr(f"approx_top_k(hot_key, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
+    )
+    heavy = (
+        sketches.select(F.explode("top").alias("t"))
+        .groupBy(F.col("t.item").alias("hot_key"))
+        .agg(F.sum("t.count").alias("hot_rows"))
         .where(F.col("hot_rows") >= min_rows)
         .orderBy(F.desc("hot_rows"), "hot_key")
         .limit(MAX_HOT_KEYS)
-        .select("hot_key")
     )
+    return [row.hot_key for row in heavy.collect()]
 
 
 def spread_join(
@@ -38,47 +52,39 @@ def spread_join(
     *,
     min_hot_rows: int,
     buckets: int | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which no key of ``left`` ends up in a single task.
 
     ``right`` must hold few rows per key (distinct keys or per-key totals).
     Rows of a hot key are dealt out over ``buckets`` by the task that reads them and
     meet copies of the few right rows; rows without key match nothing and are dealt
-    out too. A hot key beyond the first 200 is joined in the ordinary way, so the
-    result never depends on what is called hot. The deal follows the partition
-    number, which a repeated task keeps.
+    out too. Any other key is joined in the ordinary way, so the result never depends
+    on what is called hot. The deal follows the partition number, which a repeated
+    task keeps. The heavy keys are looked up when the join is set up, in ``count_in``
+    if that is cheaper to read than ``left``.
     """
     if buckets is None:
         buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    hot = F.broadcast(hot_keys(left, left_key, min_hot_rows))  # at most MAX_HOT_KEYS rows
-    dealt = (
-        left.join(hot, F.col(left_key) == F.col("hot_key"), "left")
-        .withColumn(
-            "left_bucket",
-            F.when(
-                F.col("hot_key").isNotNull() | F.col(left_key).isNull(),
-                F.pmod(F.spark_partition_id(), F.lit(buckets)),
-            ).otherwise(F.lit(0)),
-        )
-        .drop("hot_key")
+    hot = hot_keys(left if count_in is None else count_in, left_key, min_hot_rows)
+    dealt = left.withColumn(
+        "left_bucket",
+        F.when(
+            F.col(left_key).isNull() | F.col(left_key).isin(hot),
+            F.pmod(F.spark_partition_id(), F.lit(buckets)),
+        ).otherwise(F.lit(0)),
     )
-    copied = (
-        right.join(hot, F.col(right_key) == F.col("hot_key"), "left")
-        .withColumn(
-            "right_bucket",
-            F.explode(
-                F.when(
-                    F.col("hot_key").isNotNull(),
-                    F.sequence(F.lit(0), F.lit(buckets - 1)),
-                ).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("hot_key")
+    copied = right.withColumn(
+        "right_bucket",
+        F.explode(
+            F.when(
+                F.col(right_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))
+            ).otherwise(F.array(F.lit(0)))
+        ),
     )
     joined = dealt.join(
         copied,
-        (dealt[left_key] == copied[right_key])
-        & (dealt["left_bucket"] == copied["right_bucket"]),
+        (F.col(left_key) == F.col(right_key)) & (F.col("left_bucket") == F.col("right_bucket")),
         how,
     )
     return joined.drop("left_bucket", "right_bucket")

@@ -45,6 +45,10 @@ def test_hot_rows_are_dealt_out(spark, sides):
     assert counts["hot"] > 1 and counts[None] > 1 and counts["k1"] == 1
 
 
-def test_hot_keys_are_the_heaviest(sides):
+def test_hot_keys_are_the_heaviest(spark, sides):
     left, _ = sides
-    assert [r.hot_key for r in hot_keys(left, "lk", 30).collect()] == ["hot", "warm"]
+    assert hot_keys(left, "lk", 30) == ["hot", "warm"]
+    assert hot_keys(left, "lk", 10_000) == []
+    assert hot_keys(left.limit(0), "lk", 1) == []
+    many = spark.range(200_000).select(F.concat(F.lit("k"), F.col("id") % 50_000).alias("lk"))
+    assert hot_keys(many.union(left.select("lk")).repartition(7), "lk", 450) == ["hot"]
