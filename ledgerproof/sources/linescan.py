@@ -47,7 +47,8 @@ def count_splits(batches: Batches) -> Iterator[pa.RecordBatch]:
             size = pc.sum(run.column("line_bytes")).as_py()
             rows.append((*here, run.num_rows, quotes, size, int((before == 0).sum())))
         names = ["file", "split_start", "lines", "quotes", "bytes", "evens"]
-        yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows])
+        if rows:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows])
 
 
 def number_lines(batches: Batches) -> Iterator[pa.RecordBatch]:

@@ -221,3 +221,13 @@ def test_empty_to_null_and_json_keys(spark):
     assert [tuple(r) for r in csvfiles.empty_to_null(df).collect()] == [(None, 1), ("a", 2)]
     keys = spark.createDataFrame([('["a","b"]',), ("[]",), (None,)], "j string")
     assert [r.value for r in csvfiles.json_keys(keys, "j").collect()] == ["a", "b"]
+
+
+def test_empty_and_header_only_files(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER + "\n")
+    write(tmp_path / "b.csv", HEADER + "\nK1,x,y\n")
+    write(tmp_path / "c.csv", "")
+    path = str(tmp_path)
+    assert [tuple(r) for r in csvfiles.read_quoted(spark, path).collect()] == [("K1", "x", "y")]
+    assert [tuple(r) for r in csvfiles.read_unquoted(spark, path).collect()] == [("K1", "x", "y")]
+    assert quality.record_shape(spark, path).first().records == 1
