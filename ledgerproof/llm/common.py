@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,18 @@ def mod_hash(column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus, F.lit(-1))
 
 
+def slices(lengths: Sequence[int], limit: int = 1 << 20) -> Iterator[slice]:
+    """Runs of neighbouring rows whose lengths sum to about ``limit``, one row at least."""
+    start = total = 0
+    for i, length in enumerate(lengths):
+        if i > start and total + length > limit:
+            yield slice(start, i)
+            start, total = i, 0
+        total += length
+    if start < len(lengths):
+        yield slice(start, len(lengths))
+
+
 def token_hashes(text: Column, pattern: str = WORD) -> Column:
     """64-bit hashes of the lower-cased tokens of a text, in order; none for null."""
     tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(pattern), F.lit(0))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerproof.llm import mixing, radix
-from ledgerproof.llm.common import table
+from ledgerproof.llm import hyperlang, mixing, radix, toxicity, urlmodel
+from ledgerproof.llm.common import mod_hash, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,29 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 WINDOW same AS (PARTITION BY t)
 """
+
+
+@query
+def op8_markov_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlmodel.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = hyperlang.learn(docs, mod_hash("doc_id", 3) != 1)
+    found = hyperlang.identify(docs, profiles)
+    return found.select("doc_id", (mod_hash("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grammar = toxicity.learn(docs, labels.where(mod_hash("doc_id", 5) != 0))
+    return toxicity.judge(docs, grammar).select(
+        "doc_id",
+        (mod_hash("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "counts",
+    )
