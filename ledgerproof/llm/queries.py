@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerproof.llm import hyperlang, mixing, radix, toxicity, urlmodel
+from ledgerproof.llm import hyperlang, mixing, radix, secrets, tokencounts, toxicity, urlmodel
 from ledgerproof.llm.common import mod_hash, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,54 @@ def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "counts",
     )
+
+
+@query
+def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    repository = F.concat_ws("/", "source", "lang")
+    return secrets.report(secrets.scan(docs, F.col("source"), repository))
+
+
+def _secret_sql() -> str:
+    parts = []
+    for i, (kind, pattern, group, least) in enumerate(secrets.KINDS):
+        regex = "'" + pattern.replace("'", "''") + "'"
+        parts.append(f"""
+        SELECT rn, {i} AS kind, '{kind}' AS kind_name, gap_n + whole_n AS step, whole_n, v, owner, repo,
+               sum(gap_n + whole_n) OVER (PARTITION BY rn ORDER BY place) AS stop
+        FROM (SELECT rn, owner, repo, place, length(gaps[place]) AS gap_n, length(wholes[place]) AS whole_n,
+                     vals[place] AS v
+              FROM (SELECT *, unnest(range(1, len(wholes) + 1)) AS place
+                    FROM (SELECT rn, owner, repo, regexp_extract_all(t, {regex}) AS wholes,
+                                 regexp_extract_all(t, {regex}, {group}) AS vals,
+                                 string_split_regex(t, {regex}) AS gaps FROM d)))
+        QUALIFY length(v) >= {least}""")
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t, source AS owner,
+                      concat_ws('/', source, lang) AS repo FROM documents),
+    found AS ({" UNION ALL ".join(parts)}),
+    spread AS (SELECT v AS sv, count(DISTINCT coalesce('+' || owner, '-')) AS owners FROM found GROUP BY v),
+    marked AS (SELECT *, owners <= {secrets.MAX_OWNERS}
+                         AND len(list_distinct(string_split(v, ''))) >= {secrets.MIN_CHARACTERS} AS live
+               FROM found JOIN spread ON v = sv),
+    told AS (SELECT *, kind_name || ':' || (stop - whole_n)::BIGINT || ':' || stop::BIGINT AS span
+             FROM marked WHERE kind < {len(secrets.BASE)} OR live),
+    rows AS (SELECT rn, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+                    count(*) FILTER (kind = 2) AS n_hex,
+                    string_agg(span, ',' ORDER BY stop - whole_n, kind) FILTER (kind < {len(secrets.BASE)}) AS base,
+                    string_agg(span, ',' ORDER BY stop - whole_n, kind) AS spans,
+                    count(*) FILTER (live) AS n_live,
+                    count(*) FILTER (owners > {secrets.MAX_OWNERS}) AS n_shared FROM told GROUP BY rn)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
+    FROM d LEFT JOIN rows USING (rn)"""
+
+
+ORACLES["op4_secret_ownership"] = _secret_sql()
+
+
+@query
+def op7_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.histogram(tokencounts.lengths(table(spark, sf_dir, "documents")))
