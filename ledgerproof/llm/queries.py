@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerproof.llm import hyperlang, mixing, radix, secrets, tokencounts, toxicity, urlmodel
+from ledgerproof.llm import (
+    dartminhash,
+    hyperlang,
+    mixing,
+    neighbours,
+    radix,
+    secrets,
+    tokencounts,
+    toxicity,
+    urlmodel,
+)
 from ledgerproof.llm.common import mod_hash, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +123,13 @@ ORACLES["op4_secret_ownership"] = _secret_sql()
 @query
 def op7_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.histogram(tokencounts.lengths(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
