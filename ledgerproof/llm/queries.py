@@ -12,6 +12,7 @@ from ledgerproof.llm import (
     hyperlang,
     mixing,
     neighbours,
+    pieces,
     radix,
     secrets,
     tokencounts,
@@ -133,3 +134,8 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.read_pieces())
