@@ -58,7 +58,7 @@ def trigrams(texts: Sequence[str], symbols: np.ndarray) -> tuple[np.ndarray, np.
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in lowered])
     symbol = symbols[points].astype(np.int32)
     keep = np.ones(len(symbol), bool)
-    keep[1:] = (symbol[1:] != 0) | (symbol[:-1] != 0)
+    keep[1:] = (symbol[1:] != 0) | (symbol[:-1] != 0) | (owner[1:] != owner[:-1])
     symbol, owner = symbol[keep], owner[keep]
     a, b, c = symbol[:-2], symbol[1:-1], symbol[2:]
     inside = (b != 0) & (owner[:-2] == owner[2:])
