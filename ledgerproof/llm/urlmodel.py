@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerproof.llm.common import ascii_lower
 
 ORDER = 4
-SLOTS = 1 << 16
+SLOTS = 1 << 18
 PRIOR = 2.0
 BINS = 400
 BIN_WIDTH = 0.02
@@ -129,7 +129,7 @@ def train(ruled: DataFrame) -> Models | None:
     names = ["n0", "n1", "n2", "n3"]
     # At most (ORDER + 1) * SLOTS rows.
     total = counted.groupBy("slot").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
-    flat = np.zeros((4, size))
+    flat = np.zeros((4, size), np.int32)
     for i, name in enumerate(names):
         flat[i][total.column("slot").to_numpy()] = total.column(name).to_numpy()
     counts = flat.reshape(2, 2, size)
