@@ -24,7 +24,7 @@ from ledgerproof.llm.common import slices
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the vocabulary's texts are cut before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-RUN = 1024
+RUN = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
