@@ -13,13 +13,12 @@ from ..sources.sinks import replace_table
 
 MODES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict": csvfiles.read_strict,
-    "tolerant": csvfiles.read_tolerant,
-    "tolerant_unquoted": csvfiles.read_tolerant_unquoted,
     "quoted": csvfiles.read_quoted,
-    "small_files": csvfiles.read_quoted_small_files,
     "unquoted": csvfiles.read_unquoted,
     "inferred": csvfiles.read_inferred,
 }
+# Modes that skip malformed records, and whether quotes count in them.
+TOLERANT_MODES = {"tolerant": True, "tolerant_unquoted": False}
 
 
 class LoadMismatch(RuntimeError):
@@ -28,28 +27,39 @@ class LoadMismatch(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadJob:
+    """One table to stage. A tolerant mode needs ``reject_cap``: how many records may be skipped."""
+
     table: str
     path: str
     mode: str = "strict"
+    reject_cap: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.mode not in MODES and self.mode not in TOLERANT_MODES:
+            raise ValueError(f"unknown load mode {self.mode!r} of {self.table}")
+        if (self.mode in TOLERANT_MODES) != (self.reject_cap is not None):
+            raise ValueError(f"{self.table}: tolerant modes, and only these, need a reject_cap")
 
 
 def load_all(spark: SparkSession, jobs: Iterable[LoadJob], target: str) -> dict[str, DataFrame]:
-    """Stages the tables one after the other; returns them as stored."""
-    stored = {}
+    """Stages the tables one after the other; returns them as stored.
+
+    A tolerant job also stores what it skipped, as ``<table>_rejects`` next to the table.
+    """
+    stored, base = {}, target.rstrip("/")
     for job in jobs:
-        df = csvfiles.empty_to_null(MODES[job.mode](spark, job.path))
-        stored[job.table] = replace_table(df, f"{target.rstrip('/')}/{job.table}")
+        if job.mode in TOLERANT_MODES:
+            rejects = f"{job.table}_rejects"
+            df, stored[rejects] = csvfiles.load_tolerant(
+                spark, job.path, job.reject_cap, f"{base}/{rejects}", quoted=TOLERANT_MODES[job.mode]
+            )
+        else:
+            df = MODES[job.mode](spark, job.path)
+        stored[job.table] = replace_table(csvfiles.empty_to_null(df), f"{base}/{job.table}")
     return stored
 
 
-def check_loaded(
-    spark: SparkSession,
-    path: str,
-    loaded: DataFrame,
-    key: str,
-    out_dir: str,
-    hot_key_rows: int = 1_000_000,
-) -> DataFrame:
+def check_loaded(spark: SparkSession, path: str, loaded: DataFrame, key: str, out_dir: str) -> DataFrame:
     """Passes the table on when rows and data lines agree.
 
     Otherwise the rows and keys of the file that the table lacks are written to
@@ -60,7 +70,7 @@ def check_loaded(
     if check.matches:
         return loaded
     rows_dir = f"{out_dir.rstrip('/')}/missing_rows"
-    missing = quality.missing_records(spark, path, key, loaded, key, min_hot_rows=hot_key_rows)
+    missing = quality.missing_records(spark, path, key, loaded, key)
     missing.write.mode("overwrite").options(header=True, escape='"').csv(rows_dir)
     names = missing.schema
     stored = spark.read.schema(names).options(header=True, multiLine=True, escape='"').csv(rows_dir)

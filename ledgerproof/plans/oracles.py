@@ -100,6 +100,7 @@ BANK_CUTOFF = (
     "LEFT JOIN apcw a ON t.withdrawal_id = a.withdrawal_id GROUP BY 1, 2, 3, 4, 5"
 )
 MULTI = "(length(text) - length(replace(text, chr(10), '')))"
+DAMAGED = "o_orderkey % 101 = 0 OR o_orderkey % 103 = 0"
 VALUE_COUNT = "SELECT '{c}' AS column_name, {c} AS value, count(*) AS cnt FROM {t} GROUP BY {c}"
 
 
@@ -132,19 +133,29 @@ _ACTUAL = " UNION ALL ".join(
 )
 
 
-def _tie_side(side: str, source: str, amount: str, other: str) -> str:
+def _tie_side(side: str, source: str, key: str, amount: str, other: str) -> str:
+    """Three separate figures and what they leave over."""
+
+    def figures(where: str = "") -> str:
+        return f"SELECT count(*) AS n, coalesce(sum({amount}), 0) AS usd FROM {source} s {where}"
+
     hit = f"EXISTS (SELECT 1 FROM {other})"
-    rows = f"SELECT {amount} AS usd, {hit} AS hit FROM {source} s"
     return (
-        f"SELECT '{side}' AS side, count(*) AS total_rows, count(*) FILTER (WHERE hit) AS matched_rows, "
-        "count(*) FILTER (WHERE NOT hit) AS unmatched_rows, coalesce(sum(usd), 0) AS total_usd, "
-        "coalesce(sum(usd) FILTER (WHERE hit), 0) AS matched_usd, "
-        "coalesce(sum(usd) FILTER (WHERE NOT hit), 0) AS unmatched_usd, "
-        "CAST(0 AS BIGINT) AS residual_rows, CAST(0 AS DECIMAL(38,2)) AS residual_usd "
-        f"FROM ({rows})"
+        f"SELECT '{side}' AS side, t.n AS total_rows, m.n AS matched_rows, u.n AS unmatched_rows, "
+        "t.usd AS total_usd, m.usd AS matched_usd, u.usd AS unmatched_usd, d.n AS duplicate_keys, "
+        "t.n - m.n - u.n AS residual_rows, t.usd - m.usd - u.usd AS residual_usd "
+        f"FROM ({figures()}) t, ({figures('WHERE ' + hit)}) m, ({figures('WHERE NOT ' + hit)}) u, "
+        f"(SELECT count(*) AS n FROM (SELECT {key} FROM {source} WHERE {key} IS NOT NULL GROUP BY 1 "
+        "HAVING count(*) > 1)) d"
     )
 
 
+def _lines(name: str, columns: str, source: str) -> str:
+    """Every row as one text."""
+    cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns.split(", "))
+    return f"SELECT '{name}' AS table_name, concat_ws(' | ', {cells}) AS line FROM {source}"
+
+
 ORACLES: dict[str, str] = {
     "join_diff": _sql(
         f"SELECT {DIFF_COLS.format(a=CASH, b='g.usd')} FROM payout x JOIN bank_grouped g "
@@ -223,9 +234,9 @@ ORACLES: dict[str, str] = {
     ),
     "bank_control_totals": _sql(f"SELECT count(*) AS cnt, sum({AMOUNT}) AS sum_tms_usd_amount FROM bank"),
     "tie_out": _sql(
-        _tie_side("payout", "payout", CASH, "bank y WHERE y.reconciliation_id = s.tms_reconciliation_id")
+        _tie_side("payout", "payout", "tms_reconciliation_id", CASH, "bank y WHERE y.reconciliation_id = s.tms_reconciliation_id")
         + " UNION ALL "
-        + _tie_side("bank", "bank_grouped", "usd", "payout y WHERE y.tms_reconciliation_id = s.reconciliation_id")
+        + _tie_side("bank", "bank_grouped", "reconciliation_id", "usd", "payout y WHERE y.tms_reconciliation_id = s.reconciliation_id")
     ),
     "control_compare": _sql(
         "SELECT coalesce(a.table_name, r.table_name) AS table_name, coalesce(a.metric, r.metric) AS metric, "
@@ -244,6 +255,10 @@ ORACLES: dict[str, str] = {
         "SELECT reconciliation_id, count(*) AS cnt FROM bank WHERE reconciliation_id IS NOT NULL "
         "GROUP BY 1 HAVING count(*) > 1"
     ),
+    "payout_dup_keys": _sql(
+        "SELECT tms_reconciliation_id, count(*) AS cnt FROM payout WHERE tms_reconciliation_id IS NOT NULL "
+        "GROUP BY 1 HAVING count(*) > 1"
+    ),
     "dup_by_provider": _sql(
         "SELECT provider, count(*) AS counters FROM (SELECT reconciliation_id, provider FROM bank "
         "GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1"
@@ -318,7 +333,8 @@ ORACLES: dict[str, str] = {
     "load_unquoted_with_cap": "SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS order_status, "
     "'\"' || o_orderpriority || '\"' AS priority FROM orders WHERE o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0",
     "reject_summary": "SELECT count(*) FILTER (WHERE NOT bad) AS loaded, count(*) FILTER (WHERE bad) AS rejected, "
-    "CAST(10000 AS BIGINT) AS cap, count(*) FILTER (WHERE bad) <= 10000 AS accepted "
+    "CAST(0 AS BIGINT) AS open_quotes, count(*) // 20 AS cap, "
+    "count(*) FILTER (WHERE bad) <= count(*) // 20 AS accepted "
     "FROM (SELECT o_orderkey % 101 = 0 OR o_orderkey % 103 = 0 AS bad FROM orders)",
     "rejected_records": f"SELECT {DAMAGED_LINE} AS raw, "
     "CASE WHEN o_orderkey % 101 = 0 THEN 2 ELSE 4 END AS fields, 3 AS expected "
@@ -333,13 +349,43 @@ ORACLES: dict[str, str] = {
     ),
     "table_from_csv": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
     "o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderpriority FROM orders",
-    "load_all": "SELECT 'documents' AS table_name, count(*) AS cnt FROM documents UNION ALL "
-    "SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'customers', count(*) FROM customer",
+    "load_all": " UNION ALL ".join(
+        [
+            _lines("documents", "doc_id, md5(text), lang, source", "documents"),
+            _lines("orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority", "orders"),
+            _lines("customers", "c_custkey, '\"' || c_mktsegment, c_name || '\"'", "customer"),
+            _lines("damaged", "o_orderkey, o_orderstatus, o_orderpriority", f"orders WHERE NOT ({DAMAGED})"),
+            _lines(
+                "damaged_rejects",
+                "raw, CASE WHEN o_orderkey % 101 = 0 THEN 2 ELSE 4 END, 3",
+                f"(SELECT *, {DAMAGED_LINE} AS raw FROM orders) WHERE {DAMAGED}",
+            ),
+        ]
+    ),
     "run_all": _tagged(
         "LEFT",
-        "SELECT 'join_diff' AS table_name, CAST(1 AS BIGINT) AS cnt UNION ALL "
-        f"SELECT 'payout_not_bank', count(*) FROM ({CUTOFF.format(full='b')}) UNION ALL "
-        f"SELECT 'bank_not_payout', count(*) FROM ({BANK_CUTOFF})",
+        " UNION ALL ".join(
+            [
+                _lines(
+                    "join_diff",
+                    "cnt, sum_total_cashout_usd, sum_tms_usd_amount, sum_diff_usd",
+                    f"(SELECT {DIFF_COLS.format(a=CASH, b='g.usd')} FROM payout x JOIN bank_grouped g "
+                    "ON x.tms_reconciliation_id = g.reconciliation_id)",
+                ),
+                _lines(
+                    "payout_not_bank",
+                    "tms_cutoff_year, tms_cutoff_month, provider_flag, if_recon_id, cnt, "
+                    "sum_initial_withdrawal_usd, sum_total_cashout_usd",
+                    f"({CUTOFF.format(full='b')})",
+                ),
+                _lines(
+                    "bank_not_payout",
+                    "payout_from_year, payout_from_month, exists_in_full_payout, withdrawal_type, status, "
+                    "cnt, sum_usd_amount",
+                    f"({BANK_CUTOFF})",
+                ),
+            ]
+        ),
     ),
     "sql_report": _sql(
         f"SELECT lower(trim(payment_provider_name)) AS provider, count(*) AS cnt, "
@@ -368,9 +414,13 @@ ORACLES: dict[str, str] = {
     "count(*) FILTER (WHERE contains(text, chr(10))) AS multiline_records, "
     f"CAST(sum({MULTI}) AS BIGINT) AS extra_physical_lines FROM documents",
     "bad_structure": "SELECT CASE WHEN o_orderkey % 101 = 0 THEN 2 ELSE 4 END AS actual_fields, "
-    "3 AS expected_fields, CASE WHEN o_orderkey % 101 = 0 THEN concat_ws(' | ', o_orderkey, o_orderstatus, '') "
-    "ELSE concat_ws(' | ', o_orderkey, o_orderstatus, o_orderpriority) END AS preview "
+    "3 AS expected_fields, CASE WHEN o_orderkey % 101 = 0 THEN concat_ws(' | ', o_orderkey, o_orderstatus) "
+    "ELSE concat_ws(' | ', o_orderkey, o_orderstatus, o_orderpriority, 'extra') END AS preview "
     "FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 103 = 0",
+    "record_positions": f"SELECT count(*) AS records, CAST(sum(1 + {MULTI}) AS BIGINT) AS lines, "
+    "CAST(0 AS BIGINT) AS faults, CAST(0 AS BIGINT) AS wrong_ends FROM documents",
+    "quote_balance": f"SELECT count(*) AS records, CAST(sum(1 + {MULTI}) AS BIGINT) AS lines, "
+    "CAST(0 AS BIGINT) AS odd_files, CAST(0 AS BIGINT) AS open_records FROM documents",
     "terminator_profile": f"SELECT count(*) FILTER (WHERE {MIXED_CR}) AS crlf_lines, "
-    f"count(*) FILTER (WHERE NOT {MIXED_CR}) AS lf_lines FROM orders",
+    f"count(*) FILTER (WHERE NOT {MIXED_CR}) AS lf_lines, 'LF' AS first_verdict, 'LF' AS last_verdict FROM orders",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from pathlib import Path
 
@@ -218,6 +219,13 @@ def dup_keys(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.duplicates(bank.where(F.col(CFG.bank.key).isNotNull()), [CFG.bank.key])
 
 
+@query
+def payout_dup_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Payout ids of the period that occur more than once: the tie-out's precondition."""
+    payout = filters.payout_in_period(_payout(spark, sf), CFG)
+    return summaries.duplicates(payout.where(F.col(CFG.payout.key).isNotNull()), [CFG.payout.key])
+
+
 @query
 def dup_by_provider(spark: SparkSession, sf: str) -> DataFrame:
     bank = filters.bank_in_period(_bank(spark, sf), CFG)
@@ -237,14 +245,8 @@ def value_counts(spark: SparkSession, sf: str) -> DataFrame:
         (sample.payment(spark, sf), ["settlement_currency", "purpose"]),
         (_payout(spark, sf), ["tms_is_reconciled"]),
     ]
-    result = None
-    for df, columns in picks:
-        for column in columns:
-            counts = summaries.value_counts(df, column).select(
-                F.lit(column).alias("column_name"), F.col(column).alias("value"), "cnt"
-            )
-            result = counts if result is None else result.unionByName(counts)
-    return result
+    counted = [summaries.value_counts_of(df, columns) for df, columns in picks]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @query
@@ -354,7 +356,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_small_files(spark: SparkSession, sf: str) -> DataFrame:
-    docs = csvfiles.read_quoted_small_files(spark, exports.documents_csv(spark, sf))
+    docs = csvfiles.read_report(spark, exports.documents_csv(spark, sf))
     return docs.select("doc_id", _same_line_ends("text"), "lang", "source")
 
 
@@ -393,27 +395,30 @@ def json_keys(spark: SparkSession, sf: str) -> DataFrame:
         "unique_key",
         sample.ar_loaded(spark, sf),
         "unique_key",
-        min_hot_rows=CFG.hot_key_rows,
     )
 
 
+def _reject_cap(spark: SparkSession, sf: str) -> int:
+    """A twentieth of the exported records may be malformed."""
+    return sample.table(spark, sf, "orders").count() // 20
+
+
 @query
 def load_with_reject_cap(spark: SparkSession, sf: str) -> DataFrame:
-    """The good rows of a damaged export; the verdict on the cap is a query of its own."""
-    good, _ = csvfiles.split_rejects(spark, exports.damaged_csv(spark, sf))
-    return good
+    """The good rows of a damaged export, as long as its rejects stay below the cap."""
+    return csvfiles.read_tolerant(spark, exports.damaged_csv(spark, sf), _reject_cap(spark, sf))
 
 
 @query
 def load_unquoted_with_cap(spark: SparkSession, sf: str) -> DataFrame:
     """The good lines of the same export when quotes mean nothing."""
-    good, _ = csvfiles.split_rejects(spark, exports.damaged_csv(spark, sf), quoted=False)
-    return good
+    path = exports.damaged_csv(spark, sf)
+    return csvfiles.read_tolerant(spark, path, _reject_cap(spark, sf), quoted=False)
 
 
 @query
 def reject_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return csvfiles.reject_summary(spark, exports.damaged_csv(spark, sf))
+    return csvfiles.reject_summary(spark, exports.damaged_csv(spark, sf), _reject_cap(spark, sf))
 
 
 @query
@@ -446,7 +451,7 @@ def report_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The cut-off report written as CSV and read back as text."""
     path = scratch_dir(spark, "report")
     sinks.write_report(payout_not_bank_cutoff(spark, sf), path)
-    return csvfiles.read_quoted_small_files(spark, path)
+    return csvfiles.read_report(spark, path)
 
 
 @query
@@ -456,27 +461,41 @@ def table_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.create_table(orders, "ledgerproof_orders", scratch_dir(spark, "orders_table"))
 
 
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, line): every row of the tables as one text."""
+    lines = [
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws(" | ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns)).alias("line"),
+        )
+        for name, df in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, lines)
+
+
 @query
 def load_all(spark: SparkSession, sf: str) -> DataFrame:
-    """The load job over several exports, with the rows of each table as stored."""
+    """The load job over several exports, with all rows as stored, rejects as well."""
     jobs = [
         load.LoadJob("documents", exports.documents_csv(spark, sf), "strict"),
-        load.LoadJob("orders", exports.orders_csv(spark, sf), "small_files"),
+        load.LoadJob("orders", exports.orders_csv(spark, sf), "quoted"),
         load.LoadJob("customers", exports.quoted_names_csv(spark, sf), "unquoted"),
+        load.LoadJob("damaged", exports.damaged_csv(spark, sf), "tolerant", _reject_cap(spark, sf)),
     ]
-    return summaries.row_counts(load.load_all(spark, jobs, scratch_dir(spark, "load_all")))
+    stored = load.load_all(spark, jobs, scratch_dir(spark, "load_all"))
+    stored["documents"] = stored["documents"].withColumn("text", F.md5(_same_line_ends("text")))
+    stored["damaged_rejects"] = stored["damaged_rejects"].select("raw", "fields", "expected")
+    return _contents(stored)
 
 
 @query
 def run_all(spark: SparkSession, sf: str) -> DataFrame:
-    """The three main reports, written as CSV one after the other, and the rows of each."""
+    """The three main reports, written as CSV one after the other, with all their rows."""
     payout, bank = _payout(spark, sf), _bank(spark, sf)
     written = reports.run_all(
         payout, bank, sample.payment(spark, sf), payout, bank, CFG, scratch_dir(spark, "reports")
     )
-    return summaries.row_counts(
-        {name: csvfiles.read_quoted_small_files(spark, path) for name, path in written.items()}
-    )
+    return _contents({name: csvfiles.read_report(spark, path) for name, path in written.items()})
 
 
 @query
@@ -499,7 +518,6 @@ def missing_rows(spark: SparkSession, sf: str) -> DataFrame:
         "unique_key",
         sample.ar_loaded(spark, sf),
         "unique_key",
-        min_hot_rows=CFG.hot_key_rows,
     )
 
 
@@ -518,7 +536,6 @@ def missing_csv_records(spark: SparkSession, sf: str) -> DataFrame:
         "unique_key",
         sample.ar_loaded(spark, sf),
         "unique_key",
-        min_hot_rows=CFG.hot_key_rows,
     ).drop("source_line_num")
 
 
@@ -550,11 +567,39 @@ def bad_structure(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("actual_fields", "expected_fields", "preview")
 
 
+@query
+def record_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Records and lines behind the headers, and what is wrong with any position."""
+    report = quality.record_positions(spark, exports.documents_csv(spark, sf))
+    return report.agg(
+        F.sum(F.col("records") - 1).cast("bigint").alias("records"),
+        F.sum(F.col("lines") - 1).cast("bigint").alias("lines"),
+        F.sum("faults").cast("bigint").alias("faults"),
+        F.count_if((F.col("last_record") != F.col("records") - 1) | (F.col("last_line") != F.col("lines"))).alias(
+            "wrong_ends"
+        ),
+    )
+
+
+@query
+def quote_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and records behind the headers, and files with a quote left open."""
+    report = quality.quote_balance(spark, exports.documents_csv(spark, sf))
+    return report.agg(
+        F.sum(F.col("records") - 1).cast("bigint").alias("records"),
+        F.sum(F.col("lines") - 1).cast("bigint").alias("lines"),
+        F.count_if(F.col("quotes") % 2 == 1).alias("odd_files"),
+        F.count("open_record").alias("open_records"),
+    )
+
+
 @query
 def terminator_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Line ends over all files of the export, header lines aside."""
+    """Line ends over all files of the export, header lines aside, and the files' verdicts."""
     report = quality.terminator_profile(spark, exports.mixed_terminators_csv(spark, sf))
     return report.agg(
         F.sum("crlf_lines").cast("bigint").alias("crlf_lines"),
         F.sum(F.col("lf_lines") - 1).cast("bigint").alias("lf_lines"),
+        F.min("terminator").alias("first_verdict"),
+        F.max("terminator").alias("last_verdict"),
     )

@@ -22,9 +22,9 @@ def join_diff(payout: DataFrame, bank: DataFrame, cfg: ReconConfig) -> DataFrame
         payout_in_period(payout, cfg),
         bank_in_period(bank, cfg),
         left_key=cfg.payout.key,
-        left_amount=money(cfg.payout.cashout),
+        left_amount=F.col(cfg.payout.cashout),
         right_key=cfg.bank.key,
-        right_amount=money(cfg.bank.amount),
+        right_amount=F.col(cfg.bank.amount),
         right_group=cfg.bank.provider,
     ).select(
         "cnt",
@@ -42,19 +42,15 @@ def join_diff_by_method(
     Without ``sum_bank_first`` the bank rows of a split payment are compared one by
     one, so each of them shows up as a difference: the duplicate-key check.
     """
-    rows = bank_in_period(bank, cfg)
-    amount = money(cfg.bank.amount)
-    if sum_bank_first:
-        rows = rows.groupBy(cfg.bank.key, cfg.bank.provider).agg(F.sum(amount).alias("usd"))
-        amount = F.col("usd")
     return nonzero_difference_by(
         payout_in_period(payout, cfg),
-        rows,
+        bank_in_period(bank, cfg),
         left_key=cfg.payout.key,
-        left_amount=money(cfg.payout.cashout),
+        left_amount=F.col(cfg.payout.cashout),
         right_key=cfg.bank.key,
-        right_amount=amount,
+        right_amount=F.col(cfg.bank.amount),
         by=cfg.payout.method,
+        right_group=cfg.bank.provider if sum_bank_first else None,
     ).select(
         F.col("by").alias(cfg.payout.method),
         "cnt",

@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import escape_preview, null_if_empty
-from .headers import clean_header, read_header, text_schema
-from .records import field_count, read_records
-
-# Fixed value: bad rows a tolerant load skips before it gives up.
-REJECT_CAP = 10_000
+from .headers import BOM, clean_header, read_header, text_schema
+from .records import field_count, own_cells, read_records
 
 CSV_TEXT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
 
 
 class RejectedRows(ValueError):
-    """A load met more malformed rows than it may skip."""
+    """A load met more malformed rows than it may skip, or a quote that is never closed."""
+
+
+def _same_header(cells: Column, raw_names: Sequence[str | None]) -> Column:
+    wanted = F.array(*(F.lit((n or "").replace(BOM, "").strip()) for n in raw_names))
+    return F.transform(cells, lambda c: F.trim(F.replace(c, F.lit(BOM), F.lit("")))) == wanted
+
+
+def _behind_header(records: DataFrame, raw_names: Sequence[str | None]) -> DataFrame:
+    """Without each file's first record, which has to be the header of the first file."""
+    message = F.concat(F.lit("another header in "), F.col("file"), F.lit(": "), escape_preview("raw", 200))
+    other = F.raise_error(message).cast("boolean")
+    fits = _same_header(own_cells("raw"), raw_names)
+    # One row per file is compared; no other row gets to that branch.
+    return records.where(F.when(F.col("record_num") > 0, True).when(fits, False).otherwise(other))
 
 
 def read_parsed(spark: SparkSession, path: str, *, raw_name: str = "raw") -> DataFrame:
     """Records with their position, field count and cells.
 
-    Columns: file, record_num, start_line, end_line, ``raw_name``, fields, and the
-    struct ``cells`` with one text column per header name. The header is left out.
+    Columns: file, record_num, start_line, end_line, ``raw_name``, unclosed, fields, and the
+    struct ``cells`` with one text column per header name. The headers are left out; a file
+    whose first record is not the header of the first file stops the query. A record whose
+    quote is never closed is there with its first line alone.
     """
-    names = clean_header(read_header(spark, path))
+    raw_names = read_header(spark, path)
+    names = clean_header(raw_names)
     cells = F.from_csv(F.col("raw"), ", ".join(f"`{n}` string" for n in names), CSV_TEXT)
     return (
-        read_records(spark, path)
-        .where("record_num > 0")
+        _behind_header(read_records(spark, path), raw_names)
         .withColumn("fields", field_count("raw"))
         .withColumn("cells", cells)
         .withColumn("expected", F.lit(len(names)))
@@ -37,19 +53,38 @@ def read_parsed(spark: SparkSession, path: str, *, raw_name: str = "raw") -> Dat
     )
 
 
+def _open_quote() -> Column:
+    return F.concat(
+        F.lit("a quote is left open in "),
+        F.col("file"),
+        F.lit(", record "),
+        F.col("record_num").cast("string"),
+        F.lit(" from line "),
+        F.col("start_line").cast("string"),
+        F.lit(" on"),
+    )
+
+
+def _cells_or_stop(parsed: DataFrame, stop: Column, message: Column) -> DataFrame:
+    # In the projection and not in a filter: a filter may be moved to lines that are no records.
+    kind = parsed.schema["cells"].dataType
+    return parsed.withColumn("cells", F.when(stop, F.raise_error(message).cast(kind)).otherwise(F.col("cells")))
+
+
 def read_quoted(spark: SparkSession, path: str) -> DataFrame:
     """Quoted CSV of any size, split within files: embedded commas, quotes and line breaks.
 
-    Blank and quoted-empty cells are NULL; blank lines are no rows.
+    Blank and quoted-empty cells are NULL; blank lines are no rows. A quote that is never
+    closed stops the query.
     """
-    return read_parsed(spark, path).where("fields > 0").select("cells.*")
+    parsed = read_parsed(spark, path)
+    return _cells_or_stop(parsed, F.col("unclosed"), _open_quote()).where("fields > 0").select("cells.*")
 
 
-def read_quoted_small_files(spark: SparkSession, path: str) -> DataFrame:
-    """The same table by Spark's own multi-line reader: one task per file.
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A written report by Spark's own multi-line reader: one task per file.
 
-    A single pass, for exports cut into files of at most a few hundred megabytes.
-    CR LF inside a cell comes back as LF.
+    Reports are one small file each; CR LF inside a cell comes back as LF.
     """
     names = clean_header(read_header(spark, path))
     return (
@@ -66,14 +101,25 @@ def read_lines_parsed(spark: SparkSession, path: str) -> DataFrame:
     Spark drops each file's header and splits large files; should a line hold it after
     all, the whole line is found in ``damaged``.
     """
-    names = clean_header(read_header(spark, path, quoted=False))
-    lines = spark.read.schema("line string, damaged string").options(
-        header=True, sep="\u0000", quote="", lineSep="\n", mode="PERMISSIVE", columnNameOfCorruptRecord="damaged"
+    raw_names = read_header(spark, path, quoted=False)
+    names = clean_header(raw_names)
+    # The one column is named as the whole header line, so that Spark finds a file with another one.
+    line = ",".join(n or "" for n in raw_names).replace(BOM, "")
+    damaged = "damaged" if line != "damaged" else "broken"
+    schema = StructType([StructField(n, StringType()) for n in (line, damaged)])
+    lines = spark.read.schema(schema).options(
+        header=True,
+        enforceSchema=False,
+        sep="\u0000",
+        quote="",
+        lineSep="\n",
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=damaged,
     )
-    raw = F.coalesce("damaged", "line")
+    raw = F.coalesce(damaged, "line")
     parts = F.split(raw, ",", len(names))
     cells = [null_if_empty(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(names)]
-    return lines.csv(path).select(
+    return lines.csv(path).toDF("line", damaged).select(
         raw.alias("raw"),
         F.size(F.split(raw, ",")).alias("fields"),
         F.lit(len(names)).alias("expected"),
@@ -90,58 +136,112 @@ def read_unquoted(spark: SparkSession, path: str) -> DataFrame:
     return read_lines_parsed(spark, path).select("cells.*")
 
 
+# Types that are tried in this order, and how their values are written; a cast alone would cut values.
+INFERRED = (
+    ("bigint", r"^[+-]?[0-9]+$"),
+    ("decimal(38,10)", r"^[+-]?[0-9]{1,28}([.][0-9]{1,10})?$"),
+    ("double", r"^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T]"),
+    ("boolean", r"^(?i:true|false)$"),
+)
+
+
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Column types guessed from the data, which costs a pass of its own."""
-    return spark.read.options(
-        header=True, inferSchema=True, multiLine=True, quote='"', escape='"'
-    ).csv(path)
+    """Column types guessed from the data, which costs a pass of its own.
+
+    A column is the first of bigint, decimal, double, date, timestamp and boolean that
+    takes all its values, else text; a column without values stays text. Only one row of
+    flags leaves the pass, and files are read in splits.
+    """
+    rows = read_quoted(spark, path)
+    flags = []
+    for i, name in enumerate(rows.columns):
+        cell = F.col(f"`{name}`")
+        flags.append(F.count(cell).alias(f"n{i}"))
+        for j, (kind, form) in enumerate(INFERRED):
+            flags.append(F.count_if(cell.rlike(form) & cell.try_cast(kind).isNotNull()).alias(f"n{i}_{j}"))
+    seen = rows.agg(*flags).first()
+    typed = []
+    for i, name in enumerate(rows.columns):
+        fit = [k for j, (k, _) in enumerate(INFERRED) if seen[f"n{i}"] and seen[f"n{i}_{j}"] == seen[f"n{i}"]]
+        typed.append(F.col(f"`{name}`").cast(fit[0] if fit else "string").alias(name))
+    return rows.select(*typed)
 
 
 def _parsed(spark: SparkSession, path: str, quoted: bool) -> DataFrame:
-    parsed = read_parsed(spark, path) if quoted else read_lines_parsed(spark, path)
-    return parsed.where("fields > 0")
+    if quoted:
+        return read_parsed(spark, path).where("fields > 0 OR unclosed")
+    return read_lines_parsed(spark, path).where("fields > 0").withColumn("unclosed", F.lit(False))
+
+
+GOOD = "fields = expected AND NOT unclosed"
 
 
 def split_rejects(spark: SparkSession, path: str, *, quoted: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected records): a reject has another number of fields than the header."""
+    """(good rows, rejected records): a reject has another number of fields than the header,
+    or a quote that is never closed."""
     parsed = _parsed(spark, path, quoted)
-    good = parsed.where("fields = expected").select("cells.*")
-    return good, parsed.where("fields <> expected").drop("cells")
+    return parsed.where(GOOD).select("cells.*"), parsed.where(f"NOT ({GOOD})").drop("cells")
 
 
-def reject_summary(
-    spark: SparkSession, path: str, cap: int = REJECT_CAP, *, quoted: bool = True
-) -> DataFrame:
-    """One row: loaded and rejected records, the cap, and whether the load is accepted."""
-    bad = F.col("fields") != F.col("expected")
+def reject_summary(spark: SparkSession, path: str, cap: int, *, quoted: bool = True) -> DataFrame:
+    """One row: loaded and rejected records, files with an open quote, the cap, and whether
+    the load is accepted. An open quote hides the rest of its file, so it is never accepted."""
+    good = F.expr(GOOD)
     return (
         _parsed(spark, path, quoted)
-        .agg(F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected"))
+        .agg(
+            F.count_if(good).alias("loaded"),
+            F.count_if(~good).alias("rejected"),
+            F.count_if("unclosed").alias("open_quotes"),
+        )
         .withColumn("cap", F.lit(cap).cast("bigint"))
-        .withColumn("accepted", F.col("rejected") <= F.col("cap"))
+        .withColumn("accepted", (F.col("rejected") <= F.col("cap")) & (F.col("open_quotes") == 0))
     )
 
 
-def read_tolerant(
-    spark: SparkSession, path: str, cap: int = REJECT_CAP, *, quoted: bool = True
-) -> DataFrame:
-    """Rows of the right shape; fails when more than ``cap`` records are malformed."""
+def _check_rejects(path: str, rejected: int, open_quotes: int, cap: int) -> None:
+    if open_quotes:
+        raise RejectedRows(f"a quote is left open in {open_quotes} file(s) of {path}")
+    if rejected > cap:
+        raise RejectedRows(f"more than {cap} malformed records in {path}: {rejected}")
+
+
+def read_tolerant(spark: SparkSession, path: str, cap: int, *, quoted: bool = True) -> DataFrame:
+    """Rows of the right shape; fails when more than ``cap`` records are malformed.
+
+    Counting them takes a pass of its own; :func:`load_tolerant` keeps them as well.
+    """
+    found = reject_summary(spark, path, cap, quoted=quoted).first()
+    _check_rejects(path, found.rejected, found.open_quotes, cap)
+    return split_rejects(spark, path, quoted=quoted)[0]
+
+
+def load_tolerant(
+    spark: SparkSession, path: str, cap: int, rejects_path: str, *, quoted: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects as stored below ``rejects_path``); fails like :func:`read_tolerant`.
+
+    The rejects are written first and stay there when the load is refused, so that they
+    can be looked at; what is counted against the cap is what was written.
+    """
     good, rejected = split_rejects(spark, path, quoted=quoted)
-    found = rejected.limit(cap + 1).count()
-    if found > cap:
-        raise RejectedRows(f"more than {cap} malformed records in {path}")
-    return good
+    rejected.write.mode("overwrite").parquet(rejects_path)
+    stored = spark.read.schema(rejected.schema).parquet(rejects_path)
+    found = stored.agg(F.count("*").alias("n"), F.count_if("unclosed").alias("open")).first()
+    _check_rejects(path, found.n, found.open, cap)
+    return good, stored
 
 
-def read_tolerant_unquoted(spark: SparkSession, path: str, cap: int = REJECT_CAP) -> DataFrame:
-    return read_tolerant(spark, path, cap, quoted=False)
+def preview(raw: str, fields: int, chars: int) -> Column:
+    """The first cells of a raw record, shortened, for messages and reports."""
+    shown = F.transform(F.slice(own_cells(raw), 1, fields), lambda c: escape_preview(c, chars))
+    return F.array_join(shown, " | ")
 
 
-def preview(parsed: DataFrame, fields: int, chars: int) -> Column:
-    """The first cells of a record, shortened, for messages and reports."""
-    names = parsed.schema["cells"].dataType.names[:fields]
-    cells = [escape_preview(F.coalesce(F.col("cells").getField(n), F.lit("")), chars) for n in names]
-    return F.array_join(F.array(*cells), " | ")
+# How many cells of a malformed record are shown, and how much of each.
+PREVIEW_FIELDS, PREVIEW_CHARS = 8, 80
 
 
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
@@ -165,13 +265,11 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
         F.lit(" fields instead of "),
         F.col("expected").cast("string"),
         F.lit(": "),
-        preview(parsed, 8, 80),
+        preview("raw", PREVIEW_FIELDS, PREVIEW_CHARS),
     )
-    # In the projection and not in a filter: a filter may be moved to lines that are no records.
-    checked = F.when(
-        F.col("fields") != F.col("expected"), F.raise_error(message).cast(parsed.schema["cells"].dataType)
-    ).otherwise(F.col("cells"))
-    return parsed.withColumn("cells", checked).select("cells.*")
+    checked = _cells_or_stop(parsed, F.col("unclosed"), _open_quote())
+    checked = _cells_or_stop(checked, F.col("fields") != F.col("expected"), message)
+    return checked.select("cells.*")
 
 
 def empty_to_null(df: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """What a task does with the lines of its splits: counting quotes and joining lines.
 
 These functions work on Arrow batches, whole columns at a time. Batches arrive in file
-order, and a task may hold several splits one after the other.
+order, a split as a whole in one task, and a task may hold several splits one after the other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,15 +15,14 @@ import pyarrow.compute as pc
 Batches = Iterator[pa.RecordBatch]
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """The batch cut where the file or the split changes, each piece with its split."""
     starts = batch.column("split_start").to_numpy(zero_copy_only=False)
-    files = batch.column("file").dictionary_encode()
-    codes = files.indices.to_numpy(zero_copy_only=False)
-    changed = np.flatnonzero((np.diff(starts) != 0) | (np.diff(codes) != 0)) + 1
+    files = batch.column("file_id").to_numpy(zero_copy_only=False)
+    changed = np.flatnonzero((np.diff(starts) != 0) | (np.diff(files) != 0)) + 1
     for lo, hi in zip([0, *changed], [*changed, batch.num_rows]):
         if hi > lo:
-            yield (files.dictionary[int(codes[lo])].as_py(), int(starts[lo])), batch.slice(lo, hi - lo)
+            yield (int(files[lo]), int(starts[lo])), batch.slice(lo, hi - lo)
 
 
 def _parity_before(run: pa.RecordBatch, parity: int) -> tuple[np.ndarray, int]:
@@ -33,22 +32,49 @@ def _parity_before(run: pa.RecordBatch, parity: int) -> tuple[np.ndarray, int]:
     return (upto - quotes) & 1, int(upto[-1]) & 1
 
 
+def _in_order(run: pa.RecordBatch, last_pos: int) -> int:
+    pos = run.column("pos").to_numpy(zero_copy_only=False)
+    if pos[0] <= last_pos or (np.diff(pos) <= 0).any():
+        raise ValueError("lines of a split arrived out of order")
+    return int(pos[-1])
+
+
 def count_splits(batches: Batches) -> Iterator[pa.RecordBatch]:
-    """Per piece of a split: its lines, quotes and bytes, and how many of its lines have
-    an even number of quotes between the start of the split and their own start."""
-    split, parity = None, 0
+    """One row per split, for a quote state at its start that is not known yet.
+
+    ``first_pos`` and ``lines``; ``quotes``; ``evens``: lines that start a record if none is
+    open at the split's start (the others do if one is); ``last_even`` and ``last_odd``: the
+    last of either kind; ``first_odd``: the first of the other kind, counted from 0, or the
+    number of lines.
+    """
+    names = "file_id split_start first_pos lines quotes evens last_even first_odd last_odd".split()
+    split, row, last_pos = None, None, -1
+
+    def done():
+        row["first_odd"] = row["lines"] if row["first_odd"] is None else row["first_odd"]
+        return pa.RecordBatch.from_pylist([row], schema=pa.schema([(n, pa.int64()) for n in names]))
+
     for batch in batches:
-        rows = []
         for here, run in _runs(batch):
             if here != split:
-                split, parity = here, 0
-            before, parity = _parity_before(run, parity)
-            quotes = pc.sum(run.column("quotes")).as_py()
-            size = pc.sum(run.column("line_bytes")).as_py()
-            rows.append((*here, run.num_rows, quotes, size, int((before == 0).sum())))
-        names = ["file", "split_start", "lines", "quotes", "bytes", "evens"]
-        if rows:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows])
+                if row:
+                    yield done()
+                split, last_pos = here, -1
+                row = dict(zip(names, [*here, run.column("pos")[0].as_py(), 0, 0, 0, -1, None, -1]))
+            last_pos = _in_order(run, last_pos)
+            before, _ = _parity_before(run, row["quotes"] & 1)
+            evens, odds = np.flatnonzero(before == 0), np.flatnonzero(before == 1)
+            if len(evens):
+                row["last_even"] = row["lines"] + int(evens[-1])
+            if len(odds):
+                row["last_odd"] = row["lines"] + int(odds[-1])
+                if row["first_odd"] is None:
+                    row["first_odd"] = row["lines"] + int(odds[0])
+            row["evens"] += len(evens)
+            row["lines"] += run.num_rows
+            row["quotes"] += pc.sum(run.column("quotes")).as_py()
+    if row:
+        yield done()
 
 
 def number_lines(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -75,75 +101,52 @@ def number_lines(batches: Batches) -> Iterator[pa.RecordBatch]:
             )
 
 
-def join_records(fragments: bool) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
-    """Joins the lines of each record.
+def join_records(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Joins the lines of the records that begin and end in one split.
 
-    A record that begins or ends outside its split is a fragment; one call of the
-    returned function gives either the fragments or all other records.
+    The lines before the split's first record and those of a record that its end cuts off
+    have been left out, so a record starts with the first line that arrives.
     """
-    names = ["file", "record_num", "start_line", "end_line", "raw"]
+    names = ["file_id", "record_num", "start_line", "end_line", "raw"]
 
-    def rows(file, record_nums, first_lines, last_lines, raw):
-        columns = [pa.repeat(pa.scalar(file), len(raw)), pa.array(record_nums, pa.int64())]
+    def rows(file_id, record_nums, first_lines, last_lines, raw):
+        columns = [pa.repeat(pa.scalar(file_id, pa.int64()), len(raw)), pa.array(record_nums, pa.int64())]
         columns += [pa.array(first_lines, pa.int64()), pa.array(last_lines, pa.int64()), raw]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    def scan(batches: Batches) -> Iterator[pa.RecordBatch]:
-        split, line, record, parity, last_pos = None, 0, 0, 0, -1
-        # The record that is still open: its lines so far, number, first line, and
-        # whether it began in an earlier split.
-        pieces, number, first, from_before = [], 0, 0, False
-
-        def emit_open():
-            return rows(split[0], [number], [first], [line], pa.array(["\n".join(pieces)]))
-
-        for batch in batches:
-            for here, run in _runs(batch):
-                if here != split:
-                    if pieces and fragments:
-                        yield emit_open()
-                    split = here
-                    line, record, parity = (
-                        run.column(c)[0].as_py()
-                        for c in ("line_offset", "record_offset", "start_parity")
+    split, line, record, parity, last_pos = None, 0, 0, 0, -1
+    pieces, first = [], 0  # the lines so far of a record that a batch's end cut off
+    for batch in batches:
+        for here, run in _runs(batch):
+            if here != split:
+                split, parity, last_pos, pieces = here, 0, -1, []
+                line = run.column("line_offset")[0].as_py() + run.column("head")[0].as_py()
+                record = run.column("record_offset")[0].as_py()
+            last_pos = _in_order(run, last_pos)
+            values = run.column("value")
+            before, after = _parity_before(run, parity)
+            starts = np.flatnonzero(before == 0)
+            head = int(starts[0]) if len(starts) else run.num_rows
+            if head:
+                pieces.extend(values.slice(0, head).to_pylist())
+                if len(starts) or after == 0:
+                    yield rows(here[0], [record], [first], [line + head], pa.array(["\n".join(pieces)]))
+                    pieces, record = [], record + 1
+            if len(starts):
+                ends = np.append(starts[1:], run.num_rows)
+                whole = len(starts) if after == 0 else len(starts) - 1
+                if whole:
+                    cuts = pa.array(np.append(starts[:whole], ends[whole - 1]), pa.int32())
+                    raw = pc.binary_join(pa.ListArray.from_arrays(cuts, values), "\n")
+                    yield rows(
+                        here[0],
+                        record + np.arange(whole),
+                        line + 1 + starts[:whole],
+                        line + ends[:whole],
+                        raw,
                     )
-                    pieces, number, first, from_before = [], record - 1, line + 1, parity == 1
-                    last_pos = -1
-                pos = run.column("pos").to_numpy(zero_copy_only=False)
-                if pos[0] <= last_pos or (np.diff(pos) <= 0).any():
-                    raise ValueError("lines of a split arrived out of order")
-                last_pos = int(pos[-1])
-                values = run.column("value")
-                before, after = _parity_before(run, parity)
-                starts = np.flatnonzero(before == 0)
-                head = int(starts[0]) if len(starts) else run.num_rows
-                if head:
-                    pieces.extend(values.slice(0, head).to_pylist())
-                    if len(starts) or after == 0:
-                        line += head
-                        if from_before == fragments:
-                            yield emit_open()
-                        line -= head
-                        pieces = []
-                if len(starts):
-                    ends = np.append(starts[1:], run.num_rows)
-                    whole = len(starts) if after == 0 else len(starts) - 1
-                    if whole and not fragments:
-                        cuts = pa.array(np.append(starts[:whole], ends[whole - 1]), pa.int32())
-                        raw = pc.binary_join(pa.ListArray.from_arrays(cuts, values), "\n")
-                        yield rows(
-                            split[0],
-                            record + np.arange(whole),
-                            line + 1 + starts[:whole],
-                            line + ends[:whole],
-                            raw,
-                        )
-                    if after == 1:
-                        pieces = values.slice(int(starts[-1])).to_pylist()
-                        number, first, from_before = record + whole, line + 1 + int(starts[-1]), False
-                    record += len(starts)
-                line, parity = line + run.num_rows, after
-        if pieces and fragments:
-            yield emit_open()
-
-    return scan
+                if after == 1:
+                    pieces = values.slice(int(starts[-1])).to_pylist()
+                    first = line + 1 + int(starts[-1])
+                record += whole
+            line, parity = line + run.num_rows, after

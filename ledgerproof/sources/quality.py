@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import escape_preview, has_line_break, joined_where
+from ..functions import escape_preview, has_line_break
 from ..operators.perkey import distinct_keys
 from ..operators.skew import spread_join
-from .csvfiles import preview, read_parsed
+from ..operators.summaries import first_rows
+from .csvfiles import PREVIEW_CHARS, PREVIEW_FIELDS, preview, read_parsed
 from .headers import clean_header, read_header
-from .records import file_totals, numbered_lines, raw_lines
+from .records import file_names, file_totals, numbered_lines, own_cells, raw_lines, read_records
 
 
 def physical_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -51,26 +52,37 @@ def record_shape(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Cells shown of a record without a break in any of them, and characters shown.
+FIRST_CELLS, BREAK_CHARS = 5, 120
+
+
 def multiline_records(
-    spark: SparkSession, path: str, key: str | None = None, preview_chars: int = 120
+    spark: SparkSession,
+    path: str,
+    key: str | None = None,
+    preview_chars: int = BREAK_CHARS,
+    first: int | None = None,
 ) -> DataFrame:
-    """Records that span several lines, with position, key and the fields holding the breaks."""
+    """Records that span several lines, with position, key and the fields holding the breaks.
+
+    The fields are the record's own, also those that the header does not name. ``first``
+    stops after so many findings, in the order of the files.
+    """
     raw_names = read_header(spark, path)
     names = clean_header(raw_names)
-    shown = [name if name is not None else "" for name in raw_names]
-    cells = [F.col("cells").getField(n) for n in names]
-    breaks = [has_line_break(c) for c in cells]
-    previews: list[Column] = [
-        F.when(b, F.concat(F.lit(f"{label}: "), escape_preview(c, preview_chars)))
-        for label, b, c in zip(shown, breaks, cells)
-    ]
-    fallback = escape_preview(
-        F.array_join(F.array(*[F.coalesce(c, F.lit("")) for c in cells[:5]]), " | "), preview_chars
-    )
-    key_cell = F.col("cells").getField(key) if key in names else F.lit("")
-    return (
+    labels = F.array(*(F.lit(name if name is not None else "") for name in raw_names))
+    broken = F.transform(F.col("own"), lambda c, i: F.struct(i.alias("i"), c.alias("cell")))
+    name_of = lambda b: F.coalesce(F.get(labels, b["i"]), F.lit(""))
+    first_broken = F.get("broken", F.lit(0))
+    shown = F.concat(name_of(first_broken), F.lit(": "), escape_preview(first_broken["cell"], preview_chars))
+    cells = F.array_join(F.slice("own", 1, FIRST_CELLS), " | ")
+    named = F.filter("broken", lambda b: b["i"] < len(names))
+    key_cell = F.get("own", F.lit(names.index(key))) if key in names else F.lit("")
+    found = (
         read_parsed(spark, path)
         .where((F.col("end_line") > F.col("start_line")) | has_line_break("raw"))
+        .withColumn("own", own_cells("raw"))
+        .withColumn("broken", F.filter(broken, lambda b: has_line_break(b["cell"])))
         .select(
             "file",
             "record_num",
@@ -78,11 +90,14 @@ def multiline_records(
             "end_line",
             (F.col("end_line") - F.col("start_line")).alias("extra_physical_lines"),
             F.coalesce(key_cell, F.lit("")).alias("unique_key"),
-            joined_where([str(i) for i in range(len(names))], breaks).alias("fields_with_newline_indexes"),
-            joined_where(shown, breaks).alias("fields_with_newline_names"),
-            F.coalesce(*previews, fallback).alias("preview"),
+            F.array_join(F.transform("broken", lambda b: b["i"].cast("string")), ";").alias(
+                "fields_with_newline_indexes"
+            ),
+            F.array_join(F.transform(named, name_of), ";").alias("fields_with_newline_names"),
+            F.when(F.size("broken") > 0, shown).otherwise(escape_preview(cells, preview_chars)).alias("preview"),
         )
     )
+    return found if first is None else first_rows(found, first, ["file", "record_num"])
 
 
 def multiline_totals(spark: SparkSession, path: str) -> DataFrame:
@@ -99,34 +114,76 @@ def multiline_totals(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bad_structure(
-    spark: SparkSession, path: str, preview_fields: int = 8, preview_chars: int = 80
+    spark: SparkSession,
+    path: str,
+    preview_fields: int = PREVIEW_FIELDS,
+    preview_chars: int = PREVIEW_CHARS,
+    first: int | None = None,
 ) -> DataFrame:
-    """Records whose field count differs from the header's, blank lines included."""
-    parsed = read_parsed(spark, path)
-    return parsed.where("fields <> expected").select(
+    """Records whose field count differs from the header's, blank lines included, and
+    records whose quote is never closed, shown by their first line. ``first`` stops after
+    so many findings, in the order of the files."""
+    found = read_parsed(spark, path).where("fields <> expected OR unclosed").select(
         "file",
         "record_num",
         "start_line",
         "end_line",
         F.col("fields").alias("actual_fields"),
         F.col("expected").alias("expected_fields"),
-        preview(parsed, preview_fields, preview_chars).alias("preview"),
+        "unclosed",
+        preview("raw", preview_fields, preview_chars).alias("preview"),
     )
+    return found if first is None else first_rows(found, first, ["file", "record_num"])
+
+
+def quote_balance(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: lines, records, quotes, and the record that an open quote never lets end."""
+    quotes = raw_lines(spark, path).groupBy("file_id").agg(F.sum("quotes").alias("quotes"))
+    names = file_names(spark, path).join(quotes, "file_id").drop("file_id")
+    return names.join(file_totals(spark, path), "file").select(
+        "file", "lines", "records", "quotes", F.col("unclosed").alias("open_record")
+    )
+
+
+def record_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: records, header included, their lines, and faults in their positions.
+
+    Where one record ends the next one has to begin, with the next number. Each end and each
+    beginning is a key, so a file of any size is compared in all tasks; what finds no
+    counterpart, but for the first beginning and the last end, is a fault.
+    """
+    rows = read_records(spark, path).select("file", "record_num", "start_line", "end_line")
+    edges = F.explode(
+        F.array(
+            F.struct(F.col("end_line").alias("line"), F.col("record_num").alias("num"), F.lit(1).alias("sign")),
+            F.struct((F.col("start_line") - 1).alias("line"), (F.col("record_num") - 1).alias("num"), F.lit(-1).alias("sign")),
+        )
+    )
+    met = rows.select("file", edges.alias("e")).groupBy("file", "e.line", "e.num").agg(F.sum("e.sign").alias("over"))
+    loose = met.where("over <> 0").groupBy("file").agg((F.count("*") - 2).alias("faults"))
+    totals = rows.groupBy("file").agg(
+        F.count("*").alias("records"),
+        F.sum(F.col("end_line") - F.col("start_line") + 1).cast("bigint").alias("lines"),
+        F.max("record_num").alias("last_record"),
+        F.max("end_line").alias("last_line"),
+    )
+    return totals.join(loose, "file")
 
 
 def terminator_profile(spark: SparkSession, path: str) -> DataFrame:
     """Per file: lines ended by CR LF and by LF alone, and which of them prevails."""
     crlf = F.endswith(F.col("value"), F.lit("\r"))
     return (
-        raw_lines(spark, path)
-        .groupBy("file")
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(F.count_if(crlf).alias("crlf_lines"), F.count_if(~crlf).alias("lf_lines"))
         .withColumn("terminator", F.when(F.col("crlf_lines") >= F.col("lf_lines"), "CRLF").otherwise("LF"))
     )
 
 
 def missing_rows(
-    source: DataFrame, source_key: str, target: DataFrame, target_key: str, *, min_hot_rows: int
+    source: DataFrame, source_key: str, target: DataFrame, target_key: str
 ) -> DataFrame:
     """Source rows whose key the target lacks; blank keys are skipped, duplicates are kept."""
     keyed = source.withColumn("lookup_key", F.trim(source_key)).where("lookup_key <> ''")
@@ -136,15 +193,14 @@ def missing_rows(
         "lookup_key",
         "target_key",
         "left_anti",
-        min_hot_rows=min_hot_rows,
     ).drop("lookup_key")
 
 
 def missing_records(
-    spark: SparkSession, path: str, key: str, target: DataFrame, target_key: str, *, min_hot_rows: int
+    spark: SparkSession, path: str, key: str, target: DataFrame, target_key: str
 ) -> DataFrame:
     """Missing rows of a CSV file with their record number, the header being number 1."""
     source = read_parsed(spark, path).select(
         (F.col("record_num") + 1).alias("source_line_num"), "cells.*"
     )
-    return missing_rows(source, key, target, target_key, min_hot_rows=min_hot_rows)
+    return missing_rows(source, key, target, target_key)

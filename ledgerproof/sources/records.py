@@ -4,8 +4,12 @@ A quoted field may hold line breaks, so a line alone does not tell whether it st
 record: that takes the number of quotes before it, back to the start of the file. Here
 every split is first counted on its own, for both possible states at its start; a running
 sum over one small row per split then says which of the two applies. With that known, each
-task joins the lines of its records by itself. Nothing but the two records that a split
-shares with its neighbours is shuffled.
+task joins the lines of its records by itself. Only the pieces of the records that straddle
+a split's end are shuffled; the lines that hold them are picked out before they are moved.
+
+A file with an odd number of quotes has one that is never closed. Everything behind the
+start of its last record would belong to that record, so its lines are not put together,
+whatever their number: the record is reported by its first line as ``unclosed``.
 """
 
 from __future__ import annotations
@@ -20,13 +24,20 @@ from . import linescan
 # The scan functions travel to the executors with the query; the package need not be there.
 cloudpickle.register_pickle_by_value(linescan)
 
-# A record may not be longer than this; a longer one is a quote that was never closed.
-MAX_RECORD_BYTES = 64 * 1024 * 1024
-
-# The offsets are broadcast up to this many splits (about 200 bytes each, 250 TB of files
-# in splits of 256 MB); beyond it the join is left to Spark.
+# The split table is broadcast up to this many splits (80 bytes each, 250 TB of files in
+# splits of 256 MB); beyond it the join is left to Spark.
 MAX_BROADCAST_SPLITS = 1_000_000
 
+# What an unquoted cell holds in place of a delimiter that stands between quotes.
+_INSIDE, _ESCAPED = "\u0001\u0003", "\u0001\u0002"
+
+
+def file_names(spark: SparkSession, path: str) -> DataFrame:
+    """(file_id, file) of the files, which are listed and not read."""
+    file = F.col("_metadata.file_path")
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.xxhash64(file).alias("file_id"), file.alias("file"))
+
 
 def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """Physical lines with the split they start in and their number of quotes."""
@@ -37,63 +48,52 @@ def raw_lines(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
         .text(path)
         .select(
             value,
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64(F.col("_metadata.file_path")).alias("file_id"),
             F.col("_metadata.file_block_start").alias("split_start"),
             F.when(F.contains(value, F.lit(quote)), F.octet_length(value) - without)
             .otherwise(F.lit(0))
             .alias("quotes"),
-            (F.octet_length(value) + 1).cast("bigint").alias("line_bytes"),
             F.contains(F.rtrim(value, F.lit("\r")), F.lit("\r")).alias("inner_cr"),
             F.monotonically_increasing_id().alias("pos"),
         )
     )
 
 
-def split_totals(lines: DataFrame) -> DataFrame:
-    """One row per split: its lines, quotes, bytes, and lines with even parity before them."""
-    counted = lines.select("file", "split_start", "quotes", "line_bytes").mapInArrow(
-        linescan.count_splits,
-        "file string, split_start bigint, lines bigint, quotes bigint, bytes bigint, evens bigint",
-    )
-    return counted.groupBy("file", "split_start").agg(
-        *[F.sum(c).alias(c) for c in ("lines", "quotes", "bytes", "evens")]
-    )
-
+def split_offsets(lines: DataFrame) -> DataFrame:
+    """One row per split: lines and records before it and in it, and the quote state at its start.
 
-def split_offsets(lines: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
-    """One row per split: lines and records before it and in it, and the quote state at its start."""
+    ``head``: lines before its first record; ``tail``: the line from which its last record is
+    cut off by its end, or the number of lines; ``unclosed``: number of the file's record
+    with the open quote, or NULL; ``file_lines``.
+    """
+    fields = "file_id split_start first_pos lines quotes evens last_even first_odd last_odd".split()
+    counted = lines.select("file_id", "split_start", "quotes", "pos").mapInArrow(
+        linescan.count_splits, ", ".join(f"{f} bigint" for f in fields)
+    )
     # One row per split, so even a file of 100 TB is some 400,000 rows here.
-    earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(
+    earlier = Window.partitionBy("file_id").orderBy("split_start").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    whole_file = Window.partitionBy("file_id")
 
     def before(total: Column) -> Column:
         return F.coalesce(F.sum(total).over(earlier), F.lit(0)).cast("bigint")
 
-    starts = F.when(F.col("start_parity") == 0, F.col("evens")).otherwise(
-        F.col("lines") - F.col("evens")
-    )
-    endless = F.concat(
-        F.lit("no record starts in "),
-        F.format_number("bytes", 0),
-        F.lit(" bytes, a quote is left open: "),
-        F.col("file"),
-        F.lit(" near line "),
-        F.col("line_offset").cast("string"),
-    )
+    even = F.col("start_parity") == 0
+    starts = F.when(even, F.col("evens")).otherwise(F.col("lines") - F.col("evens"))
+    head = F.when(even, F.lit(0)).otherwise(F.col("first_odd"))
+    last = F.when(even, F.col("last_even")).otherwise(F.col("last_odd"))
+    cut_off = ((F.col("start_parity") + F.col("quotes")) % 2 == 1) & (starts > 0)
+    odd_file = F.sum("quotes").over(whole_file) % 2 == 1
     return (
-        split_totals(lines)
-        .withColumn("line_offset", before(F.col("lines")))
+        counted.withColumn("line_offset", before(F.col("lines")))
         .withColumn("start_parity", before(F.col("quotes")) % 2)
-        .withColumn(
-            "starts",
-            F.when(
-                (starts == 0) & (F.col("bytes") > max_record_bytes),
-                F.raise_error(endless).cast("bigint"),
-            ).otherwise(starts),
-        )
+        .withColumns({"starts": starts, "head": head})
+        .withColumn("tail", F.when(cut_off, last).otherwise(F.col("lines")))
         .withColumn("record_offset", before(F.col("starts")))
-        .select("file", "split_start", "line_offset", "start_parity", "record_offset", "lines", "starts")
+        .withColumn("unclosed", F.when(odd_file, F.sum("starts").over(whole_file) - 1))
+        .withColumn("file_lines", F.sum("lines").over(whole_file))
+        .drop("quotes", "evens", "last_even", "first_odd", "last_odd")
     )
 
 
@@ -102,44 +102,45 @@ def _few_splits(spark: SparkSession, path: str) -> bool:
     split_bytes = setting_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     files = spark.read.format("binaryFile").load(path)  # listed, not read: content is not selected
     size = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
-    return size.n + size.b / split_bytes <= MAX_BROADCAST_SPLITS
+    # Splits are smaller than that only while there are fewer of them than cores.
+    parts = max(size.b / split_bytes, spark.sparkContext.defaultParallelism)
+    return size.n + parts <= MAX_BROADCAST_SPLITS
 
 
-def _with_offsets(
-    spark: SparkSession, path: str, columns: list[str], quote: str, max_record_bytes: int
-) -> DataFrame:
-    """Lines in file order within each split, next to the offsets of their split.
+def _with_offsets(spark: SparkSession, path: str, columns: list[str], quote: str) -> DataFrame:
+    """Lines next to the offsets of their split, with ``at``, their place in it from 0.
 
     A broadcast leaves the lines where and in the order they are read. With too many
     splits for that, the lines are brought together by split and put in order again.
     """
     lines = raw_lines(spark, path, quote)
-    offsets = split_offsets(lines, max_record_bytes).drop("lines", "starts")
-    rows = lines.select(*dict.fromkeys([*columns, "file", "split_start", "quotes", "pos"]))
+    offsets = split_offsets(lines)
+    rows = lines.select(*dict.fromkeys([*columns, "file_id", "split_start", "quotes", "pos"]))
+    place = (F.col("pos") - F.col("first_pos")).alias("at")
     if _few_splits(spark, path):
-        return rows.join(F.broadcast(offsets), ["file", "split_start"])
-    joined = rows.join(offsets, ["file", "split_start"])
-    return joined.repartition("file", "split_start").sortWithinPartitions("file", "split_start", "pos")
+        return rows.join(F.broadcast(offsets), ["file_id", "split_start"]).select("*", place)
+    joined = rows.join(offsets, ["file_id", "split_start"]).select("*", place)
+    return joined.repartition("file_id", "split_start").sortWithinPartitions(
+        "file_id", "split_start", "pos"
+    )
 
 
 def numbered_lines(
-    spark: SparkSession,
-    path: str,
-    quote: str = '"',
-    max_record_bytes: int = MAX_RECORD_BYTES,
-    columns: tuple[str, ...] = ("value",),
+    spark: SparkSession, path: str, quote: str = '"', columns: tuple[str, ...] = ("value",)
 ) -> DataFrame:
     """Every physical line with its line number (from 1) and record number (header is 0).
 
     ``columns`` of the raw lines are kept. ``starts`` marks the first line of a record
     and ``whole`` a line that is a record by itself.
     """
-    lines = _with_offsets(spark, path, list(columns), quote, max_record_bytes)
+    lines = _with_offsets(spark, path, list(columns), quote).select(
+        *columns, "file_id", "split_start", "quotes", "line_offset", "record_offset", "start_parity"
+    )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields)
     return lines.mapInArrow(
         linescan.number_lines, f"{schema}, line_num bigint, record_num bigint, starts boolean"
     ).select(
-        "file",
+        "file_id",
         *columns,
         "line_num",
         "record_num",
@@ -149,38 +150,62 @@ def numbered_lines(
 
 
 def file_totals(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
-    """Per file: physical lines and records, header included, from the split table alone."""
-    return (
+    """Per file, from the split table alone: physical lines, records, header included, and
+    the record that an open quote never lets end (NULL without one)."""
+    totals = (
         split_offsets(raw_lines(spark, path, quote))
-        .groupBy("file")
-        .agg(F.sum("lines").alias("lines"), F.sum("starts").alias("records"))
+        .groupBy("file_id")
+        .agg(
+            F.sum("lines").alias("lines"),
+            F.sum("starts").alias("records"),
+            F.max("unclosed").alias("unclosed"),
+        )
     )
+    return file_names(spark, path).join(totals, "file_id").drop("file_id")
 
 
-def read_records(
-    spark: SparkSession, path: str, quote: str = '"', max_record_bytes: int = MAX_RECORD_BYTES
-) -> DataFrame:
-    """CSV records as raw text: file, record_num, start_line, end_line, raw.
+def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """CSV records as raw text: file, record_num, start_line, end_line, raw, unclosed.
 
     Records within a split are joined where they are read; only the pieces of records
-    that straddle a split end are shuffled, at most two per split.
+    that straddle a split end are shuffled.
     """
-    lines = _with_offsets(spark, path, ["value"], quote, max_record_bytes)
-    schema = "file string, record_num bigint, start_line bigint, end_line bigint, raw string"
-    inside = lines.mapInArrow(linescan.join_records(fragments=False), schema)
-    pieces = F.sort_array(F.collect_list(F.struct("start_line", "raw")))
+    lines = _with_offsets(spark, path, ["value"], quote)
+    inner = lines.where((F.col("at") >= F.col("head")) & (F.col("at") < F.col("tail")))
+    inside = inner.select(
+        "value", "file_id", "split_start", "quotes", "pos", "line_offset", "record_offset", "head"
+    ).mapInArrow(
+        linescan.join_records,
+        "file_id bigint, record_num bigint, start_line bigint, end_line bigint, raw string",
+    )
+    in_head = F.col("at") < F.col("head")
+    number = F.col("record_offset") + F.when(in_head, F.lit(0)).otherwise(F.col("starts")) - 1
+    open_ended = number.eqNullSafe(F.col("unclosed"))
+    first_only = ~open_ended | (F.col("at") == F.col("tail"))
+    pieces = F.sort_array(F.collect_list(F.struct("line", "value")))
     straddling = (
-        lines.mapInArrow(linescan.join_records(fragments=True), schema)
-        .groupBy("file", "record_num")
+        lines.where((in_head | (F.col("at") >= F.col("tail"))) & first_only)
+        .select(
+            "file_id",
+            number.alias("record_num"),
+            open_ended.alias("unclosed"),
+            "file_lines",
+            (F.col("line_offset") + F.col("at") + 1).alias("line"),
+            "value",
+        )
+        .groupBy("file_id", "record_num", "unclosed")
         .agg(
-            F.min("start_line").alias("start_line"),
-            F.max("end_line").alias("end_line"),
-            F.array_join(F.transform(pieces, lambda p: p["raw"]), "\n").alias("raw"),
+            F.min("line").alias("start_line"),
+            F.when(F.col("unclosed"), F.max("file_lines")).otherwise(F.max("line")).alias("end_line"),
+            F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("raw"),
         )
     )
     raw = F.col("raw")
     without_cr = F.when(F.endswith(raw, F.lit("\r")), F.left(raw, F.length(raw) - 1)).otherwise(raw)
-    return inside.unionByName(straddling).withColumn("raw", without_cr)
+    every = inside.withColumn("unclosed", F.lit(False)).unionByName(straddling)
+    # The driver lists the files of every read; their names are no more than that.
+    named = every.join(F.broadcast(file_names(spark, path)), "file_id")
+    return named.select("file", "record_num", "start_line", "end_line", without_cr.alias("raw"), "unclosed")
 
 
 def field_count(raw: Column | str, quote: str = '"', delimiter: str = ",") -> Column:
@@ -193,3 +218,24 @@ def field_count(raw: Column | str, quote: str = '"', delimiter: str = ",") -> Co
     outside = F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), "")
     commas = F.length(outside) - F.length(F.replace(outside, F.lit(delimiter), F.lit("")))
     return F.when(raw == "", F.lit(0)).otherwise(commas + 1)
+
+
+def own_cells(raw: Column | str, quote: str = '"', delimiter: str = ",") -> Column:
+    """All cells of a raw record, as many as it has, without their quotes.
+
+    Delimiters outside quotes are marked, which is where the record is then split.
+    """
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    replaced = lambda text, old, new: F.replace(text, F.lit(old), F.lit(new))
+    pieces = F.split(replaced(raw, "\u0001", _ESCAPED), quote)
+    marked = F.transform(
+        pieces, lambda p, i: F.when(i % 2 == 0, replaced(p, delimiter, _INSIDE)).otherwise(p)
+    )
+    cells = F.split(F.array_join(marked, quote), _INSIDE)
+
+    def plain(cell: Column) -> Column:
+        inner = replaced(F.substring(cell, F.lit(2), F.length(cell)), quote * 2, _INSIDE)
+        bare = replaced(replaced(inner, quote, ""), _INSIDE, quote)
+        return replaced(F.when(F.startswith(cell, F.lit(quote)), bare).otherwise(cell), _ESCAPED, "\u0001")
+
+    return F.when(raw == "", F.array().cast("array<string>")).otherwise(F.transform(cells, plain))

@@ -9,7 +9,7 @@ from ledgerproof.config import Period
 from ledgerproof.functions import in_period
 from ledgerproof.plans import load, reports
 from ledgerproof.session import cluster_conf, setting_in_bytes
-from ledgerproof.sources import sinks
+from ledgerproof.sources import csvfiles, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,11 +80,21 @@ def test_load_job_stages_every_table_in_order(spark, tmp_path):
     (raw / "c.csv").write_text('k,v,w\n1,"x,y"\n')
     jobs = [
         load.LoadJob("a", str(raw / "a.csv"), "strict"),
-        load.LoadJob("b", str(raw / "b.csv"), "tolerant"),
+        load.LoadJob("b", str(raw / "b.csv"), "tolerant", reject_cap=1),
         load.LoadJob("c", str(raw / "c.csv"), "unquoted"),
     ]
     tables = load.load_all(spark, jobs, str(staged))
-    assert [(name, df.count()) for name, df in tables.items()] == [("a", 2), ("b", 2), ("c", 1)]
+    assert [(name, df.count()) for name, df in tables.items()] == [
+        ("a", 2), ("b_rejects", 1), ("b", 2), ("c", 1)
+    ]
+    assert tuple(tables["b_rejects"].select("record_num", "start_line", "raw", "fields", "expected").first()) == (
+        2, 3, "3", 1, 2
+    )
+    with pytest.raises(csvfiles.RejectedRows, match="more than 0 malformed records"):
+        load.load_all(spark, [load.LoadJob("b", str(raw / "b.csv"), "tolerant", reject_cap=0)], str(staged))
+    for wrong in (dict(mode="tolerant"), dict(mode="strict", reject_cap=3), dict(mode="unheard of")):
+        with pytest.raises(ValueError):
+            load.LoadJob("b", "b.csv", **wrong)
     a = spark.read.parquet(str(staged / "a"))
     assert a.columns == ["Key_ID", "when"]
     assert a.where(in_period("when", Period("1998-10-01", "1999-01-01"))).count() == 1
