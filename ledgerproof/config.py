@@ -78,8 +78,6 @@ class ReconConfig:
     # Payments that count as contractor withdrawals.
     contractor_purpose: str = "contractor_payment"
     contractor_years: tuple[str, ...] = ()
-    # A key with at least this many rows is spread over several tasks when whole rows are joined.
-    hot_key_rows: int = 1_000_000
 
 
 # The labels a report reader filters on.

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL
+from .perkey import distinct_keys, totals_by, with_keys, without_keys
+from .summaries import control_totals
+
+# (per-key rows, key, keys of the other side, their name) -> the rows that stay
+Match = Callable[[DataFrame, str, DataFrame, str], DataFrame]
 
 
 def long_metrics(one_row: DataFrame, table: str) -> DataFrame:
@@ -49,56 +57,54 @@ def tie_out(
     bank_key: str,
     bank_amount: Column,
     bank_group: str,
+    match: Match = with_keys,
+    differ: Match = without_keys,
 ) -> DataFrame:
-    """Per side: total, matched and unmatched rows and money, and what is left over.
+    """Per side: total, matched and unmatched rows and money, what is left over, and
+    how many keys occur more than once.
 
-    Bank rows are counted per key and ``bank_group``. A row is matched when the other
-    side has its key, which makes the proof hold for duplicated keys as well. Both
-    sides meet once, as per-key totals in one full join.
+    The three figures come from three operators: the control totals of the ledger as it
+    is, the rows that ``match`` keeps and those that ``differ`` keeps, so rows that are
+    lost or counted twice on the way show up as a residual. Bank rows are counted per key
+    and ``bank_group``. A key that occurs more than once on the payout side means that the
+    reports count its bank rows more than once.
     """
-    p = (
-        payout.select(F.col(payout_key).alias("pk"), payout_amount.alias("amount"))
-        .groupBy("pk")
-        .agg(F.count("*").alias("p_rows"), F.sum("amount").cast(TOTAL).alias("p_sum"))
-    )
+    p = payout.select(F.col(payout_key).alias("k"), payout_amount.alias("amount"))
     b = (
-        bank.select(
-            F.col(bank_key).alias("bk"), F.col(bank_group).alias("g"), bank_amount.alias("amount")
-        )
-        .groupBy("bk", "g")
+        bank.select(F.col(bank_key).alias("k"), F.col(bank_group).alias("g"), bank_amount.alias("amount"))
+        .groupBy("k", "g")
         .agg(F.sum("amount").cast(TOTAL).alias("amount"))
-        .groupBy("bk")
-        .agg(F.count("*").alias("b_rows"), F.sum("amount").cast(TOTAL).alias("b_sum"))
+        .drop("g")
     )
-    both = p.join(b, F.col("pk") == F.col("bk"), "full")
-    matched = F.col("p_rows").isNotNull() & F.col("b_rows").isNotNull()
+    sides = (("payout", p, distinct_keys(b, "k", "other")), ("bank", b, distinct_keys(p, "k", "other")))
+    parts = []
+    for side, rows, others in sides:
+        per_key = totals_by(rows, ["k"], {"usd": F.col("amount")})
+        figures = {
+            "total": control_totals(rows, {"usd": F.col("amount")}).withColumnRenamed("cnt", "rows"),
+            "matched": _sums(match(per_key, "k", others, "other")),
+            "unmatched": _sums(differ(per_key, "k", others, "other")),
+            "duplicate": _sums(per_key.where("k IS NOT NULL AND rows > 1"), F.count("*")),
+        }
+        for part, frame in figures.items():
+            parts.append(frame.select(F.lit(side).alias("side"), F.lit(part).alias("part"), "rows", "usd"))
+    pick = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
     zero = F.lit(0).cast(TOTAL)
-
-    def rows(col: str, cond: Column | None = None) -> Column:
-        value = F.col(col) if cond is None else F.when(cond, F.col(col))
-        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
-
-    def total(col: str, cond: Column | None = None) -> Column:
-        value = F.col(col) if cond is None else F.when(cond, F.col(col))
-        return F.coalesce(F.sum(value).cast(TOTAL), zero)
-
-    def side(name: str, n: str, s: str) -> Column:
-        return F.struct(
-            F.lit(name).alias("side"),
-            rows(n).alias("total_rows"),
-            rows(n, matched).alias("matched_rows"),
-            rows(n, ~matched).alias("unmatched_rows"),
-            total(s).alias("total_usd"),
-            total(s, matched).alias("matched_usd"),
-            total(s, ~matched).alias("unmatched_usd"),
-        )
-
     return (
-        both.agg(side("payout", "p_rows", "p_sum").alias("p"), side("bank", "b_rows", "b_sum").alias("b"))
-        .select(F.explode(F.array("p", "b")).alias("s"))
-        .select("s.*")
+        functools.reduce(DataFrame.unionByName, parts)
+        .groupBy("side")
+        .agg(
+            *(pick(n, "rows").cast("bigint").alias(f"{n}_rows") for n in ("total", "matched", "unmatched")),
+            *(F.coalesce(pick(n, "usd"), zero).alias(f"{n}_usd") for n in ("total", "matched", "unmatched")),
+            pick("duplicate", "rows").cast("bigint").alias("duplicate_keys"),
+        )
         .withColumn(
             "residual_rows", F.expr("total_rows - matched_rows - unmatched_rows").cast("bigint")
         )
         .withColumn("residual_usd", F.expr("total_usd - matched_usd - unmatched_usd").cast(TOTAL))
     )
+
+
+def _sums(per_key: DataFrame, rows: Column | None = None) -> DataFrame:
+    rows = F.coalesce(F.sum("rows"), F.lit(0)) if rows is None else rows
+    return per_key.agg(rows.alias("rows"), F.sum("usd").cast(TOTAL).alias("usd"))

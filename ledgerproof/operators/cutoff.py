@@ -14,7 +14,7 @@ from .filters import (
     payout_in_period,
     provider_is_not,
 )
-from .perkey import distinct_keys, totals_by, weighted_count, weighted_sum
+from .perkey import distinct_keys, totals_by, weighted_count, weighted_sum, without_keys
 from .skew import spread_join
 
 
@@ -26,11 +26,6 @@ def _period_payout_keys(payout: DataFrame, cfg: ReconConfig) -> DataFrame:
     return distinct_keys(payout_in_period(payout, cfg), cfg.payout.key, "payout_key")
 
 
-def _without(left: DataFrame, key: str, others: DataFrame, other_key: str) -> DataFrame:
-    """Per-key rows whose key the other side lacks. A NULL key is kept."""
-    return left.join(others, F.col(key) == F.col(other_key), "left_anti")
-
-
 # -- payout rows without bank row ---------------------------------------------------------
 
 
@@ -53,7 +48,7 @@ def _unmatched_payout_totals(payout: DataFrame, bank: DataFrame, cfg: ReconConfi
         totals(flagged, cfg.flagged_label).alias("flagged"),
         totals(~flagged, cfg.unflagged_label).alias("unflagged"),
     )
-    return _without(per_id, "key", _period_bank_keys(bank, cfg), "bank_key")
+    return without_keys(per_id, "key", _period_bank_keys(bank, cfg), "bank_key")
 
 
 def _one_row_per_flag(per_id: DataFrame, *columns: str) -> DataFrame:
@@ -145,7 +140,6 @@ def unmatched_payout_rows(payout: DataFrame, bank: DataFrame, cfg: ReconConfig)
         cfg.payout.key,
         "bank_key",
         "left_anti",
-        min_hot_rows=cfg.hot_key_rows,
     )
 
 
@@ -174,7 +168,6 @@ def payout_unresolved_rows(
         cfg.payout.key,
         "bank_key",
         "left_anti",
-        min_hot_rows=cfg.hot_key_rows,
     )
 
 
@@ -204,7 +197,7 @@ def payout_undated_rows(
     )
     rows = payout_in_period(payout, cfg).withColumn("withdrawal_date", day_of(cfg.payout.created_at))
     return (
-        spread_join(rows, known, cfg.payout.key, "bank_key", "left", min_hot_rows=cfg.hot_key_rows)
+        spread_join(rows, known, cfg.payout.key, "bank_key", "left")
         .where("bank_key IS NULL OR (period = 0 AND (ever = 0 OR no_day > 0))")
         .withColumn("bank_rows", F.coalesce("no_day", none).cast("bigint"))
         .drop("bank_key", "period", "ever", "no_day")
@@ -219,7 +212,7 @@ def bank_not_payout_totals(payout: DataFrame, bank: DataFrame, cfg: ReconConfig)
     grouped = bank_in_period(bank, cfg).groupBy(
         F.col(cfg.bank.key).alias("key"), F.col(cfg.bank.provider).alias("provider")
     ).agg(F.sum(money(cfg.bank.amount)).cast(TOTAL).alias("usd"))
-    return _without(grouped, "key", _period_payout_keys(payout, cfg), "payout_key").agg(
+    return without_keys(grouped, "key", _period_payout_keys(payout, cfg), "payout_key").agg(
         F.count("*").alias("tms_not_in_payout_cnt"),
         F.sum("usd").cast(TOTAL).alias("tms_not_in_payout_usd_sum"),
     )
@@ -258,8 +251,6 @@ def _bank_with_payments(
         "platform",
         "withdrawal",
         how,
-        min_hot_rows=cfg.hot_key_rows,
-        count_in=rows.select(F.col(cfg.bank.platform_id).alias("platform")),
     )
 
 
@@ -301,7 +292,7 @@ def bank_not_payout_cutoff(
 ) -> DataFrame:
     """Unmatched bank rows by the month of their payout, contractor type and status."""
     per_id = _bank_by_status(bank, payment, cfg, how="left")
-    unmatched = _without(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
+    unmatched = without_keys(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
     months = _payout_months(full_payout, cfg, dated_only=True)
     times = F.coalesce("times", F.lit(1))
     return (
@@ -330,7 +321,7 @@ def bank_not_payout_by_status(
 ) -> DataFrame:
     """The older report: contractor rows only, by month of the payout and status."""
     per_id = _bank_by_status(bank, payment, cfg, how="inner")
-    unmatched = _without(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
+    unmatched = without_keys(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
     months = _payout_months(full_payout, cfg, dated_only=False)
     times = F.coalesce("times", F.lit(1))
     return (
@@ -358,7 +349,7 @@ def bank_not_payout_contractor(
         weighted_count("rows", "payment_rows").alias("rows"),
         weighted_sum("usd", "payment_rows").alias("usd"),
     )
-    unmatched = _without(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
+    unmatched = without_keys(per_id, "key", _period_payout_keys(payout, cfg), "payout_key")
     repeats = (
         full_payout.where(F.col(cfg.payout.key).isNotNull())
         .groupBy(F.col(cfg.payout.key).alias("payout_key"))
@@ -383,7 +374,6 @@ def unmatched_bank_rows(payout: DataFrame, bank: DataFrame, cfg: ReconConfig) ->
         cfg.bank.key,
         "payout_key",
         "left_anti",
-        min_hot_rows=cfg.hot_key_rows,
     )
 
 
@@ -401,7 +391,6 @@ def contractor_tagged_rows(
         cfg.bank.platform_id,
         "withdrawal",
         "inner" if contractor_only else "left",
-        min_hot_rows=cfg.hot_key_rows,
     )
     return tagged.withColumn(
         "withdrawal_type", F.when(F.col("withdrawal").isNotNull(), CONTRACTOR).otherwise(OTHER)

@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, TOTAL
+from ..functions import MONEY, TOTAL, try_money
 from .perkey import weighted
 
 
+def _unreadable(text: Column) -> Column:
+    """1 for a text that is no amount, else 0."""
+    return (text.isNotNull() & try_money(text).isNull()).cast("int")
+
+
+def _strictly(value: Column, bad: Column | str) -> Column:
+    """The value, or an error if a matched row has an unreadable amount."""
+    refused = F.raise_error(F.concat(F.sum(bad).cast("string"), F.lit(" matched amounts are not readable")))
+    return F.when(F.sum(bad) > 0, refused.cast("bigint")).otherwise(value)
+
+
 def matched_difference(
     left: DataFrame,
     right: DataFrame,
@@ -23,13 +34,19 @@ def matched_difference(
 
     ``right`` is first summed per key and ``right_group``, so a payment booked in
     several parts is compared as a whole. A pair with a missing amount has no
-    difference and is left out of ``sum_diff`` only.
+    difference and is left out of ``sum_diff`` only. Amounts are text; one that is no
+    number stops the report if its row is matched, and is not looked at otherwise.
     """
     l = (
         left.where(F.col(left_key).isNotNull())
-        .select(F.col(left_key).alias("k"), left_amount.alias("amount"))
+        .select(
+            F.col(left_key).alias("k"),
+            try_money(left_amount).alias("amount"),
+            _unreadable(left_amount).alias("bad"),
+        )
         .groupBy("k")
         .agg(
+            F.sum("bad").alias("l_bad"),
             F.count("*").alias("l_rows"),
             F.count("amount").alias("l_amounts"),
             F.sum("amount").cast(TOTAL).alias("l_sum"),
@@ -40,19 +57,22 @@ def matched_difference(
         .select(
             F.col(right_key).alias("k"),
             F.col(right_group).alias("g"),
-            right_amount.alias("amount"),
+            try_money(right_amount).alias("amount"),
+            _unreadable(right_amount).alias("bad"),
         )
         .groupBy("k", "g")
-        .agg(F.sum("amount").cast(TOTAL).alias("amount"))
+        .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.sum("bad").alias("bad"))
         .groupBy("k")
         .agg(
+            F.sum("bad").alias("r_bad"),
             F.count("*").alias("r_rows"),
             F.count("amount").alias("r_amounts"),
             F.sum("amount").cast(TOTAL).alias("r_sum"),
         )
     )
+    pairs = F.coalesce(F.sum(F.col("l_rows") * F.col("r_rows")), F.lit(0)).cast("bigint")
     return l.join(r, "k").agg(
-        F.coalesce(F.sum(F.col("l_rows") * F.col("r_rows")), F.lit(0)).cast("bigint").alias("cnt"),
+        _strictly(pairs, F.col("l_bad") + F.col("r_bad")).alias("cnt"),
         F.sum(weighted("l_sum", "r_rows")).cast(TOTAL).alias("sum_left"),
         F.sum(weighted("r_sum", "l_rows")).cast(TOTAL).alias("sum_right"),
         F.sum(weighted("l_sum", "r_amounts") - weighted("r_sum", "l_amounts"))
@@ -70,52 +90,77 @@ def nonzero_difference_by(
     right_key: str,
     right_amount: Column,
     by: str,
+    right_group: str | None = None,
 ) -> DataFrame:
     """Per value of ``by``: the matched pairs whose amounts differ.
 
     A pair needs both amounts. The differing pairs are all pairs less the equal
     pairs, and both of these come from equi-joins of counts, so no pair of rows is
-    ever built, whatever the number of rows per key.
+    ever built, whatever the number of rows per key. With ``right_group`` the right rows
+    are first summed per key and group. Amounts are text, as in :func:`matched_difference`.
+
+    After its first aggregate each side is dealt out by the key alone, which serves all
+    that follows (with ``BASE_CONF``): the groupings by key and more, and both joins.
     """
     l = (
         left.select(
-            F.col(left_key).alias("k"), F.col(by).alias("by"), left_amount.cast(MONEY).alias("amount")
+            F.col(left_key).alias("k"),
+            F.col(by).alias("by"),
+            try_money(left_amount).alias("amount"),
+            _unreadable(left_amount).alias("bad"),
         )
-        .where("k IS NOT NULL AND amount IS NOT NULL")
+        .where("k IS NOT NULL AND (amount IS NOT NULL OR bad > 0)")
         .groupBy("k", "by", "amount")
-        .agg(F.count("*").alias("l_rows"))
-    )
-    r = (
-        right.select(F.col(right_key).alias("k"), right_amount.cast(MONEY).alias("amount"))
-        .where("k IS NOT NULL AND amount IS NOT NULL")
-        .groupBy("k", "amount")
-        .agg(F.count("*").alias("r_rows"))
+        .agg(F.count("amount").alias("l_rows"), F.sum("bad").alias("bad"))
+        .repartition("k")
     )
+    r = right.select(
+        F.col(right_key).alias("k"),
+        (F.lit(0) if right_group is None else F.col(right_group)).alias("g"),
+        try_money(right_amount).alias("amount"),
+        _unreadable(right_amount).alias("bad"),
+    ).where("k IS NOT NULL AND (amount IS NOT NULL OR bad > 0)")
+    if right_group is None:
+        r = r.groupBy("k", "amount").agg(F.count("amount").alias("r_rows"), F.sum("bad").alias("bad"))
+    else:
+        r = r.groupBy("k", "g").agg(F.sum("amount").cast(MONEY).alias("amount"), F.sum("bad").alias("bad"))
+        r = r.withColumn("r_rows", F.col("amount").isNotNull().cast("bigint")).drop("g")
+    r = r.repartition("k")
     l_key = l.groupBy("k", "by").agg(
         F.sum("l_rows").alias("l_rows"),
         F.sum(weighted("amount", "l_rows")).cast(TOTAL).alias("l_sum"),
+        F.sum("bad").alias("l_bad"),
     )
     r_key = r.groupBy("k").agg(
         F.sum("r_rows").alias("r_rows"),
         F.sum(weighted("amount", "r_rows")).cast(TOTAL).alias("r_sum"),
+        F.sum("bad").alias("r_bad"),
     )
     every = l_key.join(r_key, "k").select(
         "by",
         (F.col("l_rows") * F.col("r_rows")).alias("pairs"),
         weighted("l_sum", "r_rows").cast(TOTAL).alias("sum_left"),
         weighted("r_sum", "l_rows").cast(TOTAL).alias("sum_right"),
+        (F.col("l_bad") + F.col("r_bad")).alias("bad"),
+    )
+    r_amount = r.groupBy(F.col("k").alias("rk"), F.col("amount").alias("r_amount")).agg(
+        F.sum("r_rows").alias("r_rows"), F.sum("bad").alias("r_bad")
     )
-    equal = l.join(r, ["k", "amount"]).select(
+    # Without an amount there are no rows to count. A null-safe comparison and the counts of bad
+    # amounts ask for the same rows and columns as above, so the same shuffles serve both.
+    same = (F.col("k") == F.col("rk")) & F.col("amount").eqNullSafe(F.col("r_amount"))
+    equal = l.join(r_amount, same).select(
         "by",
         (-F.col("l_rows") * F.col("r_rows")).alias("pairs"),
         (-weighted(weighted("amount", "l_rows"), "r_rows")).cast(TOTAL).alias("sum_left"),
         (-weighted(weighted("amount", "l_rows"), "r_rows")).cast(TOTAL).alias("sum_right"),
+        (F.col("bad") + F.col("r_bad")).alias("bad"),
     )
     return (
         every.unionByName(equal)
         .groupBy("by")
         .agg(
-            F.sum("pairs").cast("bigint").alias("cnt"),
+            _strictly(F.sum("pairs").cast("bigint"), F.col("bad")).alias("cnt"),
             F.sum("sum_left").cast(TOTAL).alias("sum_left"),
             F.sum("sum_right").cast(TOTAL).alias("sum_right"),
         )

@@ -32,6 +32,16 @@ def distinct_keys(df: DataFrame, key: str, alias: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(F.col(key).alias(alias)).distinct()
 
 
+def with_keys(rows: DataFrame, key: str, others: DataFrame, other_key: str) -> DataFrame:
+    """Per-key rows whose key the other side has."""
+    return rows.join(others, F.col(key) == F.col(other_key), "left_semi")
+
+
+def without_keys(rows: DataFrame, key: str, others: DataFrame, other_key: str) -> DataFrame:
+    """Per-key rows whose key the other side lacks. A NULL key is kept."""
+    return rows.join(others, F.col(key) == F.col(other_key), "left_anti")
+
+
 def weighted(total: Column | str, weight: Column | str) -> Column:
     """A total as it would come out with each of its rows repeated ``weight`` times."""
     total = F.col(total) if isinstance(total, str) else total

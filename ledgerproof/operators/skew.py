@@ -9,81 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# How many heavy keys are treated as hot at most. They become literals of the plan.
-MAX_HOT_KEYS = 200
-# Counters per sketch: a key with a thousandth of the rows is found.
-SKETCH_ITEMS = 4096
-# Tasks share sketches in this many groups, so that no single task merges all of them.
-SKETCH_GROUPS = 256
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[str]:
-    """The heaviest keys with about ``min_rows`` rows or more, heaviest first, at most 200.
-
-    Each task counts heavy keys in a small sketch, so the keys themselves are not
-    shuffled. The list only decides how rows are dealt out, so an estimate will do.
-    """
-    sketches = (
-        df.where(F.col(key).isNotNull())
-        .select(
-            F.col(key).alias("hot_key"),
-            F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("sketch"),
-        )
-        .groupBy("sketch")
-        .agg(F.expr(f"approx_top_k(hot_key, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
-    )
-    heavy = (
-        sketches.select(F.explode("top").alias("t"))
-        .groupBy(F.col("t.item").alias("hot_key"))
-        .agg(F.sum("t.count").alias("hot_rows"))
-        .where(F.col("hot_rows") >= min_rows)
-        .orderBy(F.desc("hot_rows"), "hot_key")
-        .limit(MAX_HOT_KEYS)
-    )
-    return [row.hot_key for row in heavy.collect()]
-
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str,
-    *,
-    min_hot_rows: int,
-    buckets: int | None = None,
-    count_in: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str
 ) -> DataFrame:
     """Equi-join in which no key of ``left`` ends up in a single task.
 
-    ``right`` must hold few rows per key (distinct keys or per-key totals).
-    Rows of a hot key are dealt out over ``buckets`` by the task that reads them and
-    meet copies of the few right rows; rows without key match nothing and are dealt
-    out too. Any other key is joined in the ordinary way, so the result never depends
-    on what is called hot. The deal follows the partition number, which a repeated
-    task keeps. The heavy keys are looked up when the join is set up, in ``count_in``
-    if that is cheaper to read than ``left``.
+    ``right`` must hold few rows per key (distinct keys or per-key totals). Rows without
+    key match nothing; they are dealt out by the task that reads them, which a repeated
+    task does alike. A hot key is found by its measured size: adaptive execution splits
+    every join partition that is larger than the others by ``skewedPartitionFactor``, by
+    ranges of the map tasks, and gives each part the few right rows. So nothing has to be
+    counted beforehand, there is no list of hot keys and no limit to their number.
     """
-    if buckets is None:
-        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    hot = hot_keys(left if count_in is None else count_in, left_key, min_hot_rows)
+    if how not in ("inner", "left", "left_anti", "left_semi"):
+        raise ValueError(f"only the left side can be split, not in a {how} join")
+    buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     dealt = left.withColumn(
         "left_bucket",
-        F.when(
-            F.col(left_key).isNull() | F.col(left_key).isin(hot),
-            F.pmod(F.spark_partition_id(), F.lit(buckets)),
-        ).otherwise(F.lit(0)),
-    )
-    copied = right.withColumn(
-        "right_bucket",
-        F.explode(
-            F.when(
-                F.col(right_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))
-            ).otherwise(F.array(F.lit(0)))
-        ),
+        F.when(F.col(left_key).isNull(), F.pmod(F.spark_partition_id(), F.lit(buckets))).otherwise(F.lit(0)),
     )
+    # Exploded and not a plain literal, which would turn the second key into a condition.
     joined = dealt.join(
-        copied,
+        right.withColumn("right_bucket", F.explode(F.array(F.lit(0)))),
         (F.col(left_key) == F.col(right_key)) & (F.col("left_bucket") == F.col("right_bucket")),
         how,
     )

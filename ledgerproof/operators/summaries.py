@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("cnt"))
 
 
+def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, cnt) of several columns, from one pass over the table."""
+    pairs = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns)
+    )
+    return df.select(F.explode(pairs).alias("p")).groupBy("p.column_name", "p.value").agg(F.count("*").alias("cnt"))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, cnt) for several tables."""
     counts = [

@@ -1,21 +1,23 @@
 """Reports on ledgers full of duplicates, against plain SQL joins in DuckDB."""
 
 import random
+import re
 
 import duckdb
 import pytest
 from oracle_check import as_bag
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerproof import sample
 from ledgerproof.functions import money
-from ledgerproof.operators import cutoff, filters, summaries
+from ledgerproof.operators import cutoff, filters, perkey, summaries
 from ledgerproof.operators.controls import tie_out
 from ledgerproof.plans import reports
 from ledgerproof.plans.oracles import ORACLES
 
 CFG = sample.ReconConfig(
-    period=sample.PERIOD, contractor_years=("1998", "1999"), hot_key_rows=15
+    period=sample.PERIOD, contractor_years=("1998", "1999")
 )
 DATES = ["1998-09-30", "1998-10-01", "1998-11-15T01:00:00Z", "1998-12-31", "1999-01-01", "1999-02-02", "bad", None]
 
@@ -130,6 +132,38 @@ def test_tie_out_leaves_nothing_over(case):
     assert all(r.matched_rows and r.unmatched_rows for r in rows)
 
 
+def lossy(seed):
+    """A matcher that drops some of what it should keep."""
+    return lambda rows, key, others, other: perkey.with_keys(rows, key, others, other).where(f"hash({key}, {seed}) % 3 <> 0")
+
+
+def test_tie_out_finds_lost_and_doubled_rows(case):
+    frames, _ = case
+    p = filters.payout_in_period(frames["full_payout"], CFG)
+    b = filters.bank_in_period(frames["full_bank"], CFG)
+    options = dict(
+        payout_key=CFG.payout.key, payout_amount=money(CFG.payout.cashout), bank_key=CFG.bank.key,
+        bank_amount=money(CFG.bank.amount), bank_group=CFG.bank.provider,
+    )
+    sound = {r.side: r for r in tie_out(p, b, **options).collect()}
+    lost = {r.side: r for r in tie_out(p, b, match=lossy(1), **options).collect()}
+    for side in ("payout", "bank"):
+        missing = sound[side].matched_rows - lost[side].matched_rows
+        assert lost[side].residual_rows == missing > 0
+        assert lost[side].total_rows == sound[side].total_rows
+        assert lost[side].residual_usd == sound[side].matched_usd - lost[side].matched_usd
+    doubled = tie_out(p, b, differ=lambda *a: perkey.without_keys(*a).union(perkey.without_keys(*a)), **options)
+    assert all(r.residual_rows == -r.unmatched_rows / 2 < 0 for r in doubled.collect())
+
+
+def test_tie_out_counts_repeated_keys(case):
+    frames, _ = case
+    row = REPORTS["tie_out"](frames["full_payout"], frames["full_bank"], frames["payment"]).where("side = 'payout'").first()
+    period = filters.payout_in_period(frames["full_payout"], CFG)
+    repeated = summaries.duplicates(period.where(F.col(CFG.payout.key).isNotNull()), [CFG.payout.key])
+    assert row.duplicate_keys == repeated.count() > 0
+
+
 def test_undated_rows_say_how_often_they_repeat(case):
     """Repeating each row by its bank_rows gives the row count of the plain left join."""
     frames, con = case
@@ -163,3 +197,46 @@ def test_bad_amounts_outside_the_period_do_not_stop_strict_reports(spark, case,
     report = reports.join_diff_by_method(p.union(bad_p), b.union(bad_b), CFG, sum_bank_first=sum_bank_first)
     same = reports.join_diff_by_method(p, b, CFG, sum_bank_first=sum_bank_first)
     assert sorted(map(str, report.collect())) == sorted(map(str, same.collect()))
+
+
+@pytest.mark.parametrize(
+    "report",
+    [
+        lambda p, b: reports.join_diff(p, b, CFG),
+        lambda p, b: reports.join_diff_by_method(p, b, CFG),
+        lambda p, b: reports.join_diff_by_method(p, b, CFG, sum_bank_first=False),
+    ],
+)
+def test_only_matched_amounts_have_to_be_readable(spark, case, report):
+    frames, _ = case
+    p, b = frames["full_payout"], frames["full_bank"]
+    bad = {"withdrawal_created_at": "1998-11-01", "total_cashout_usd": "no amount"}
+    row = p.limit(1).withColumns({c: F.lit(v) for c, v in bad.items()})
+    alone = row.withColumn(CFG.payout.key, F.lit("nobody has this"))
+    same = sorted(map(str, report(p, b).collect()))
+    assert sorted(map(str, report(p.union(alone), b).collect())) == same
+    with pytest.raises(PySparkException, match="not readable"):
+        report(p.union(row.withColumn(CFG.payout.key, F.lit("hot"))), b).collect()
+
+
+def shuffles(df) -> list[str]:
+    """Exchanges of the plan before it runs, without those that are used again."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = [line for line in plan.splitlines() if " Exchange " in line or "- Exchange" in line]
+    return [re.search(r"Exchange (\w+)", line)[1] for line in found if "Reused" not in line]
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_differences_shuffle_each_side_twice(case, spark, first):
+    """By all keys behind the map-side aggregate, then by the ledger key for all that follows."""
+    frames, _ = case
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reports.join_diff_by_method(frames["full_payout"], frames["full_bank"], CFG, sum_bank_first=first)
+        found = shuffles(df)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len([x for x in found if x == "hashpartitioning"]) <= 5, found
