@@ -3,16 +3,12 @@
 import random
 
 import pytest
+from llm_texts import prose
 
 CLASHING = "row size taken score group tokens ids shard kept label words rest digit number copy found".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
     f"{c} string" for c in CLASHING
 )
-SYLLABLES = "the an er on th ing ed ha ti is re or st nd wh ou ea in he ly".split()
-
-
-def prose(rng: random.Random, words: int) -> str:
-    return " ".join("".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(words))
 
 
 def nasty_rows() -> list[tuple]:

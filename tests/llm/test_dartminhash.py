@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import regex
-from conftest import prose
+from llm_texts import prose
 
 from ledgerproof.llm import dartminhash as dm
 from ledgerproof.llm.components import components
