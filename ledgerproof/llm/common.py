@@ -17,16 +17,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_settled: list[str] = []
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a frame below ``spark.checkpoint.dir`` and reads it back.
 
     Cuts the lineage; the files survive a lost executor and are the same for every reader.
+    They stay until :func:`drop_settled` is told that no frame reads them any more.
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled() -> list[str]:
+    """The folders of the tables that :func:`settle` has written and that are still there."""
+    return list(_settled)
+
+
+def drop_settled(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Deletes settled tables in whatever store holds them."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _settled.remove(path)
+
+
 def packed(df: DataFrame, columns: Sequence[str]) -> Column:
     """Columns to carry along as one struct ``row``, so that their names clash with none."""
     return F.struct(*[df[c] for c in columns] or [F.lit(0).alias("none")]).alias("row")

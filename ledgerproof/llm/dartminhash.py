@@ -10,18 +10,23 @@ Jaccard similarity. Only about ``COORDINATES * (log(COORDINATES) + SPARE)`` dart
 thrown per document, however many words it has.
 
 Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates: texts of similarity 0.8
-share a bucket with probability ``1 - 3e-6``. Texts with the same words in the same order
+share a bucket with probability ``1 - 8e-6``. Texts with the same words in the same order
 are one representative from the start. No pairs are formed inside a bucket. In each round
-every bucket names a leader, the smallest id that still waits, and all others are compared
-with it, exactly, on their full multisets. What reaches ``THRESHOLD`` is linked and leaves;
-what does not waits for the next leader. As one minus the similarity is a metric, a linked
-document that could still be linked to a waiting one (its distance to the leader is at
-least the least distance of those waiting, less ``1 - THRESHOLD``) stays to be compared
-too. So two documents that share a bucket and reach the threshold always end in one class.
+every bucket names leaders among those that still wait, one at first and ``LEADERS`` times
+as many as before in each further round, and all others are compared with these. A
+comparison is screened first: where one byte per coordinate agrees in less than the
+threshold less ``MARGIN`` (four standard deviations), it is over; later rounds screen in the
+join itself, so that unlike texts of a bucket make no row. The rest is compared exactly, on
+the full multisets. What reaches ``THRESHOLD`` is linked and leaves; what does not waits for
+the next leaders. As one minus the similarity is a metric, a linked document that could
+still be linked to a waiting one (its distance to its leader is at least the least distance
+of those waiting, less ``1 - THRESHOLD``) stays to be compared too. So two documents that
+share a bucket and pass the screen always end in one class if they reach the threshold, and
+a bucket that is one large class costs one comparison a document.
 
 Classes are the connected components of the links; the smallest id of a class stays. Cases:
-null texts and texts without words are classes of their own; equal rows are copies; a null
-id joins a class by its text and is kept only if no row of the class has an id; an empty
+null texts and texts without words are classes of their own; equal rows are copies; ids are unique but for
+repeated rows; a null id joins a class by its text and is kept only if no row of the class has an id; an empty
 table gives an empty result; texts are read whole; other columns are ignored.
 """
 
@@ -33,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerproof.llm.common import settle, slices, token_hashes
@@ -41,10 +46,12 @@ from ledgerproof.llm.components import components
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS = 32
-ROWS = 5
+BANDS = 64
+ROWS = 8
 COORDINATES = BANDS * ROWS
-SPARE = 6.0
+SPARE = 3.0
+MARGIN = 0.07
+LEADERS = 16
 DARTS = COORDINATES * (math.log(COORDINATES) + SPARE)
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -143,10 +150,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashlib.blake2b(own[a:b].tobytes(), digest_size=16).digest() if b > a else None
                 for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
             ]
-            flat = bands(signatures(*shingles(own, edge))).ravel()
-            lists = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, pa.array(flat))
-            ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), lists], ["doc_id", "words", "bands"])
+            hashed, bounds = shingles(own, edge)
+            kept = signatures(hashed, bounds)
+            sketch = (kept >> np.uint64(20)).astype(np.uint8).view(np.int8)
+            lists = pa.ListArray.from_arrays(
+                np.arange(len(keys) + 1, dtype=np.int32) * BANDS, pa.array(bands(kept).ravel())
+            )
+            columns = [
+                batch.column("doc_id").slice(part.start, part.stop - part.start),
+                pa.array(keys, pa.binary()),
+                lists,
+                pa.ListArray.from_arrays(
+                    np.arange(len(keys) + 1, dtype=np.int32) * COORDINATES, pa.array(sketch.ravel())
+                ),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "bands", "sketch"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -171,51 +189,73 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc", "leader", "similarity"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds the exact similarity to pairs (doc, leader); ``texts`` holds (doc, text)."""
-    leaders = texts.select(F.col("doc").alias("leader"), F.col("text").alias("leader_text"))
-    rows = pairs.join(texts, "doc").join(leaders, "leader")
-    rows = rows.select(
-        "doc",
-        "leader",
-        token_hashes(F.col("text")).alias("tokens"),
-        token_hashes(F.col("leader_text")).alias("leader_tokens"),
-    )
+def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Exact similarities of pairs (doc, leader); ``tokens`` holds (doc, tokens)."""
+    leaders = tokens.select(F.col("doc").alias("leader"), F.col("tokens").alias("leader_tokens"))
+    rows = pairs.join(tokens, "doc").join(leaders, "leader")
     return rows.mapInArrow(_compare, "doc long, leader long, similarity double")
 
 
-def _links(waiting: DataFrame, texts: DataFrame) -> DataFrame:
+def _agree() -> Column:
+    """Whether enough bytes of both sketches agree."""
+    same = F.filter(F.zip_with("sketch", "leader_sketch", lambda a, b: a == b), lambda e: e)
+    return F.size(same) >= (THRESHOLD - MARGIN) * COORDINATES
+
+
+def _met(members: DataFrame, leading: int, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, doc, leader) that pass the screen, and the leaders (bucket, leader) of this round."""
+    # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))
+    leaders = members.where("open").withColumn("rank", rank).where(F.col("rank") <= leading)
+    leaders = settle(leaders.select("bucket", F.col("doc").alias("leader")), "leaders")
+    of_leader = sketches.select(F.col("doc").alias("leader"), F.col("sketch").alias("leader_sketch"))
+    # Of two leaders the larger meets the smaller.
+    once = (F.col("doc") != F.col("leader")) & ~(F.col("open") & (F.col("doc") < F.col("leader")))
+    if leading > 1:
+        shown = members.join(sketches, "doc").alias("m")
+        led = shown.join(leaders.join(of_leader, "leader").alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & once & _agree())
+        return led.select("m.bucket", "doc", "leader"), leaders
+    led = settle(members.join(leaders, "bucket").where(once).select("bucket", "doc", "leader"), "led")
+    pairs = led.select("doc", "leader").distinct().join(sketches, "doc").join(of_leader, "leader").where(_agree())
+    return led.join(pairs.select("doc", "leader"), ["doc", "leader"]), leaders
+
+
+def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFrame:
     """Links (a, b) of all representatives that share a bucket; ``waiting`` holds (bucket, doc)."""
-    spark = waiting.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    members = waiting.withColumn("open", F.lit(True))
-    apart = 1 - THRESHOLD
-    while True:
-        leaders = members.where("open").groupBy("bucket").agg(F.min("doc").alias("leader"))
-        led = settle(members.join(leaders, "bucket").where("doc <> leader"), "led")
-        if led.isEmpty():
-            return links
-        found = settle(_verified(led.select("doc", "leader").distinct(), texts), "verified")
-        links = links.unionAll(
-            found.where(F.col("similarity") >= THRESHOLD).select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+    links = waiting.sparkSession.createDataFrame([], "a long, b long")
+    members, leading, apart = waiting.withColumn("open", F.lit(True)), 1, 1 - THRESHOLD
+    while not members.where("open").isEmpty():
+        met, leaders = _met(members, leading, sketches)
+        met = settle(met, "met")
+        found = settle(_verified(met.select("doc", "leader").distinct(), tokens), "verified")
+        linked = F.col("similarity") >= THRESHOLD
+        links = links.unionAll(found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        judged = met.join(found, ["doc", "leader"])
+        best = judged.groupBy("bucket", "doc").agg(
+            F.max("similarity").alias("similarity"), F.max_by("leader", "similarity").alias("leader")
         )
-        judged = led.join(found, ["doc", "leader"]).select(
-            "bucket",
-            "doc",
-            (F.col("open") & (F.col("similarity") < THRESHOLD)).alias("open"),
-            (1 - F.col("similarity")).alias("distance"),
+        # Leaders have met everyone in their bucket and are done.
+        left = members.join(leaders.withColumnRenamed("leader", "doc"), ["bucket", "doc"], "left_anti")
+        left = settle(left.join(best, ["bucket", "doc"], "left"), "left")
+        waits = F.col("open") & ~F.coalesce(linked, F.lit(False))
+        # Who was screened out is farther from the leader than any that was not.
+        nearest = (
+            left.where(waits).groupBy("bucket").agg(F.min(1 - F.coalesce("similarity", F.lit(0.0))).alias("nearest"))
         )
-        judged = settle(judged, "judged")
-        nearest = judged.where("open").groupBy("bucket").agg(F.min("distance").alias("nearest"))
-        stays = F.col("open") | (F.col("distance") >= F.col("nearest") - apart - 1e-9)
-        members = judged.join(nearest, "bucket").where(stays).select("bucket", "doc", "open")
+        farthest = 1 - (THRESHOLD - MARGIN)
+        reach = F.least("nearest", F.lit(farthest)) - apart - 1e-9
+        # What was linked to no leader of this round tells nothing and stays.
+        stays = waits | ~F.coalesce(linked, F.lit(False)) | (1 - F.col("similarity") >= reach)
+        members = settle(left.join(nearest, "bucket").where(stays).select("bucket", "doc", waits.alias("open")), "members")
+        leading *= LEADERS
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, copies (rows with the same words), kept of every document."""
-    rows = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens"))
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "tokens")
-    signed = settle(rows.mapInArrow(_sign, "doc_id long, words binary, bands array<long>"), "signatures")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_hashes(F.col("text")).alias("tokens"))
+    schema = "doc_id long, words binary, bands array<long>, sketch array<tinyint>"
+    signed = settle(rows.mapInArrow(_sign, schema), "signatures")
     alike = signed.where("words IS NOT NULL").groupBy("words")
     alike = settle(alike.agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")), "same-words")
 
@@ -223,10 +263,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = first.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket")).distinct()
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     waiting = settle(buckets.join(shared, "bucket").select("bucket", "doc"), "buckets")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    texts = texts.join(waiting.select("doc").distinct(), "doc").dropDuplicates(["doc"])
-    texts = settle(texts, "candidates")
-    labels = components(_links(waiting, texts))
+    candidates = waiting.select("doc").distinct()
+    sketches = first.select(F.col("doc_id").alias("doc"), "sketch").join(candidates, "doc", "left_semi")
+    sketches = settle(sketches.dropDuplicates(["doc"]), "sketches")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(candidates, "doc", "left_semi")
+    tokens = texts.dropDuplicates(["doc"]).select("doc", token_hashes(F.col("text")).alias("tokens"))
+    labels = components(_links(waiting, sketches, settle(tokens, "candidates")))
 
     classes = alike.join(labels, F.col("doc") == F.col("node"), "left")
     classes = classes.select("words", "copies", F.coalesce("label", "doc").alias("class"))

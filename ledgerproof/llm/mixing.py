@@ -147,15 +147,9 @@ def mix(
     ``row``, a struct of the carried columns.
     """
     spark = docs.sparkSession
-    sized = settle(
-        docs.select(
-            "doc_id",
-            "source",
-            word_count(F.col("text")).alias("size"),
-            packed(docs, carry),
-        ),
-        "mix-sizes",
-    )
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), packed(docs, carry))
+    # Counting again is cheaper than a second copy of whole documents.
+    sized = sized if carry else settle(sized, "mix-sizes")
     stats = sized.groupBy("source").agg(F.sum("size").alias("s"), F.count("*").alias("n"))
     stats = sorted(stats.collect(), key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.s for r in stats]

@@ -4,7 +4,7 @@ Documents are split by their first bytes, every group by its next bytes, and so
 a group is a single document or its texts have ended: what is left together is equal. No
 digest takes part in the comparison. A digit is a run of bytes, 64 at first and four times
 as many in each further round, so that even very long copies need few rounds. A document
-leaves as soon as it is alone, and only the rest of the texts of open groups moves on.
+leaves as soon as it is alone, and only the texts of open groups move on.
 
 Groups are counted with map-side aggregates and joined back to the rows, so a group that
 holds a third of all rows is a counted key of a splittable join and not one task's load.
@@ -28,26 +28,32 @@ FIRST_DIGIT = 64
 GROWTH = 4
 
 
-def copies(docs: DataFrame, *, first_digit: int = FIRST_DIGIT, carry: Sequence[str] = ()) -> DataFrame:
+def copies(
+    docs: DataFrame, *, first_digit: int = FIRST_DIGIT, carry: Sequence[str] = (), only_kept: bool = False
+) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row, and ``row``.
 
     Texts are equal when identical after lower-casing A-Z; the row with the largest id of a
-    group stays. ``row`` is a struct of the carried columns.
+    group stays. ``row`` is a struct of the carried columns; with ``only_kept`` it is NULL in
+    rows that go.
     """
     text = ascii_lower(F.coalesce("text", F.lit("")))
     state = docs.select(
         F.lit(0).cast("long").alias("group"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.cast("binary").alias("rest"),
         F.sha2(text, 256).alias("text_sha256"),
-        packed(docs, carry),
+        packed(docs, carry or ["text"]),
+        *([] if not carry or "text" in carry else [F.col("text").alias("body")]),
     )
-    finished, width = [], first_digit
+    # The text travels once, in the row if that has it.
+    body = F.col("body") if "body" in state.columns else F.col("row.text")
+    data = ascii_lower(F.coalesce(body, F.lit(""))).cast("binary")
+    finished, depth, width = [], 0, first_digit
     while True:
         dealt = state.withColumns(
             {
-                "digit": F.substring("rest", 1, width),
-                "ended": F.length("rest") <= width,
+                "digit": F.substring(data, depth + 1, width),
+                "ended": F.length(data) <= depth + width,
             }
         )
         groups = settle(
@@ -57,13 +63,12 @@ def copies(docs: DataFrame, *, first_digit: int = FIRST_DIGIT, carry: Sequence[s
             .withColumn("next", F.monotonically_increasing_id()),
             "radix-groups",
         )
+        stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) if only_kept else F.lit(bool(carry))
+        needed = {"row": F.col("open") | stays, "body": F.col("open")}
         joined = settle(
             dealt.join(groups, ["group", "digit", "ended"]).select(
                 F.col("next").alias("group"),
-                "doc_id",
-                F.when(F.col("open"), F.expr(f"substring(rest, {width + 1})")).alias("rest"),
-                "text_sha256",
-                "row",
+                *(F.when(needed[c], F.col(c)).alias(c) if c in needed else c for c in state.columns if c != "group"),
                 "keep_id",
                 "group_size",
                 "open",
@@ -73,8 +78,8 @@ def copies(docs: DataFrame, *, first_digit: int = FIRST_DIGIT, carry: Sequence[s
         finished.append(joined.where(~F.col("open")))
         if groups.where("open").isEmpty():
             break
-        state = joined.where("open").select("group", "doc_id", "rest", "text_sha256", "row")
-        width *= GROWTH
+        state = joined.where("open").select(*state.columns)
+        depth, width = depth + width, width * GROWTH
     return reduce(DataFrame.unionAll, finished).select(
         "doc_id",
         "keep_id",
@@ -87,5 +92,7 @@ def copies(docs: DataFrame, *, first_digit: int = FIRST_DIGIT, carry: Sequence[s
 
 def without_copies(docs: DataFrame, **options) -> DataFrame:
     """The documents without their copies, one row for each id and text, columns as they were."""
-    kept = copies(docs, carry=docs.columns, **options).where("kept")
-    return kept.dropDuplicates(["doc_id", "text_sha256"]).select("row.*")
+    kept = copies(docs, carry=docs.columns, only_kept=True, **options).where("kept")
+    # Only rows that have equals can be there twice.
+    repeated = kept.where("group_size > 1").dropDuplicates(["doc_id", "text_sha256"])
+    return kept.where("group_size = 1").unionAll(repeated).select("row.*")
