@@ -107,3 +107,15 @@ def test_model_tells_held_out_rules_apart(spark):
     got = QUERIES["op8_markov_url_filter"](spark, SF).where("rule IS NOT NULL")
     right = got.where((F.col("lm_score") >= F.col("lm_cut")) == (F.col("verdict") == "allow")).count()
     assert right >= 0.9 * got.count()
+
+
+def test_every_count_is_exact_beyond_any_fixed_table(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=60))
+    train = [(f"http://{word()}.{'org' if i % 2 else 'net'}/", ("block", "allow")[i % 2]) for i in range(6000)]
+    models = urlmodel.train(spark.createDataFrame(train, "url string, verdict string").repartition(3))
+    windows = {url.encode()[i : i + 5] for url, _ in train for i in range(len(url) - 4)}
+    assert len(windows) > 1 << 18
+    urls = [u for u, _ in train[::301]] + ["", None, "é", "http://unseen.example/"]
+    wanted = scores_by_hand(train, [u or "" for u in urls])
+    assert np.abs(models.scores(urls) - wanted).max() < 1e-9
