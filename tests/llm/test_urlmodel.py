@@ -119,3 +119,17 @@ def test_every_count_is_exact_beyond_any_fixed_table(spark):
     urls = [u for u, _ in train[::301]] + ["", None, "é", "http://unseen.example/"]
     wanted = scores_by_hand(train, [u or "" for u in urls])
     assert np.abs(models.scores(urls) - wanted).max() < 1e-9
+
+
+def test_counts_beyond_32_bits(spark):
+    """Partial counts of 3e9 of one byte in each class, of which the slot table's int32 would have made negatives."""
+    many, a, b = 3_000_000_000, ord("a"), ord("b")
+    parts = [(a, many, many), (a, many, 0), (b, 5, many)]  # order 0: the number is the byte
+    models = urlmodel.summed(spark.createDataFrame(parts, "gram long, n0 long, n1 long"))
+    p = {}
+    for c, counts in enumerate(({a: 2 * many, b: 5}, {a: many, b: many})):
+        for byte in (a, b, ord("z")):
+            q = (counts.get(byte, 0) + urlmodel.PRIOR / 256) / (sum(counts.values()) + urlmodel.PRIOR)
+            p[c, byte] = q  # no longer context has been seen, so every order above keeps it
+    wanted = [math.log(p[1, x]) - math.log(p[0, x]) for x in (a, b, ord("z"))]
+    assert np.abs(models.scores(["a", "b", "z"]) - wanted).max() < 1e-9
