@@ -20,9 +20,12 @@ join itself, so that unlike texts of a bucket make no row. The rest is compared
 the full multisets. What reaches ``THRESHOLD`` is linked and leaves; what does not waits for
 the next leaders. As one minus the similarity is a metric, a linked document that could
 still be linked to a waiting one (its distance to its leader is at least the least distance
-of those waiting, less ``1 - THRESHOLD``) stays to be compared too. So two documents that
-share a bucket and pass the screen always end in one class if they reach the threshold, and
-a bucket that is one large class costs one comparison a document.
+of those waiting, less ``1 - THRESHOLD``) stays to be compared too. The distance of a waiting
+one that was screened out is taken to be at least one minus its agreement and ``MARGIN``;
+agreements down to ``NEAR``, below which it holds nothing, are carried for this. So two
+documents that share a bucket, reach the threshold and pass the screen end in one class, but
+for estimates more than ``MARGIN`` too low (3e-5 a pair), and a bucket that is one large class
+costs one comparison a document.
 
 Classes are the connected components of the links; the smallest id of a class stays. Cases:
 null texts and texts without words are classes of their own; equal rows are copies; ids are unique but for
@@ -51,6 +54,8 @@ ROWS = 8
 COORDINATES = BANDS * ROWS
 SPARE = 3.0
 MARGIN = 0.07
+# Less agreement, by MARGIN, is too far from a leader to be linked to what is linked to it.
+NEAR = 2 * THRESHOLD - 1 - MARGIN
 LEADERS = 16
 DARTS = COORDINATES * (math.log(COORDINATES) + SPARE)
 
@@ -196,14 +201,13 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compare, "doc long, leader long, similarity double")
 
 
-def _agree() -> Column:
-    """Whether enough bytes of both sketches agree."""
-    same = F.filter(F.zip_with("sketch", "leader_sketch", lambda a, b: a == b), lambda e: e)
-    return F.size(same) >= (THRESHOLD - MARGIN) * COORDINATES
+def _agreement() -> Column:
+    """How many bytes of both sketches agree."""
+    return F.size(F.filter(F.zip_with("sketch", "leader_sketch", lambda a, b: a == b), lambda e: e))
 
 
 def _met(members: DataFrame, leading: int, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bucket, doc, leader) that pass the screen, and the leaders (bucket, leader) of this round."""
+    """(bucket, doc, leader, agreement) of ``NEAR`` or more, and the leaders (bucket, leader) of this round."""
     # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))
     leaders = members.where("open").withColumn("rank", rank).where(F.col("rank") <= leading)
@@ -213,11 +217,13 @@ def _met(members: DataFrame, leading: int, sketches: DataFrame) -> tuple[DataFra
     once = (F.col("doc") != F.col("leader")) & ~(F.col("open") & (F.col("doc") < F.col("leader")))
     if leading > 1:
         shown = members.join(sketches, "doc").alias("m")
-        led = shown.join(leaders.join(of_leader, "leader").alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & once & _agree())
-        return led.select("m.bucket", "doc", "leader"), leaders
+        near = (F.col("m.bucket") == F.col("l.bucket")) & once & (_agreement() >= NEAR * COORDINATES)
+        led = shown.join(leaders.join(of_leader, "leader").alias("l"), near)
+        return led.select("m.bucket", "doc", "leader", _agreement().alias("agreement")), leaders
     led = settle(members.join(leaders, "bucket").where(once).select("bucket", "doc", "leader"), "led")
-    pairs = led.select("doc", "leader").distinct().join(sketches, "doc").join(of_leader, "leader").where(_agree())
-    return led.join(pairs.select("doc", "leader"), ["doc", "leader"]), leaders
+    pairs = led.select("doc", "leader").distinct().join(sketches, "doc").join(of_leader, "leader")
+    pairs = pairs.select("doc", "leader", _agreement().alias("agreement")).where(F.col("agreement") >= NEAR * COORDINATES)
+    return led.join(pairs, ["doc", "leader"]), leaders
 
 
 def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -227,23 +233,23 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
     while not members.where("open").isEmpty():
         met, leaders = _met(members, leading, sketches)
         met = settle(met, "met")
-        found = settle(_verified(met.select("doc", "leader").distinct(), tokens), "verified")
+        screened_in = met.where(F.col("agreement") >= (THRESHOLD - MARGIN) * COORDINATES)
+        found = settle(_verified(screened_in.select("doc", "leader").distinct(), tokens), "verified")
         linked = F.col("similarity") >= THRESHOLD
         links = links.unionAll(found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-        judged = met.join(found, ["doc", "leader"])
+        judged = met.join(found, ["doc", "leader"], "left")
+        at_least = F.coalesce(1 - F.col("similarity"), 1 - MARGIN - F.col("agreement") / COORDINATES)
         best = judged.groupBy("bucket", "doc").agg(
-            F.max("similarity").alias("similarity"), F.max_by("leader", "similarity").alias("leader")
+            F.max("similarity").alias("similarity"), F.min(at_least).alias("at_least")
         )
         # Leaders have met everyone in their bucket and are done.
         left = members.join(leaders.withColumnRenamed("leader", "doc"), ["bucket", "doc"], "left_anti")
         left = settle(left.join(best, ["bucket", "doc"], "left"), "left")
         waits = F.col("open") & ~F.coalesce(linked, F.lit(False))
-        # Who was screened out is farther from the leader than any that was not.
-        nearest = (
-            left.where(waits).groupBy("bucket").agg(F.min(1 - F.coalesce("similarity", F.lit(0.0))).alias("nearest"))
-        )
-        farthest = 1 - (THRESHOLD - MARGIN)
-        reach = F.least("nearest", F.lit(farthest)) - apart - 1e-9
+        # Whose agreement was below NEAR is at least this far from every leader.
+        farthest = F.lit(1 - NEAR - MARGIN)
+        nearest = left.where(waits).groupBy("bucket").agg(F.min(F.coalesce("at_least", farthest)).alias("nearest"))
+        reach = F.least("nearest", farthest) - apart - 1e-9
         # What was linked to no leader of this round tells nothing and stays.
         stays = waits | ~F.coalesce(linked, F.lit(False)) | (1 - F.col("similarity") >= reach)
         members = settle(left.join(nearest, "bucket").where(stays).select("bucket", "doc", waits.alias("open")), "members")

@@ -126,3 +126,23 @@ def test_components_by_brute_force(spark):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.label for r in got.collect()} == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_linked_document_waits_for_one_that_was_screened_out(spark):
+    """x is 0.06 from its leader and 0.198 from w, whose distance of 0.25 to the leader is estimated as 0.29."""
+    n = 4000
+    common = lambda s: round(2 * n * s / (1 + s))
+    near, nearer = common(0.75), common(0.802)
+    leader = list(range(n))
+    w = leader[:near] + list(range(n, 2 * n - near))
+    x = leader[: n - (nearer - near)] + w[near:nearer]
+    tokens = [(1, leader), (2, x), (3, w)]
+    runs = [dm.shingles(np.array(t), np.array([0, len(t)]))[0] for _, t in tokens]
+    assert dm.similarity(runs[0], runs[2]) < dm.THRESHOLD <= dm.similarity(runs[1], runs[2])
+    assert 1 - (dm.THRESHOLD - dm.MARGIN) - (1 - dm.THRESHOLD) > 1 - dm.similarity(runs[0], runs[1])
+    sketch = lambda changed, by: [by if i < changed * dm.COORDINATES else 0 for i in range(dm.COORDINATES)]
+    sketches = [(1, sketch(0, 0)), (2, sketch(0.06, 1)), (3, sketch(0.06, 1)[:31] + [2] * 118 + [0] * 363)]
+    waiting = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "bucket long, doc long")
+    sketches = spark.createDataFrame(sketches, "doc long, sketch array<tinyint>")
+    links = dm._links(waiting, sketches, spark.createDataFrame(tokens, "doc long, tokens array<long>"))
+    assert sorted(map(tuple, links.collect())) == [(1, 2), (3, 2)]
