@@ -29,8 +29,9 @@ costs one comparison a document.
 
 Classes are the connected components of the links; the smallest id of a class stays. Cases:
 null texts and texts without words are classes of their own; equal rows are copies; ids are unique but for
-repeated rows; a null id joins a class by its text and is kept only if no row of the class has an id; an empty
-table gives an empty result; texts are read whole; other columns are ignored.
+repeated rows; a null id joins a class by its text, and one row of a class without any id is kept, which is why
+rows with null ids are written once and numbered; an empty table gives an empty result; texts are read whole;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerproof.llm.common import settle, slices, token_hashes
+from ledgerproof.llm.common import packed, settle, slices, token_hashes
 from ledgerproof.llm.components import components
 
 WORDS = 5
@@ -162,14 +163,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.arange(len(keys) + 1, dtype=np.int32) * BANDS, pa.array(bands(kept).ravel())
             )
             columns = [
-                batch.column("doc_id").slice(part.start, part.stop - part.start),
+                *(batch.column(c).slice(part.start, part.stop - part.start) for c in ("doc_id", "unnamed")),
                 pa.array(keys, pa.binary()),
                 lists,
                 pa.ListArray.from_arrays(
                     np.arange(len(keys) + 1, dtype=np.int32) * COORDINATES, pa.array(sketch.ravel())
                 ),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "unnamed", "words", "bands", "sketch"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -257,40 +258,64 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
     return links
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, class_size, copies (rows with the same words), kept of every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_hashes(F.col("text")).alias("tokens"))
-    schema = "doc_id long, words binary, bands array<long>, sketch array<tinyint>"
-    signed = settle(rows.mapInArrow(_sign, schema), "signatures")
-    alike = signed.where("words IS NOT NULL").groupBy("words")
-    alike = settle(alike.agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")), "same-words")
-
-    first = signed.join(alike.select("words", F.col("doc").alias("doc_id")), ["words", "doc_id"])
-    buckets = first.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket")).distinct()
+def _unnamed(docs: DataFrame) -> DataFrame:
+    """The rows without id as (unnamed, text, row), written so that their numbers hold."""
+    rows = docs.where(F.col("doc_id").cast("long").isNull())
+    return settle(rows.select(F.monotonically_increasing_id().alias("unnamed"), "text", packed(docs, docs.columns)), "no-ids")
+
+
+def _classes(docs: DataFrame, unnamed: DataFrame) -> DataFrame:
+    """doc_id, unnamed (number of a row without id), class_id, class_size, copies, kept of every document."""
+    id_ = F.col("doc_id").cast("long").alias("doc_id")
+    named = docs.where(F.col("doc_id").cast("long").isNotNull()).select(id_, F.lit(None).cast("long").alias("unnamed"), "text")
+    every = named.unionAll(unnamed.select(F.lit(None).cast("long"), "unnamed", "text"))
+    rows = every.select("doc_id", "unnamed", token_hashes(F.col("text")).alias("tokens"))
+    schema = "doc_id long, unnamed long, words binary, bands array<long>, sketch array<tinyint>"
+    signed = rows.mapInArrow(_sign, schema).withColumn("doc", F.monotonically_increasing_id())
+    signed = settle(signed, "signatures")
+    # The smallest id, null last; of rows without id any one.
+    first_of = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "unnamed"))
+    alike = signed.where("words IS NOT NULL").groupBy("words").agg(first_of.alias("first"), F.count("*").alias("copies"))
+    alike = settle(alike.select("words", "copies", "first", "first.doc"), "same-words")
+
+    first = signed.join(alike.select("doc"), "doc", "left_semi")
+    buckets = first.select("doc", F.explode("bands").alias("bucket")).distinct()
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     waiting = settle(buckets.join(shared, "bucket").select("bucket", "doc"), "buckets")
-    candidates = waiting.select("doc").distinct()
-    sketches = first.select(F.col("doc_id").alias("doc"), "sketch").join(candidates, "doc", "left_semi")
-    sketches = settle(sketches.dropDuplicates(["doc"]), "sketches")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(candidates, "doc", "left_semi")
-    tokens = texts.dropDuplicates(["doc"]).select("doc", token_hashes(F.col("text")).alias("tokens"))
-    labels = components(_links(waiting, sketches, settle(tokens, "candidates")))
+    candidates = first.select("doc", "doc_id", "unnamed", "sketch").join(waiting.select("doc").distinct(), "doc", "left_semi")
+    candidates = settle(candidates, "sketches")
+    texts = docs.select(id_, "text").join(candidates.select("doc", "doc_id"), "doc_id").dropDuplicates(["doc"])
+    texts = texts.select("doc", "text").unionAll(unnamed.join(candidates, "unnamed").select("doc", "text"))
+    tokens = texts.select("doc", token_hashes(F.col("text")).alias("tokens"))
+    labels = components(_links(waiting, candidates.select("doc", "sketch"), settle(tokens, "candidates")))
 
     classes = alike.join(labels, F.col("doc") == F.col("node"), "left")
-    classes = classes.select("words", "copies", F.coalesce("label", "doc").alias("class"))
-    sizes = classes.groupBy("class").agg(F.sum("copies").alias("class_size"))
-    joined = signed.select("doc_id", "words").join(classes.join(sizes, "class"), "words", "left")
+    classes = classes.select("words", "copies", "first", F.coalesce("label", "doc").alias("class"))
+    sizes = classes.groupBy("class").agg(F.sum("copies").alias("class_size"), F.min("first").alias("stays"))
+    joined = signed.join(classes.join(sizes, "class"), "words", "left")
     one = F.lit(1).cast("long")
+    by_id = F.when(F.col("stays.no_id"), signed["doc"] == F.col("stays.doc"))
     return joined.select(
         "doc_id",
-        F.coalesce("class", "doc_id").alias("class_id"),
+        "unnamed",
+        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("class_id"),
         F.coalesce("class_size", one).alias("class_size"),
         F.coalesce("copies", one).alias("copies"),
-        F.col("doc_id").eqNullSafe(F.coalesce("class", "doc_id")).alias("kept"),
+        F.when(F.col("class").isNull(), True)
+        .otherwise(by_id.otherwise(F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))))
+        .alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, class_size, copies (rows with the same words), kept of every document."""
+    return _classes(docs, _unnamed(docs)).drop("unnamed")
+
+
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each class, columns as they were."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    unnamed = _unnamed(docs)
+    kept = settle(_classes(docs, unnamed).where("kept").select("doc_id", "unnamed"), "kept")
+    ids = kept.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(ids, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    return named.unionAll(unnamed.join(kept.select("unnamed"), "unnamed", "left_semi").select("row.*"))

@@ -146,3 +146,19 @@ def test_a_linked_document_waits_for_one_that_was_screened_out(spark):
     sketches = spark.createDataFrame(sketches, "doc long, sketch array<tinyint>")
     links = dm._links(waiting, sketches, spark.createDataFrame(tokens, "doc long, tokens array<long>"))
     assert sorted(map(tuple, links.collect())) == [(1, 2), (3, 2)]
+
+
+def test_rows_without_id_join_by_text_and_one_stays(spark):
+    rng = random.Random(12)
+    words = prose(rng, 150).split()
+    near = [" ".join([*words[:n], "other", *words[n + 1 :]]) for n in (20, 90)]
+    alone, same = prose(rng, 80), prose(rng, 60)
+    rows = [(None, near[0]), (4, near[1])]  # near copies, not the same words
+    rows += [(None, alone)] * 2 + [(None, alone + " tail"), (None, None), (None, same), (9, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = dm.near_duplicates(docs).where("kept")
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in kept.where("doc_id IS NOT NULL").collect()) == [(4, 4, 2), (9, 9, 2)]
+    assert sorted(r.class_size for r in kept.where("doc_id IS NULL").collect()) == [1, 3]
+    stay = [tuple(r) for r in dm.without_near_duplicates(docs).collect()]
+    assert len(stay) == 4 and {(4, near[1]), (9, same), (None, None)} < set(stay)
+    assert sum(i is None and t is not None and t.startswith(alone) for i, t in stay) == 1
