@@ -2,7 +2,9 @@
 
 The token stream of a source is cut into blocks of ``block_words``. All blocks of the mix
 are seats that go to the sources by highest quotients ``target / (2 * seats + 1)``. Each
-source is laid out in shards of about ``shard_docs`` documents; its seats go to its shards
+source is laid out in shards of about ``shard_docs`` documents, of ``SHARD_BLOCKS`` blocks at
+least; a source with one shard of fewer gets the seats that bring its target in blocks of its
+own size, so it misses the target by half a block at most. The seats of a source go to its shards
 by the same rule on the shards' sizes, which gives every shard an integer quota. Inside a
 shard the documents lie end to end in seeded order, and blocks are chosen evenly from a
 seeded start: of ``n`` blocks with a quota of ``q``, each is taken ``q // n`` times or once
@@ -27,6 +29,8 @@ from ledgerproof.llm.common import packed, settle
 
 BLOCK_WORDS = 64
 SHARD_DOCS = 4096
+# A shard has many blocks, so that rounding their number changes their size little.
+SHARD_BLOCKS = 32
 MAX_REPEATS = 3
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -157,17 +161,23 @@ def mix(
     names = [r.source for r in stats]
     targets = share_out(sizes, weights(names), budget)
     seats = sainte_lague(targets, round(sum(targets) / BLOCK_WORDS))
+    for i, size in enumerate(sizes):
+        if 0 < size < SHARD_BLOCKS * BLOCK_WORDS:
+            blocks = max(1, int(Fraction(size, BLOCK_WORDS) + Fraction(1, 2)))
+            seats[i] = int(targets[i] * blocks / size + Fraction(1, 2))
+    least = SHARD_BLOCKS * BLOCK_WORDS
     plan = spark.createDataFrame(
         [
-            (i, r.source, r.s, float(targets[i]), seats[i], max(1, -(-r.n // shard_docs)))
+            (i, r.source, r.s, float(targets[i]), seats[i], n := max(1, -(-r.n // shard_docs)), max(1, min(n, r.s // least)))
             for i, r in enumerate(stats)
         ],
-        "number int, plan_source string, source_size long, target double, seats long, parts long",
+        "number int, plan_source string, source_size long, target double, seats long, parts long, worded long",
     )
     placed = (
         sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
         .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size"))
-        .withColumn("shard", F.pmod("place", "parts"))
+        # Documents without words bring nothing to a shard; they are dealt out by rows.
+        .withColumn("shard", F.pmod("place", F.when(F.col("size") > 0, F.col("worded")).otherwise(F.col("parts"))))
         .withColumn("place", F.xxhash64(F.lit(seed + 1), "doc_id", "size"))
     )
     shards = placed.groupBy("number", "shard", "seats").agg(F.sum("size").alias("shard_size"))

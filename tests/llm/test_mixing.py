@@ -119,3 +119,11 @@ def test_whole_documents_and_empty(nasty, empty):
     assert set(whole.select("doc_id").collect()) <= set(nasty.select("doc_id").collect())
     assert mixing.mix(empty).count() == 0
     assert mixing.mixed_documents(empty).columns == empty.columns
+
+
+def test_small_and_mostly_empty_sources_reach_their_targets(spark):
+    rows = [(0, "a " * 30, "few")] + [(i, "b " * 4 if i % 40 == 0 else None, "sparse") for i in range(1, 40_001)]
+    rows += [(50_000 + i, "c " * 500, "z") for i in range(40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), lambda names: [3, 2, 1], shard_docs=100)
+    for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 0.05 * r.target
