@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerproof.llm import (
+    alignment,
     dartminhash,
+    divergence,
     hyperlang,
     mixing,
     neighbours,
+    packing,
     pieces,
     radix,
     secrets,
@@ -139,3 +142,48 @@ def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.read_pieces())
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = """
+WITH d AS (SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+w AS (SELECT rn, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rn) >= 3),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + l.v) AS p,
+             1 + (1000000000 * (k.n + 1)) // (l.total + l.v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN l ON g.lang = l.lang
+      LEFT JOIN t ON g.lang = t.lang AND g.source = t.source
+      LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+         GROUP BY a.lang, a.source, b.source),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op13_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
