@@ -1,12 +1,12 @@
 """Audit of how far the sources of a language differ in their words.
 
-Each task counts the terms of its documents and writes one row per group (language and
-source) and term: a 64-bit digest, counts, and the term itself in a column that most of what
-follows does not read. Terms are counted, kept, compared and ranked by digest; a language's
-digests are grouped once with the smallest and the largest of their strings. Where these are
-equal, the digest is one term. Where not, terms collided: such a digest is split, its rows are
-counted by string and get a number (``split``) beside the digest. The text of a term is joined
-back for the rows that are returned, and for those that tie with the last of them.
+Each task counts the terms of its documents and gives one row per language and term: a
+64-bit digest, the number of documents, and, packed, the counts by source. These rows are
+dealt out and ordered by digest; a term's string rides along in its task's one row, as the
+smallest and the largest that the task has met. Where both agree over all rows of a digest, it is
+one term. Where not, terms collided: the digest is split by string into numbers (``split``)
+beside it. What follows holds digests only: shares, pairs of sources and ranks. The text is
+joined back for the rows that are returned, and for those that tie with the last of them.
 
 All pairs of sources of a language are compared without building all terms for each: a source
 that lacks a term has the same share for all terms that it lacks. The sum for a pair is then
@@ -38,7 +38,8 @@ from ledgerproof.llm.common import settle, slices
 LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
-SLICE = 1 << 22
+SLICE = 1 << 24
+ROWS = 1 << 17
 PAIRS = 1 << 20
 # What a byte of a text becomes: A-Z lower-cased, bytes of no term blank.
 BYTES = np.zeros(256, np.uint8)
@@ -57,91 +58,147 @@ def terms(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     begins[1:] &= ~inside[:-1]
     fresh = bounds[:-1][np.diff(bounds) > 0]
     begins[fresh] = inside[fresh]  # a text's first term does not go on from the text before
-    # Places among the bytes that are left when the blanks are taken out.
-    starts = (np.cumsum(inside) - 1)[begins]
+    places = np.flatnonzero(begins)
     letters = data[inside]
+    # Places among the bytes that are left when the blanks are taken out.
+    starts = np.cumsum(inside, dtype=np.int32)[places] - 1
     cuts = np.append(starts, len(letters)).astype(np.int32)
     words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(letters)])
-    return words.dictionary_encode(), np.searchsorted(bounds, np.flatnonzero(begins), side="right") - 1
+    return words.dictionary_encode(), np.searchsorted(bounds, places, side="right") - 1
+
+
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    changed = np.zeros(len(keys[0]), bool)
+    changed[:1] = True
+    for key in keys:
+        changed[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(changed)
+
+
+def packed_counts(sizes: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Rows of (number, count) pairs as bytes; ``sizes`` pairs a row."""
+    pairs = np.stack([numbers, counts], axis=1).astype("<u4")
+    cuts = np.concatenate([[0], np.cumsum(sizes * 8)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(cuts), pa.py_buffer(pairs)])
 
 
 def counted_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n, documents: counts of a task's slices."""
+    """lang, term, documents, counts (packed by source number): one row per task's slice, language and term."""
+    slice_size = SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(pc.binary_length(batch.column("text")).to_pylist(), SLICE):
+            for part in slices(pc.binary_length(batch.column("text")).to_pylist(), slice_size):
                 rows = batch.slice(part.start, part.stop - part.start)
                 words, doc = terms(rows.column("text"))
                 if not len(words):
                     continue
-                code = words.indices.to_numpy().astype(np.int64)
-                groups = pa.StructArray.from_arrays([rows.column("lang"), rows.column("source")], ["lang", "source"])
-                group, distinct = pd.factorize(pd.MultiIndex.from_arrays([groups.field(0).to_pylist(), groups.field(1).to_pylist()]))
-                size = len(words.dictionary)
-                in_docs, times = np.unique(doc * size + code, return_counts=True)
-                key = group[in_docs // size].astype(np.int64) * size + in_docs % size
-                order = np.argsort(key, kind="stable")
-                firsts = np.flatnonzero(np.diff(key[order], prepend=-1))
-                which = key[order][firsts]
-                langs, sources = (pa.array([g[i] for g in distinct], pa.string()) for i in (0, 1))
-                of = pa.array(which // size)
+                langs, size = rows.column("lang").dictionary_encode(), len(words.dictionary)
+                in_docs, times = np.unique(doc * size + words.indices.to_numpy(), return_counts=True)
+                of_doc, code = in_docs // size, in_docs % size
+                unit = langs.indices.to_numpy()[of_doc].astype(np.int64) * size + code
+                number = rows.column("number").to_numpy()[of_doc]
+                order = np.lexsort((number, unit))
+                unit, number = unit[order], number[order]
+                entry, firsts = runs(unit, number), runs(unit)
+                sizes = np.diff(np.append(np.searchsorted(entry, firsts), len(entry)))
+                which = unit[firsts]
                 columns = [
-                    langs.take(of),
-                    sources.take(of),
+                    langs.dictionary.take(pa.array(which // size)),
                     words.dictionary.take(pa.array(which % size)),
-                    pa.array(np.add.reduceat(times[order], firsts)),
-                    pa.array(np.diff(np.append(firsts, len(key)))),
+                    pa.array(np.diff(np.append(firsts, len(unit)))),
+                    packed_counts(sizes, number[entry], np.add.reduceat(times[order], entry)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "documents"])
-
-    return docs.mapInArrow(run, "lang string, source string, term string, n long, documents long")
-
-
-def kept_terms(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """The kept terms of each language (lang, digest, split, term, n), and their occurrences by
-    group (lang, source, digest, split, n)."""
-    by_digest = settle(
-        counted.groupBy("lang", "digest")
-        .agg(
-            F.sum("documents").alias("documents"),
-            F.sum("n").alias("n"),
-            F.min("term").alias("term"),
-            F.max("term").alias("last"),
-        )
-        .where(F.col("documents") >= least),
-        "term-digests",
-    )
-    pure = by_digest.where("term = last").select("lang", "digest", F.lit(0).alias("split"), "term", "n")
-    met = by_digest.where("term <> last").select("lang", "digest")
-    # Terms that share a digest are counted by string; the smallest string is split 1.
-    collided = settle(counted.join(met, ["lang", "digest"]), "collided-terms")
-    split = F.row_number().over(Window.partitionBy("lang", "digest").orderBy("term"))
-    split_terms = (
-        collided.groupBy("lang", "digest", "term")
-        .agg(F.sum("documents").alias("documents"), F.sum("n").alias("n"))
-        .withColumn("split", split)
-        .where(F.col("documents") >= least)
-        .select("lang", "digest", "split", "term", "n")
-    )
-    kept = settle(pure.unionByName(split_terms), "kept-terms")
-    # Dealt out by digest once, for the counts and the join; slices have been summed up before.
-    dealt = counted.select("lang", "source", "digest", "n").repartition("lang", "digest")
-    by_group = dealt.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
-    pure_groups = by_group.join(pure.select("lang", "digest", "split"), ["lang", "digest"])
-    split_groups = (
-        collided.groupBy("lang", "source", "digest", "term")
-        .agg(F.sum("n").alias("n"))
-        .join(split_terms.select("lang", "digest", "split", "term"), ["lang", "digest", "term"])
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "documents", "counts"])
+
+    return docs.mapInArrow(run, "lang string, term string, documents long, counts binary")
+
+
+def splits(run: np.ndarray, term: pa.DictionaryArray) -> np.ndarray:
+    """0 for rows of a digest with one string; else the place of the row's string among those of its digest."""
+    code = term.indices.to_numpy()
+    firsts = np.searchsorted(run, np.arange(run[-1] + 1))
+    met = np.minimum.reduceat(code, firsts) != np.maximum.reduceat(code, firsts)
+    split = np.zeros(len(run), np.int64)
+    rows = np.flatnonzero(met[run])
+    if len(rows):
+        texts = [t.encode() for t in term.dictionary.take(pa.array(code[rows])).to_pylist()]
+        place = {x: i for i, x in enumerate(sorted(set(zip(run[rows].tolist(), texts, strict=True))))}
+        overall = np.array([place[x] for x in zip(run[rows].tolist(), texts, strict=True)])
+        least = np.full(run[-1] + 1, len(place))
+        np.minimum.at(least, run[rows], overall)
+        split[rows] = overall - least[run[rows]] + 1
+    return split
+
+
+def kept_terms(counted: DataFrame, least: int) -> DataFrame:
+    """lang, digest, split, term, n, numbers, counts of the terms in at least ``least`` documents."""
+    most = ROWS
+
+    def whole(rows: pa.Table) -> pa.RecordBatch:
+        """Rows of complete digests, summed up by term."""
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        term = rows.column("term").combine_chunks().dictionary_encode()
+        digest = rows.column("digest").to_numpy()
+        firsts = runs(digest, langs.indices.to_numpy())
+        run = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(digest))))
+        split = splits(run, term)
+        order = np.lexsort((split, run)) if split.any() else np.arange(len(run))
+        unit = runs(run[order], split[order])
+        enough = np.add.reduceat(rows.column("documents").to_numpy()[order], unit) >= least
+        sizes = np.diff(np.append(unit, len(run)))
+        kept = order[np.repeat(enough, sizes)]
+        sizes, first = sizes[enough], order[unit[enough]]
+        packed = rows.column("counts").combine_chunks().take(pa.array(kept))
+        data, cuts = column_bytes(packed)
+        pairs = data.view("<u4").reshape(-1, 2)
+        of = np.repeat(np.repeat(np.arange(len(sizes)), sizes), np.diff(cuts) // 8)
+        sorted_ = np.lexsort((pairs[:, 0], of))
+        of, number, n = of[sorted_], pairs[sorted_, 0].astype(np.int64), pairs[sorted_, 1].astype(np.int64)
+        entry = runs(of, number)
+        n = np.add.reduceat(n, entry) if len(entry) else n
+        ends = np.concatenate([[0], np.cumsum(np.bincount(of[entry], minlength=len(sizes)))]).astype(np.int32)
+        total = np.add.reduceat(n, ends[:-1]) if len(sizes) else n
+        columns = {
+            "lang": langs.dictionary.take(langs.indices.take(pa.array(first))),
+            "digest": pa.array(digest[first]),
+            "split": pa.array(split[first].astype(np.int32)),
+            "term": term.dictionary.take(term.indices.take(pa.array(first))),
+            "n": pa.array(total),
+            "numbers": pa.ListArray.from_arrays(ends, pa.array(number[entry])),
+            "counts": pa.ListArray.from_arrays(ends, pa.array(n)),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < most:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            # The last digest may go on in the next batch.
+            firsts = runs(rows.column("digest").to_numpy(), rows.column("lang").combine_chunks().dictionary_encode().indices.to_numpy())
+            if firsts[-1]:
+                yield whole(rows.slice(0, firsts[-1]))
+            held = rows.slice(firsts[-1]).to_batches()
+        if sum(b.num_rows for b in held):
+            yield whole(pa.Table.from_batches(held).combine_chunks())
+
+    dealt = counted.repartition("lang", "digest").sortWithinPartitions("digest", "lang")
+    return dealt.mapInArrow(
+        run_, "lang string, digest long, split int, term string, n long, numbers array<long>, counts array<long>"
     )
-    columns = ["lang", "source", "digest", "split", "n"]
-    return kept, settle(pure_groups.select(columns).unionByName(split_groups.select(columns)), "kept-groups")
 
 
 def share(count: Column, total: Column, kinds: Column) -> Column:
     """A term's share of a group with ``total`` occurrences of ``kinds`` kept terms."""
     whole = (count + 1).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", whole, (total + kinds).cast("decimal(19,0)")) + 1
+    large = F.call_function("div", whole, (total + kinds).cast("decimal(19,0)"))
+    small = F.call_function("div", (count + 1) * F.lit(SCALE).cast("long"), total + kinds)
+    # A product of counts of this size still is a long.
+    return F.when(count < 9 * SCALE, small).otherwise(large) + 1
 
 
 def gain(p: Column, q: Column) -> Column:
@@ -159,6 +216,7 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = held.offsets.to_numpy().astype(np.int64)
         inner = held.values
         own, p, none = (inner.field(f).to_numpy().astype(np.int64) for f in ("number", "p", "none"))
+        top = int(own.max(initial=0)) + 1
         sizes = np.diff(cuts)
         row = np.repeat(np.arange(len(held)), sizes)
         # Each entry meets all of its term, so a run of entries has a known number of meetings.
@@ -175,27 +233,32 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             value = gains(p[left], p[right]) - gains(p[left], none[right])
             value += gains(none[left], none[right]) - gains(none[left], p[right])
             langs = batch.column("lang").dictionary_encode()
-            keys = [langs.indices.to_numpy()[row[left - cuts[0]]], own[left], own[right]]
-            order = np.lexsort(keys[::-1])
-            changed = np.any([np.diff(k[order], prepend=-1) != 0 for k in keys], axis=0)
-            firsts = np.flatnonzero(changed)
-            lang, a, b = (k[order][firsts] for k in keys)
-            sums = np.add.reduceat(value[order], firsts)
-            columns = [langs.dictionary.take(pa.array(lang)), pa.array(a), pa.array(b), pa.array(sums)]
+            lang = langs.indices.to_numpy()[row[left - cuts[0]]].astype(np.int64)
+            which, keys = pd.factorize((lang * top + own[left]) * top + own[right])
+            sums = exact_sums(which, value, len(keys))
+            columns = [langs.dictionary.take(pa.array(keys // top**2)), pa.array(keys // top % top), pa.array(keys % top), pa.array(sums)]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "a", "b", "value"])
 
 
-def _pair_values(groups: DataFrame, occurrences: DataFrame) -> DataFrame:
+def exact_sums(which: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of long values by place: of 21 bits at a time, which floats add up without error."""
+    low = (1 << 21) - 1
+    parts = (values & low, values >> 21 & low, values >> 42)
+    sums = [np.bincount(which, weights=p, minlength=n).astype(np.int64) for p in parts]
+    return sums[0] + (sums[1] << 21) + (sums[2] << 42)
+
+
+def _pair_values(groups: DataFrame, kept: DataFrame, alike: DataFrame) -> DataFrame:
     """lang, source, item, value of all ordered pairs of sources of a language."""
-    # Both lists have one entry per source of the language, which is what the result asks for.
-    others = groups.groupBy("lang").agg(F.collect_list(F.struct("source", "number", "none", "kinds")).alias("others"))
+    # One entry per source of the language, which is what the result asks for.
+    entry = F.struct("number", "source", "total", "kinds", "none")
+    others = groups.groupBy("lang").agg(F.array_sort(F.collect_list(entry)).alias("others"))
     pairs = groups.join(others, "lang").withColumn("o", F.explode("others")).where("o.number <> number")
     base = pairs.select(
         "lang", F.col("number").alias("a"), F.col("o.number").alias("b"),
         (F.col("kinds") * gain(F.col("none"), F.col("o.none"))).alias("value"),
     )
-    alike = occurrences.groupBy("lang", "number", "none", "p").agg(F.count("*").alias("m"))
-    met = alike.join(others.select("lang", "others"), "lang").withColumn("o", F.explode("others")).where("o.number <> number")
+    met = alike.join(others, "lang").withColumn("o", F.explode("others")).where("o.number <> number")
     p, none, other = F.col("p"), F.col("none"), F.col("o.none")
     both_ways = F.array(
         F.struct(F.col("number").alias("a"), F.col("o.number").alias("b"), (gain(p, other) - gain(none, other)).alias("v")),
@@ -204,8 +267,18 @@ def _pair_values(groups: DataFrame, occurrences: DataFrame) -> DataFrame:
     single = met.select("lang", "m", F.explode(both_ways).alias("w")).select(
         "lang", "w.a", "w.b", (F.col("m") * F.col("w.v")).alias("value")
     )
-    held = occurrences.groupBy("lang", "digest", "split").agg(F.collect_list(F.struct("number", "p", "none")).alias("held"))
-    joint = held.where("size(held) > 1").select("lang", "held").mapInArrow(_corrections, "lang string, a long, b long, value long")
+    # Source numbers run from 1, in the order of the list.
+    group = lambda e: F.get("others", e["numbers"].cast("int") - 1)
+    held = F.transform(
+        F.arrays_zip("numbers", "counts"),
+        lambda e: F.struct(
+            e["numbers"].alias("number"),
+            share(e["counts"], group(e)["total"], group(e)["kinds"]).alias("p"),
+            group(e)["none"].alias("none"),
+        ),
+    )
+    shared = kept.where("size(numbers) > 1").select("lang", "numbers", "counts").join(others, "lang")
+    joint = shared.select("lang", held.alias("held")).mapInArrow(_corrections, "lang string, a long, b long, value long")
     sums = base.unionByName(single).unionByName(joint).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     named = lambda side, name: groups.select("lang", F.col("number").alias(side), F.col("source").alias(name))
     return sums.join(named("a", "source"), ["lang", "a"]).join(named("b", "item"), ["lang", "b"])
@@ -232,33 +305,30 @@ def audit(
 ) -> DataFrame:
     """lang, source, part, item, value, rank: the sources that differ from each, and its own terms."""
     plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
-    counted = settle(counted_terms(plain).withColumn("digest", digest(F.col("term"))), "term-counts")
-    kept, by_group = kept_terms(counted, least)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
+    numbered = settle(
+        plain.select("lang", "source").distinct().withColumn("number", place.cast("long")), "term-sources"
+    )
+    # Spark sends the written list of sources to the texts if it is small enough.
+    counted = counted_terms(plain.join(numbered, ["lang", "source"]).select("text", "lang", "number"))
+    kept = settle(kept_terms(counted.withColumn("digest", digest(F.col("term"))), least), "kept-terms")
+    single = kept.select("lang", "digest", "split", F.col("n").alias("lang_n"), F.explode(F.arrays_zip("numbers", "counts")).alias("e"))
+    single = single.select("lang", "digest", "split", "lang_n", F.col("e.numbers").alias("number"), F.col("e.counts").alias("n"))
+    by_count = settle(single.groupBy("lang", "number", "n").agg(F.count("*").alias("m")), "term-histogram")
     langs = kept.groupBy("lang").agg(F.count("*").alias("kinds"), F.sum("n").alias("lang_total"))
-    totals = by_group.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
-    groups = plain.select("lang", "source").distinct().join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
-    groups = groups.na.fill(0, ["kinds", "lang_total", "total"]).withColumn("number", number.cast("long"))
+    totals = by_count.groupBy("lang", "number").agg(F.sum(F.col("n") * F.col("m")).alias("total"))
+    groups = numbered.join(langs, "lang", "left").join(totals, ["lang", "number"], "left")
+    groups = groups.na.fill(0, ["kinds", "lang_total", "total"])
     # Without kept terms nothing has a share; the divisor only has to be there.
     room = F.greatest(F.col("kinds"), F.lit(1))
     groups = settle(groups.withColumn("none", share(F.lit(0), F.col("total"), room)), "term-groups")
-    occurrences = settle(
-        by_group.join(kept.select("lang", "digest", "split", F.col("n").alias("lang_n")), ["lang", "digest", "split"])
-        .join(groups, ["lang", "source"])
-        .select(
-            "lang",
-            "source",
-            "number",
-            "none",
-            "digest",
-            "split",
-            share(F.col("n"), F.col("total"), F.col("kinds")).alias("p"),
-            share(F.col("lang_n"), F.col("lang_total"), F.col("kinds")).alias("q"),
-        ),
-        "term-shares",
+    own = share(F.col("n"), F.col("total"), F.col("kinds")).alias("p")
+    alike = by_count.join(groups, ["lang", "number"]).select("lang", "number", "m", "none", own)
+    occurrences = single.join(groups, ["lang", "number"]).select(
+        "lang", "source", "digest", "split", own, share(F.col("lang_n"), F.col("lang_total"), F.col("kinds")).alias("q")
     )
-    parts = _pair_values(groups, occurrences).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
-    parts = parts.unionByName(
+    pairs = _pair_values(groups, kept, alike).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
+    parts = pairs.unionByName(
         _top_terms(occurrences, kept, top).select("lang", "source", F.lit("term").alias("part"), "item", "value")
     )
     rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
