@@ -43,12 +43,11 @@ def column_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Where texts may be cut: their beginnings, and spaces that no blank follows."""
-    spaces = np.flatnonzero(data[:-1] == SPACE)
-    spaces = spaces[~BLANK[data[spaces + 1]]]
-    last = np.zeros(len(data) + 1, bool)
-    last[bounds[1:] - 1] = True  # a text's last byte has another text's first behind it
-    spaces = spaces[~last[spaces]]
-    return np.union1d(spaces, bounds[:-1][np.diff(bounds) > 0])
+    cut = np.zeros(len(data), bool)
+    cut[:-1] = (data[:-1] == SPACE) & ~BLANK[data[1:]]
+    cut[bounds[1:][np.diff(bounds) > 0] - 1] = False  # a text's last byte has another text's first behind it
+    cut[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(cut)
 
 
 class ByteEncoder:

@@ -38,6 +38,7 @@ LEAF = 32_768
 FAN = 8
 SLACK = 4
 LEAST = 100
+SLICE = 1 << 23
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 MEMBERS = "array<struct<leaf:long,at:int>>"
 
@@ -53,12 +54,13 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
+    slice_size = SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ByteEncoder(shared.value, plain=False)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
-            for part in slices(sizes, 1 << 22):
+            for part in slices(sizes, slice_size):
                 texts = pc.fill_null(batch.column("text").slice(part.start, part.stop - part.start), "")
                 ids, ends = encoder.encode(texts)
                 rows: list[tuple[int, int, int, int, int]] = []
