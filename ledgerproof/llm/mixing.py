@@ -10,10 +10,15 @@ shard the documents lie end to end in seeded order, and blocks are chosen evenly
 seeded start: of ``n`` blocks with a quota of ``q``, each is taken ``q // n`` times or once
 more. Everything per document is closed-form integer arithmetic on its offset.
 
+Documents are dealt out and ordered by a hash of id and size. Rows of a source that share both
+(repeated rows, rows without id) are numbered, and the number goes into the hash: they lie in
+all shards, end to end, and the result is the same for any layout of the table.
+
 Only one row per source reaches the driver. Cases: a null text has no words; documents
 without words, and sources made of them alone, are taken 0 times; a null source is a source
 of its own, the last in order; an empty table gives an empty result; repeated rows are
-documents of their own. Columns other than id, text and source are never looked at.
+documents of their own; a text longer than a shard is a shard's larger part and is taken like
+others. Columns other than id, text and source are never looked at.
 """
 
 from __future__ import annotations
@@ -132,6 +137,29 @@ def _taken_before(x: str) -> str:
     return f"(({_chosen(j)} * shard_size + {part} + blocks div 2) div blocks)"
 
 
+def _tie_numbers(sized: DataFrame) -> DataFrame:
+    """nr, tie (from 1) of all rows but the first of those that share source, id and size.
+
+    Rows are numbered within the task that wrote them, behind those of earlier tasks, so no
+    group of equal rows is brought together.
+    """
+    rows = sized.where("size > 0").select(
+        "nr", F.shiftright("nr", 33).alias("task"), F.xxhash64("source", "doc_id", "size").alias("alike")
+    )
+    counts = rows.groupBy("alike", "task").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("alike")
+    earlier = whole.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shared = (
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .withColumn("all", F.sum("n").over(whole))
+        .where(F.col("all") > 1)
+        .select("alike", "task", "before")
+    )
+    within = F.row_number().over(Window.partitionBy("alike", "task").orderBy("nr")) - 1
+    numbered = rows.join(shared, ["alike", "task"]).select("nr", (F.col("before") + within).alias("tie"))
+    return settle(numbered.where("tie > 0"), "mix-ties")
+
+
 def mix(
     docs: DataFrame,
     weights: Callable[[Sequence[str | None]], Sequence[float]] = cycling_weights,
@@ -151,9 +179,13 @@ def mix(
     ``row``, a struct of the carried columns.
     """
     spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), packed(docs, carry))
-    # Counting again is cheaper than a second copy of whole documents.
-    sized = sized if carry else settle(sized, "mix-sizes")
+    sized = settle(
+        docs.select(
+            "doc_id", "source", word_count(F.col("text")).alias("size"), packed(docs, carry), F.monotonically_increasing_id().alias("nr")
+        ),
+        "mix-sizes",
+    )
+    sized = sized.join(_tie_numbers(sized), "nr", "left").withColumn("tie", F.coalesce("tie", F.lit(0)).cast("long"))
     stats = sized.groupBy("source").agg(F.sum("size").alias("s"), F.count("*").alias("n"))
     stats = sorted(stats.collect(), key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.s for r in stats]
@@ -173,16 +205,23 @@ def mix(
         ],
         "number int, plan_source string, source_size long, target double, seats long, parts long, worded long",
     )
+
+
+    def hashed(by: int) -> Column:
+        alone = F.xxhash64(F.lit(by), "doc_id", "size")
+        return F.when(F.col("tie") == 0, alone).otherwise(F.xxhash64(F.lit(by), "doc_id", "size", "tie"))
+
     placed = (
         sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
-        .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size"))
+        .withColumn("place", hashed(seed))
         # Documents without words bring nothing to a shard; they are dealt out by rows.
         .withColumn("shard", F.pmod("place", F.when(F.col("size") > 0, F.col("worded")).otherwise(F.col("parts"))))
-        .withColumn("place", F.xxhash64(F.lit(seed + 1), "doc_id", "size"))
+        .withColumn("place", hashed(seed + 1))
     )
     shards = placed.groupBy("number", "shard", "seats").agg(F.sum("size").alias("shard_size"))
     quotas = settle(_shard_quotas(shards), "mix-quotas")
-    order = Window.partitionBy("number", "shard").orderBy("place", "doc_id", "size")
+    order = Window.partitionBy("number", "shard").orderBy("place", "doc_id", "size", "tie")
+    order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = (
         placed.withColumn("stop", F.sum("size").over(order))
         .withColumn("start", F.col("stop") - F.col("size"))

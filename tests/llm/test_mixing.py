@@ -127,3 +127,26 @@ def test_small_and_mostly_empty_sources_reach_their_targets(spark):
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), lambda names: [3, 2, 1], shard_docs=100)
     for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
         assert abs(r.taken - r.target) <= 0.05 * r.target
+
+
+def test_rows_that_share_id_and_size_are_documents_of_their_own(spark):
+    """Sources of rows without id, and of one row repeated, are taken like others and from all shards."""
+    rows = [(None, "a b c d e", "noid")] * 4000 + [(7, "x " * 20, "same")] * 5000
+    rows += [(i, "c " * 30, "plain") for i in range(100, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs, lambda names: [1, 1, 1], shard_docs=500)
+    per_source = got.groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("shard").alias("shard"), F.sum("size").alias("size")
+    )
+    for r in per_source.collect():
+        assert abs(r.taken - r.target) <= 2 * mixing.BLOCK_WORDS, r
+        assert r.shard >= 5
+    places = got.where("source = 'same'").groupBy("shard", "start").count()
+    assert places.where("count > 1").isEmpty() and places.count() == 5000
+    biggest = got.where("source = 'same'").groupBy("shard").count().agg(F.max("count")).first()[0]
+    assert biggest < 1000
+    again = mixing.mix(docs.repartition(3), lambda names: [1, 1, 1], shard_docs=500)
+    columns = ["source", "doc_id", "shard", "start", "taken"]
+    assert got.select(columns).exceptAll(again.select(columns)).isEmpty()
+    copies = mixing.mixed_documents(docs, weights=lambda names: [1, 1, 1], shard_docs=500).groupBy("source").count()
+    assert all(r["count"] > 100 for r in copies.collect())
