@@ -3,28 +3,36 @@
 Each text is encoded whole; only its length is kept and only the histogram (documents by
 length) leaves the tasks. Sums over all lengths from ``n`` on then answer, for every
 context limit, how many documents reach it, how many tokens remain if all texts are cut
-there, and every quantile. The suffix sums are taken in runs of ``RUN`` lengths and over
+there, and every quantile. The histogram is written once, so that no text is encoded twice. The suffix sums are taken in runs of ``RUN`` lengths and over
 the runs, so that no task sorts more than the runs or one run.
 
-Cases: null and empty texts have 0 tokens; an empty table gives an empty histogram, sums
+A very long run of blanks would exhaust the stack of the vocabulary's pattern; texts are cut
+around such runs, where the pattern itself cuts: a run is one part, but for its last blank if
+something follows.
+
+Cases: null and empty texts have 0 tokens; very long texts are encoded like others; an empty table gives an empty histogram, sums
 of 0 and no quantile; repeated rows count each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerproof.llm.common import slices
+from ledgerproof.llm.common import settle, slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the vocabulary's texts are cut before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RUN = 256
+# Runs of blanks (as the pattern has them) of this length are taken out of the pattern's hands.
+LONG_RUN = 5000
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -34,6 +42,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+def parts_of(text: str) -> Iterator[tuple[bool, str]]:
+    """The text in pieces that are encoded each; True for a long run of blanks, which is one part."""
+    at = 0
+    for run in BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        yield False, text[at : run.start()]
+        yield True, text[run.start() : end]
+        at = end
+    yield False, text[at:]
+
+
 def lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens of every document."""
     spark: SparkSession = docs.sparkSession
@@ -47,7 +66,13 @@ def lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             n: list[int] = []
             for part in slices([len(t) for t in texts]):
-                n += map(len, encoding.encode_ordinary_batch(texts[part], num_threads=1))
+                plain = [t if len(t) < LONG_RUN or not BLANKS.search(t) else "" for t in texts[part]]
+                found = [len(x) for x in encoding.encode_ordinary_batch(plain, num_threads=1)]
+                for i, text in enumerate(texts[part]):
+                    if text and not plain[i]:
+                        runs = [(encoding._encode_single_piece if run else encoding.encode_ordinary)(p) for run, p in parts_of(text) if p]
+                        found[i] = sum(map(len, runs))
+                n += found
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
     rows = docs.select("doc_id", "text")
@@ -61,7 +86,7 @@ def histogram(counted: DataFrame) -> DataFrame:
     share, the part of the documents that are no longer than it.
     """
     lengths_ = counted.groupBy("n_tokens").agg(F.count("*").alias("docs"))
-    lengths_ = lengths_.withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+    lengths_ = settle(lengths_.withColumn("tokens", F.col("n_tokens") * F.col("docs")), "token-histogram")
     lengths_ = lengths_.withColumn("run", F.expr(f"n_tokens div {RUN}"))
     runs = lengths_.groupBy("run").agg(F.sum("docs").alias("run_docs"), F.sum("tokens").alias("run_tokens"))
     later = Window.orderBy(F.desc("run")).rowsBetween(Window.unboundedPreceding, -1)
@@ -95,16 +120,19 @@ def truncated_totals(table: DataFrame, limits: Sequence[int]) -> DataFrame:
     """For any context limits: documents longer than it, and tokens left after cutting there."""
     spark = table.sparkSession
     wanted = spark.createDataFrame([(int(n),) for n in limits], "limit long")
-    longer = F.col("n_tokens") > F.col("limit")
     # One row per stated limit and histogram length; the limits are a short literal list.
-    pairs = table.select("n_tokens", "docs", "tokens").withColumn(
+    pairs = table.select("n_tokens", "docs_at_least", "tokens_at_least").withColumn(
         "limit", F.explode(F.array(*(F.lit(int(n)).cast("long") for n in limits)))
     )
+    # The sums from the first longer length on; those from the first length of all are the totals.
+    longer = F.when(F.col("n_tokens") > F.col("limit"), F.col("n_tokens"))
     sums = pairs.groupBy("limit").agg(
-        F.sum(F.when(longer, F.col("docs")).otherwise(0)).alias("docs_longer"),
-        F.sum(F.when(longer, F.col("limit") * F.col("docs")).otherwise(F.col("tokens"))).alias("tokens_left"),
+        F.max("tokens_at_least").alias("total"),
+        F.coalesce(F.min_by("docs_at_least", longer), F.lit(0)).alias("docs_longer"),
+        F.coalesce(F.min_by("tokens_at_least", longer), F.lit(0)).alias("tokens_longer"),
     )
-    return wanted.join(sums, "limit", "left").na.fill(0)
+    left = F.expr("total - tokens_longer + limit * docs_longer").alias("tokens_left")
+    return wanted.join(sums.select("limit", "docs_longer", left), "limit", "left").na.fill(0)
 
 
 def quantiles(table: DataFrame, shares: Sequence[float]) -> DataFrame:
