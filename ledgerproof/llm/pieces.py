@@ -15,7 +15,7 @@ documents to a table of all distinct words would move several times the input.
 
 Decoding joins the pieces' bytes; the first space is dropped and every mark becomes a space.
 What no piece covers is spelt in byte pieces, so decoding restores any text, except that a
-literal mark comes back as a space. Cases: null and empty texts have no pieces and decode to
+literal mark comes back as a space: ``round_trip`` is false for such texts alone. Cases: null and empty texts have no pieces and decode to
 the empty text; very long words cost ``n log n``; repeated rows are encoded each; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -350,7 +350,7 @@ def encode(docs: DataFrame, pieces: Pieces, table: dict[str, list[int]] | None =
                 own = words.slice(part.start, size)
                 ids, offsets = encoder.encode(own)
                 texts = batch.column("text").slice(part.start, size).to_pylist()
-                wanted = [(t or "").replace(MARK, " ").encode("utf-8", "surrogatepass") for t in texts]
+                wanted = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
                 same = [a == b for a, b in zip(decoder.decode(ids, offsets), wanted, strict=True)]
                 lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids))
                 columns = [batch.column("doc_id").slice(part.start, size), pa.array(np.diff(offsets)), lists, pa.array(same)]
