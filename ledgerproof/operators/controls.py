@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL
-from .perkey import distinct_keys, totals_by, with_keys, without_keys
-from .summaries import control_totals
+from ..session import scratch_dir
+from .perkey import with_keys, without_keys
 
 # (per-key rows, key, keys of the other side, their name) -> the rows that stay
 Match = Callable[[DataFrame, str, DataFrame, str], DataFrame]
@@ -63,11 +63,13 @@ def tie_out(
     """Per side: total, matched and unmatched rows and money, what is left over, and
     how many keys occur more than once.
 
-    The three figures come from three operators: the control totals of the ledger as it
-    is, the rows that ``match`` keeps and those that ``differ`` keeps, so rows that are
-    lost or counted twice on the way show up as a residual. Bank rows are counted per key
-    and ``bank_group``. A key that occurs more than once on the payout side means that the
-    reports count its bank rows more than once.
+    Each ledger is read once, into one row per key and one for the whole ledger, which are
+    written. The total is that of the ledger as it is; the rest comes from the keys that
+    ``match`` keeps and those that ``differ`` keeps, so rows that are lost or counted twice on
+    the way show up as a residual. A lost row and a doubled one of the same amount cancel in
+    rows and money, but not in ``fingerprint_residual``: the sum of the rows' hashes, in any
+    order. Bank rows are counted per key and ``bank_group``. A key that occurs more than once
+    on the payout side means that the reports count its bank rows more than once.
     """
     p = payout.select(F.col(payout_key).alias("k"), payout_amount.alias("amount"))
     b = (
@@ -76,35 +78,58 @@ def tie_out(
         .agg(F.sum("amount").cast(TOTAL).alias("amount"))
         .drop("g")
     )
-    sides = (("payout", p, distinct_keys(b, "k", "other")), ("bank", b, distinct_keys(p, "k", "other")))
+    ledgers = {"payout": _per_key(p), "bank": _per_key(b)}
     parts = []
-    for side, rows, others in sides:
-        per_key = totals_by(rows, ["k"], {"usd": F.col("amount")})
+    for side, other in (("payout", "bank"), ("bank", "payout")):
+        whole, keys = (ledgers[side].where(F.col("whole") == w).drop("whole") for w in (1, 0))
+        others = ledgers[other].where("whole = 0 AND k IS NOT NULL").select(F.col("k").alias("other"))
         figures = {
-            "total": control_totals(rows, {"usd": F.col("amount")}).withColumnRenamed("cnt", "rows"),
-            "matched": _sums(match(per_key, "k", others, "other")),
-            "unmatched": _sums(differ(per_key, "k", others, "other")),
-            "duplicate": _sums(per_key.where("k IS NOT NULL AND rows > 1"), F.count("*")),
+            "total": _sums(whole),
+            "matched": _sums(match(keys, "k", others, "other")),
+            "unmatched": _sums(differ(keys, "k", others, "other")),
+            "duplicate": _sums(keys.where("k IS NOT NULL AND rows > 1"), F.count("*")),
         }
         for part, frame in figures.items():
-            parts.append(frame.select(F.lit(side).alias("side"), F.lit(part).alias("part"), "rows", "usd"))
+            parts.append(frame.select(F.lit(side).alias("side"), F.lit(part).alias("part"), "rows", "usd", "print"))
     pick = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
-    zero = F.lit(0).cast(TOTAL)
+    zero, three = F.lit(0).cast(TOTAL), ("total", "matched", "unmatched")
     return (
         functools.reduce(DataFrame.unionByName, parts)
         .groupBy("side")
         .agg(
-            *(pick(n, "rows").cast("bigint").alias(f"{n}_rows") for n in ("total", "matched", "unmatched")),
-            *(F.coalesce(pick(n, "usd"), zero).alias(f"{n}_usd") for n in ("total", "matched", "unmatched")),
+            *(pick(n, "rows").cast("bigint").alias(f"{n}_rows") for n in three),
+            *(F.coalesce(pick(n, "usd"), zero).alias(f"{n}_usd") for n in three),
+            *(F.coalesce(pick(n, "print"), zero).alias(f"{n}_print") for n in three),
             pick("duplicate", "rows").cast("bigint").alias("duplicate_keys"),
         )
         .withColumn(
             "residual_rows", F.expr("total_rows - matched_rows - unmatched_rows").cast("bigint")
         )
         .withColumn("residual_usd", F.expr("total_usd - matched_usd - unmatched_usd").cast(TOTAL))
+        .withColumn(
+            "fingerprint_residual", F.expr("total_print - matched_print - unmatched_print").cast("decimal(38,0)")
+        )
+        .drop(*(f"{n}_print" for n in three))
+    )
+
+
+def _per_key(rows: DataFrame) -> DataFrame:
+    """k, whole, rows, usd, print: one row per key, and one of the whole ledger (whole = 1), as written."""
+    spark = rows.sparkSession
+    folder = scratch_dir(spark, "tie_out")
+    hashed = rows.withColumn("print", F.xxhash64("k", "amount").cast("decimal(20,0)"))
+    totals = hashed.rollup("k").agg(
+        F.grouping("k").cast("int").alias("whole"),
+        F.count("*").alias("rows"),
+        F.sum("amount").cast(TOTAL).alias("usd"),
+        F.sum("print").cast("decimal(38,0)").alias("print"),
     )
+    totals.write.parquet(folder)
+    return spark.read.schema(totals.schema).parquet(folder)
 
 
 def _sums(per_key: DataFrame, rows: Column | None = None) -> DataFrame:
     rows = F.coalesce(F.sum("rows"), F.lit(0)) if rows is None else rows
-    return per_key.agg(rows.alias("rows"), F.sum("usd").cast(TOTAL).alias("usd"))
+    return per_key.agg(
+        rows.alias("rows"), F.sum("usd").cast(TOTAL).alias("usd"), F.sum("print").cast("decimal(38,0)").alias("print")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, TOTAL, try_money
@@ -94,75 +94,65 @@ def nonzero_difference_by(
 ) -> DataFrame:
     """Per value of ``by``: the matched pairs whose amounts differ.
 
-    A pair needs both amounts. The differing pairs are all pairs less the equal
-    pairs, and both of these come from equi-joins of counts, so no pair of rows is
-    ever built, whatever the number of rows per key. With ``right_group`` the right rows
-    are first summed per key and group. Amounts are text, as in :func:`matched_difference`.
+    A pair needs both amounts. The differing pairs are all pairs less the equal pairs.
+    Equal pairs are counted among the rows of one key and amount, all pairs from the totals
+    of a key, so no pair of rows is ever built, whatever the number of rows per key. With
+    ``right_group`` the right rows are first summed per key and group. Amounts are text, as
+    in :func:`matched_difference`.
 
-    After its first aggregate each side is dealt out by the key alone, which serves all
-    that follows (with ``BASE_CONF``): the groupings by key and more, and both joins.
+    Both ledgers go through the same shuffles: rows are counted per key, amount and ``by``,
+    then dealt out by key *and* amount, so that a key with many amounts is many keys. Only
+    totals, one row per key and ``by``, are brought together by the key alone.
     """
-    l = (
-        left.select(
-            F.col(left_key).alias("k"),
-            F.col(by).alias("by"),
-            try_money(left_amount).alias("amount"),
-            _unreadable(left_amount).alias("bad"),
-        )
-        .where("k IS NOT NULL AND (amount IS NOT NULL OR bad > 0)")
-        .groupBy("k", "by", "amount")
-        .agg(F.count("amount").alias("l_rows"), F.sum("bad").alias("bad"))
-        .repartition("k")
+    l = left.select(
+        F.col(left_key).alias("k"),
+        F.col(by).alias("by"),
+        F.lit(True).alias("left"),
+        try_money(left_amount).alias("amount"),
+        _unreadable(left_amount).alias("bad"),
     )
     r = right.select(
         F.col(right_key).alias("k"),
         (F.lit(0) if right_group is None else F.col(right_group)).alias("g"),
         try_money(right_amount).alias("amount"),
         _unreadable(right_amount).alias("bad"),
-    ).where("k IS NOT NULL AND (amount IS NOT NULL OR bad > 0)")
-    if right_group is None:
-        r = r.groupBy("k", "amount").agg(F.count("amount").alias("r_rows"), F.sum("bad").alias("bad"))
-    else:
-        r = r.groupBy("k", "g").agg(F.sum("amount").cast(MONEY).alias("amount"), F.sum("bad").alias("bad"))
-        r = r.withColumn("r_rows", F.col("amount").isNotNull().cast("bigint")).drop("g")
-    r = r.repartition("k")
-    l_key = l.groupBy("k", "by").agg(
-        F.sum("l_rows").alias("l_rows"),
-        F.sum(weighted("amount", "l_rows")).cast(TOTAL).alias("l_sum"),
-        F.sum("bad").alias("l_bad"),
     )
-    r_key = r.groupBy("k").agg(
-        F.sum("r_rows").alias("r_rows"),
-        F.sum(weighted("amount", "r_rows")).cast(TOTAL).alias("r_sum"),
-        F.sum("bad").alias("r_bad"),
-    )
-    every = l_key.join(r_key, "k").select(
-        "by",
-        (F.col("l_rows") * F.col("r_rows")).alias("pairs"),
-        weighted("l_sum", "r_rows").cast(TOTAL).alias("sum_left"),
-        weighted("r_sum", "l_rows").cast(TOTAL).alias("sum_right"),
-        (F.col("l_bad") + F.col("r_bad")).alias("bad"),
-    )
-    r_amount = r.groupBy(F.col("k").alias("rk"), F.col("amount").alias("r_amount")).agg(
-        F.sum("r_rows").alias("r_rows"), F.sum("bad").alias("r_bad")
+    if right_group is not None:
+        r = r.where("k IS NOT NULL").groupBy("k", "g").agg(
+            F.sum("amount").cast(MONEY).alias("amount"), F.sum("bad").cast("int").alias("bad")
+        )
+    r = r.select("k", F.lit(None).cast(l.schema["by"].dataType).alias("by"), F.lit(False).alias("left"), "amount", "bad")
+    rows = (
+        l.unionByName(r)
+        .where("k IS NOT NULL AND (amount IS NOT NULL OR bad > 0)")
+        .groupBy("k", "amount", "by", "left")
+        .agg(F.count("amount").alias("n"), F.sum("bad").alias("bad"))
     )
-    # Without an amount there are no rows to count. A null-safe comparison and the counts of bad
-    # amounts ask for the same rows and columns as above, so the same shuffles serve both.
-    same = (F.col("k") == F.col("rk")) & F.col("amount").eqNullSafe(F.col("r_amount"))
-    equal = l.join(r_amount, same).select(
-        "by",
-        (-F.col("l_rows") * F.col("r_rows")).alias("pairs"),
-        (-weighted(weighted("amount", "l_rows"), "r_rows")).cast(TOTAL).alias("sum_left"),
-        (-weighted(weighted("amount", "l_rows"), "r_rows")).cast(TOTAL).alias("sum_right"),
-        (F.col("bad") + F.col("r_bad")).alias("bad"),
+    of_right = lambda c: F.when(~F.col("left"), F.col(c))
+    alike = F.coalesce(F.sum(of_right("n")).over(Window.partitionBy("k", "amount")), F.lit(0))
+    usd = weighted("amount", "n")
+    totals = (
+        rows.withColumn("alike", alike)
+        .groupBy("k", "by", "left")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(usd).cast(TOTAL).alias("usd"),
+            F.sum("bad").alias("bad"),
+            F.sum(F.col("n") * F.col("alike")).alias("equal_pairs"),
+            F.coalesce(F.sum(weighted(usd, "alike")), F.lit(0)).cast(TOTAL).alias("equal_usd"),
+        )
     )
+    key = Window.partitionBy("k")
     return (
-        every.unionByName(equal)
+        totals.withColumns({f"right_{c}": F.sum(of_right(c)).over(key) for c in ("n", "usd", "bad")})
+        .where("left AND right_n IS NOT NULL")
         .groupBy("by")
         .agg(
-            _strictly(F.sum("pairs").cast("bigint"), F.col("bad")).alias("cnt"),
-            F.sum("sum_left").cast(TOTAL).alias("sum_left"),
-            F.sum("sum_right").cast(TOTAL).alias("sum_right"),
+            _strictly(
+                F.sum(F.col("n") * F.col("right_n") - F.col("equal_pairs")).cast("bigint"), F.col("bad") + F.col("right_bad")
+            ).alias("cnt"),
+            F.sum(weighted("usd", "right_n") - F.col("equal_usd")).cast(TOTAL).alias("sum_left"),
+            F.sum(weighted("right_usd", "n") - F.col("equal_usd")).cast(TOTAL).alias("sum_right"),
         )
         .where("cnt > 0")
         .withColumn("sum_diff", (F.col("sum_left") - F.col("sum_right")).cast(TOTAL))

@@ -137,13 +137,15 @@ def _tie_side(side: str, source: str, key: str, amount: str, other: str) -> str:
     """Three separate figures and what they leave over."""
 
     def figures(where: str = "") -> str:
-        return f"SELECT count(*) AS n, coalesce(sum({amount}), 0) AS usd FROM {source} s {where}"
+        print_ = f"coalesce(sum(CAST(hash({key}, {amount}) AS HUGEINT)), 0)"
+        return f"SELECT count(*) AS n, coalesce(sum({amount}), 0) AS usd, {print_} AS print FROM {source} s {where}"
 
     hit = f"EXISTS (SELECT 1 FROM {other})"
     return (
         f"SELECT '{side}' AS side, t.n AS total_rows, m.n AS matched_rows, u.n AS unmatched_rows, "
         "t.usd AS total_usd, m.usd AS matched_usd, u.usd AS unmatched_usd, d.n AS duplicate_keys, "
-        "t.n - m.n - u.n AS residual_rows, t.usd - m.usd - u.usd AS residual_usd "
+        "t.n - m.n - u.n AS residual_rows, t.usd - m.usd - u.usd AS residual_usd, "
+        "CAST(t.print - m.print - u.print AS DECIMAL(38,0)) AS fingerprint_residual "
         f"FROM ({figures()}) t, ({figures('WHERE ' + hit)}) m, ({figures('WHERE NOT ' + hit)}) u, "
         f"(SELECT count(*) AS n FROM (SELECT {key} FROM {source} WHERE {key} IS NOT NULL GROUP BY 1 "
         "HAVING count(*) > 1)) d"
@@ -318,7 +320,10 @@ ORACLES: dict[str, str] = {
         f"{CASH} AS total_cashout_usd_typed, {INIT} AS initial_withdrawal_amount_usd_typed FROM p"
     ),
     "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
-    "csv_small_files": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "csv_small_files": _sql(
+        f"SELECT provider, type, CAST(count(*) AS VARCHAR) AS record_count, CAST(sum({AMOUNT}) AS VARCHAR) AS total_amount "
+        "FROM full_bank GROUP BY 1, 2"
+    ),
     "csv_unquoted": "SELECT CAST(c_custkey AS VARCHAR) AS custkey, '\"' || c_mktsegment AS segment, "
     "c_name || '\"' AS name FROM customer",
     "csv_inferred": "SELECT o_orderstatus, count(*) AS cnt, CAST(sum(o_custkey) AS BIGINT) AS sum_custkey, "
@@ -387,6 +392,23 @@ ORACLES: dict[str, str] = {
             ]
         ),
     ),
+    "load_metrics": f"SELECT 'documents' AS table_name, CAST(sum(1 + {MULTI}) AS BIGINT) AS data_lines, "
+    f"count(*) AS loaded_rows, CAST(0 AS BIGINT) AS rejected_rows, sum({MULTI}) = 0 AS matches FROM documents "
+    "UNION ALL SELECT 'orders', count(*), count(*), 0, true FROM orders "
+    "UNION ALL SELECT 'customers', count(*), count(*), 0, true FROM customer "
+    f"UNION ALL SELECT 'damaged', count(*), count(*) FILTER (WHERE NOT ({DAMAGED})), "
+    f"count(*) FILTER (WHERE {DAMAGED}), true FROM orders",
+    "load_in_batches": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+    "o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderpriority, 0 AS added_again FROM orders",
+    "switch_table": _sql(f"SELECT {PAYOUT_COLS} FROM payout"),
+    "sql_script": _sql(
+        f"SELECT 1 AS statement, 'payout; period' AS label, count(*) AS cnt FROM full_payout "
+        f"WHERE left(withdrawal_created_at, 10) >= '{LO}' AND left(withdrawal_created_at, 10) < '{HI}' "
+        f"UNION ALL SELECT 2, 'bank', count(*) FROM full_bank "
+        f"WHERE left(created_at, 10) >= '{LO}' AND left(created_at, 10) < '{HI}' "
+        "UNION ALL SELECT 3, 'doubled ' || payment_method, count(*) FROM (SELECT tms_reconciliation_id, payment_method "
+        "FROM full_payout WHERE tms_reconciliation_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY payment_method"
+    ),
     "sql_report": _sql(
         f"SELECT lower(trim(payment_provider_name)) AS provider, count(*) AS cnt, "
         f"sum({CASH}) AS sum_total_cashout_usd FROM payout GROUP BY 1"
@@ -424,3 +446,4 @@ ORACLES: dict[str, str] = {
     "terminator_profile": f"SELECT count(*) FILTER (WHERE {MIXED_CR}) AS crlf_lines, "
     f"count(*) FILTER (WHERE NOT {MIXED_CR}) AS lf_lines, 'LF' AS first_verdict, 'LF' AS last_verdict FROM orders",
 }
+ORACLES["run_all_bucketed"] = ORACLES["run_all"]

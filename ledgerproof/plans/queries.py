@@ -356,8 +356,10 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_small_files(spark: SparkSession, sf: str) -> DataFrame:
-    docs = csvfiles.read_report(spark, exports.documents_csv(spark, sf))
-    return docs.select("doc_id", _same_line_ends("text"), "lang", "source")
+    """A written report, read by the reader that takes a whole file per task."""
+    path = scratch_dir(spark, "small_report")
+    sinks.write_report(summaries.amount_by(_bank(spark, sf), ["provider", "type"], CFG.bank.amount), path)
+    return csvfiles.read_report(spark, path)
 
 
 @query
@@ -488,6 +490,58 @@ def load_all(spark: SparkSession, sf: str) -> DataFrame:
     return _contents(stored)
 
 
+@query
+def load_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the same load counted while it wrote, next to the lines of its files."""
+    jobs = [
+        load.LoadJob("documents", exports.documents_csv(spark, sf), "strict"),
+        load.LoadJob("orders", exports.orders_csv(spark, sf), "quoted"),
+        load.LoadJob("customers", exports.quoted_names_csv(spark, sf), "unquoted"),
+        load.LoadJob("damaged", exports.damaged_csv(spark, sf), "tolerant", _reject_cap(spark, sf)),
+    ]
+    return load.load_with_metrics(spark, jobs, scratch_dir(spark, "load_metrics"))[1]
+
+
+@query
+def load_in_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """An export appended in batches; the load is done again, and one batch is written twice."""
+    path, target = exports.orders_csv(spark, sf), scratch_dir(spark, "batches")
+    load.load_in_batches(spark, path, target, "quoted", files_per_batch=2)
+    again = load.load_in_batches(spark, path, target, "quoted", files_per_batch=2)
+    table = spark.read.option("recursiveFileLookup", "false").parquet(target)
+    first = min(sinks.committed_batches(spark, target))
+    batch = table.where(F.col(sinks.BATCH).cast("string") == first).drop(sinks.BATCH)
+    # The rows are read from the folder that is replaced, so they are stored elsewhere before.
+    copy = sinks.replace_table(batch, scratch_dir(spark, "one_batch"))
+    stored = sinks.append_batch(copy, target, first)
+    return stored.drop(sinks.BATCH).withColumn("added_again", F.lit(len(again)))
+
+
+@query
+def switch_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table whose second version takes the place of its first."""
+    base = scratch_dir(spark, "versions")
+    name = f"ledgerproof_{base[-12:]}"
+    sinks.switch_table(_payout(spark, sf).limit(10), name, base)
+    table = sinks.switch_table(_payout(spark, sf), name, base)
+    return table.where(in_period(CFG.payout.created_at, PERIOD))
+
+
+@query
+def run_all_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The three main reports over ledgers that are stored in buckets of the reconciliation id."""
+    base = scratch_dir(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    payout, bank = (
+        sinks.create_bucketed(df, f"ledgerproof_{name}_{base[-12:]}", key, buckets, f"{base}/{name}")
+        for name, df, key in (("payout", _payout(spark, sf), CFG.payout.key), ("bank", _bank(spark, sf), CFG.bank.key))
+    )
+    written = reports.run_all(
+        payout, bank, sample.payment(spark, sf), payout, bank, CFG, scratch_dir(spark, "reports")
+    )
+    return _contents({name: csvfiles.read_report(spark, path) for name, path in written.items()})
+
+
 @query
 def run_all(spark: SparkSession, sf: str) -> DataFrame:
     """The three main reports, written as CSV one after the other, with all their rows."""
@@ -508,6 +562,19 @@ def sql_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def sql_script(spark: SparkSession, sf: str) -> DataFrame:
+    """All statements of one SQL file: (statement, label, cnt)."""
+    found = sinks.run_script(
+        spark,
+        sinks.load_sql(SQL_DIR / "completeness.sql"),
+        {"payout": _payout(spark, sf), "bank": _bank(spark, sf)},
+        {"start": PERIOD.start, "end": PERIOD.end},
+    )
+    named = [df.select(F.lit(i).alias("statement"), "label", "cnt") for i, df in enumerate(found, start=1)]
+    return functools.reduce(DataFrame.unionByName, named)
+
+
 # -- completeness -------------------------------------------------------------------------
 
 

@@ -1,8 +1,8 @@
 """Ledgers derived from the sample tables, so every report has something to find.
 
 The remainder rules below do not thin the data out; each plants one case of the real
-ledgers: missing ids, rows absent on one side, unreadable dates, split payments, rows
-out of scope. The expressions run unchanged on Spark and in plain SQL.
+ledgers: missing ids, rows absent on one side, unreadable dates, split payments, payouts
+booked twice, rows out of scope. The expressions run unchanged on Spark and in plain SQL.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ FULL_PAYOUT = {
     "tms_is_reconciled": "o_orderstatus",
 }
 FULL_PAYOUT_WHERE = "o_orderkey % 31 <> 0"
+# Payouts that were booked twice.
+DOUBLED_WHERE = "o_orderkey % 71 = 0"
 
 FULL_BANK = {
     "reconciliation_id": "CAST(o_orderkey AS STRING)",
@@ -88,7 +90,10 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def full_payout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(table(spark, sf_dir, "orders").where(FULL_PAYOUT_WHERE), FULL_PAYOUT)
+    """Doubled payouts come from the same pass over the orders."""
+    times = f"explode(CASE WHEN {DOUBLED_WHERE} THEN array(1, 2) ELSE array(1) END)"
+    orders = table(spark, sf_dir, "orders").where(FULL_PAYOUT_WHERE)
+    return _project(orders.withColumn("booking", F.expr(times)), FULL_PAYOUT)
 
 
 def full_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +133,9 @@ def ledger_sql() -> dict[str, str]:
     first = {**FULL_BANK, "usd_amount": f"CAST({FIRST_LEG} AS STRING)"}
     second = {**FULL_BANK, "usd_amount": f"CAST({SECOND_LEG} AS STRING)"}
     return {
-        "full_payout": _select_sql(FULL_PAYOUT, "orders", FULL_PAYOUT_WHERE),
+        "full_payout": _select_sql(FULL_PAYOUT, "orders", FULL_PAYOUT_WHERE)
+        + " UNION ALL "
+        + _select_sql(FULL_PAYOUT, "orders", f"{FULL_PAYOUT_WHERE} AND {DOUBLED_WHERE}"),
         "full_bank": _select_sql(first, "orders", FULL_BANK_WHERE)
         + " UNION ALL "
         + _select_sql(second, "orders", f"{FULL_BANK_WHERE} AND {SPLIT_WHERE}"),

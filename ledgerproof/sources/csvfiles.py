@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import escape_preview, null_if_empty
+from ..session import scratch_dir
 from .headers import BOM, clean_header, read_header, text_schema
-from .records import field_count, own_cells, read_records
+from .records import Paths, field_count, own_cells, read_records, records_and_pieces, records_of_pieces
+from .sinks import ROWS_PER_FILE
 
 CSV_TEXT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
 
@@ -24,16 +29,26 @@ def _same_header(cells: Column, raw_names: Sequence[str | None]) -> Column:
     return F.transform(cells, lambda c: F.trim(F.replace(c, F.lit(BOM), F.lit("")))) == wanted
 
 
-def _behind_header(records: DataFrame, raw_names: Sequence[str | None]) -> DataFrame:
-    """Without each file's first record, which has to be the header of the first file."""
+def _parse(records: DataFrame, raw_names: Sequence[str | None]) -> DataFrame:
+    """Records with their field count and cells; without each file's first record, which has to be
+    the header of the first file. Pieces of records, if there are any, pass."""
     message = F.concat(F.lit("another header in "), F.col("file"), F.lit(": "), escape_preview("raw", 200))
     other = F.raise_error(message).cast("boolean")
     fits = _same_header(own_cells("raw"), raw_names)
+    later = F.col("record_num") > 0
+    if "piece" in records.columns:
+        later = later | F.col("piece")
+    names = clean_header(raw_names)
     # One row per file is compared; no other row gets to that branch.
-    return records.where(F.when(F.col("record_num") > 0, True).when(fits, False).otherwise(other))
+    return (
+        records.where(F.when(later, True).when(fits, False).otherwise(other))
+        .withColumn("fields", field_count("raw"))
+        .withColumn("cells", F.from_csv(F.col("raw"), ", ".join(f"`{n}` string" for n in names), CSV_TEXT))
+        .withColumn("expected", F.lit(len(names)))
+    )
 
 
-def read_parsed(spark: SparkSession, path: str, *, raw_name: str = "raw") -> DataFrame:
+def read_parsed(spark: SparkSession, path: Paths, *, raw_name: str = "raw") -> DataFrame:
     """Records with their position, field count and cells.
 
     Columns: file, record_num, start_line, end_line, ``raw_name``, unclosed, fields, and the
@@ -42,15 +57,42 @@ def read_parsed(spark: SparkSession, path: str, *, raw_name: str = "raw") -> Dat
     quote is never closed is there with its first line alone.
     """
     raw_names = read_header(spark, path)
-    names = clean_header(raw_names)
-    cells = F.from_csv(F.col("raw"), ", ".join(f"`{n}` string" for n in names), CSV_TEXT)
-    return (
-        _behind_header(read_records(spark, path), raw_names)
-        .withColumn("fields", field_count("raw"))
-        .withColumn("cells", cells)
-        .withColumn("expected", F.lit(len(names)))
-        .withColumnRenamed("raw", raw_name)
-    )
+    return _parse(read_records(spark, path), raw_names).withColumnRenamed("raw", raw_name)
+
+
+def find_parsed(
+    spark: SparkSession,
+    path: Paths,
+    keep: Column,
+    columns: Sequence[Column],
+    counts: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """``columns`` of the parsed records that meet ``keep``, and ``counts`` of all records.
+
+    The text is read once: what is found is written to a scratch folder, together with the
+    pieces of straddling records, and these are looked at when they have been put together.
+    """
+    raw_names = read_header(spark, path)
+    wanted = dict(counts or {"records": F.lit(True)})
+    folder, total = scratch_dir(spark, "findings"), dict.fromkeys(wanted, 0)
+
+    def written(records: DataFrame, part: str) -> DataFrame:
+        piece, seen = F.col("piece"), Observation()
+        parsed = _parse(records, raw_names)
+        parsed = parsed.observe(seen, *(F.count_if(~piece & c).alias(n) for n, c in wanted.items()))
+        line = F.struct("file_id", "record_num", F.col("start_line").alias("line"), F.col("raw").alias("value"))
+        found = parsed.where(piece | keep).select(
+            F.when(~piece, F.struct(*columns)).alias("found"), F.when(piece, line).alias("piece")
+        )
+        found.write.parquet(f"{folder}/{part}")
+        for name in wanted:
+            total[name] += seen.get[name]
+        return spark.read.schema(found.schema).parquet(f"{folder}/{part}")
+
+    first = written(records_and_pieces(spark, path), "inside")
+    pieces = first.where("piece IS NOT NULL").select("piece.*")
+    second = written(records_of_pieces(spark, path, pieces), "straddling")
+    return first.where("found IS NOT NULL").unionByName(second).select("found.*"), total
 
 
 def _open_quote() -> Column:
@@ -71,7 +113,7 @@ def _cells_or_stop(parsed: DataFrame, stop: Column, message: Column) -> DataFram
     return parsed.withColumn("cells", F.when(stop, F.raise_error(message).cast(kind)).otherwise(F.col("cells")))
 
 
-def read_quoted(spark: SparkSession, path: str) -> DataFrame:
+def read_quoted(spark: SparkSession, path: Paths) -> DataFrame:
     """Quoted CSV of any size, split within files: embedded commas, quotes and line breaks.
 
     Blank and quoted-empty cells are NULL; blank lines are no rows. A quote that is never
@@ -81,7 +123,7 @@ def read_quoted(spark: SparkSession, path: str) -> DataFrame:
     return _cells_or_stop(parsed, F.col("unclosed"), _open_quote()).where("fields > 0").select("cells.*")
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: Paths) -> DataFrame:
     """A written report by Spark's own multi-line reader: one task per file.
 
     Reports are one small file each; CR LF inside a cell comes back as LF.
@@ -94,7 +136,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_lines_parsed(spark: SparkSession, path: str) -> DataFrame:
+def read_lines_parsed(spark: SparkSession, path: Paths) -> DataFrame:
     """Lines split at every comma: raw, fields, expected, and the struct ``cells``.
 
     Lines are read as CSV of one column, by a separator that text does not hold, so that
@@ -119,7 +161,7 @@ def read_lines_parsed(spark: SparkSession, path: str) -> DataFrame:
     raw = F.coalesce(damaged, "line")
     parts = F.split(raw, ",", len(names))
     cells = [null_if_empty(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(names)]
-    return lines.csv(path).toDF("line", damaged).select(
+    return lines.csv(path if isinstance(path, str) else list(path)).toDF("line", damaged).select(
         raw.alias("raw"),
         F.size(F.split(raw, ",")).alias("fields"),
         F.lit(len(names)).alias("expected"),
@@ -127,7 +169,7 @@ def read_lines_parsed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_unquoted(spark: SparkSession, path: str) -> DataFrame:
+def read_unquoted(spark: SparkSession, path: Paths) -> DataFrame:
     """Plain split at every comma, one row per LF; quotes are ordinary characters.
 
     The last column takes what is left of a line with too many commas, so no text is lost;
@@ -145,31 +187,45 @@ INFERRED = (
     ("timestamp", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T]"),
     ("boolean", r"^(?i:true|false)$"),
 )
+NUMBERS = ("bigint", "decimal(38,10)", "double")
+
 
+def _kinds_of(cell: Column) -> Column:
+    """The types that take a value, one bit each; no bit for a value that only text takes.
+
+    Whole numbers of up to 18 digits are told by their form alone.
+    """
+    bits = [
+        F.when(cell.rlike(form) & cell.try_cast(kind).isNotNull(), 1 << j).otherwise(0)
+        for j, (kind, form) in enumerate(INFERRED)
+    ]
+    plain = cell.rlike(r"^[0-9]{1,18}$")
+    numbers = functools.reduce(operator.or_, (1 << j for j, (k, _) in enumerate(INFERRED) if k in NUMBERS))
+    return F.when(plain, numbers).when(cell.isNotNull(), functools.reduce(lambda a, b: a.bitwiseOR(b), bits))
 
-def read_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Column types guessed from the data, which costs a pass of its own.
+
+def read_inferred(spark: SparkSession, path: Paths) -> DataFrame:
+    """Column types guessed from the data, in the one pass that stages its text.
 
     A column is the first of bigint, decimal, double, date, timestamp and boolean that
-    takes all its values, else text; a column without values stays text. Only one row of
-    flags leaves the pass, and files are read in splits.
+    takes all its values, else text; a column without values stays text. While the cells
+    are written as text, each column's set of types that still fit is narrowed down (a
+    bitwise AND, which tasks merge in any order); the types are given when the staged
+    table is read.
     """
-    rows = read_quoted(spark, path)
-    flags = []
-    for i, name in enumerate(rows.columns):
-        cell = F.col(f"`{name}`")
-        flags.append(F.count(cell).alias(f"n{i}"))
-        for j, (kind, form) in enumerate(INFERRED):
-            flags.append(F.count_if(cell.rlike(form) & cell.try_cast(kind).isNotNull()).alias(f"n{i}_{j}"))
-    seen = rows.agg(*flags).first()
-    typed = []
+    staged = scratch_dir(spark, "inferred")
+    watched = lambda names: [F.bit_and(_kinds_of(F.col(f"`{n}`"))).alias(f"k{i}") for i, n in enumerate(names)]
+    done = write_cells(spark, path, staged, "quoted", watch=watched)
+    rows, typed = spark.read.schema(done.schema).parquet(done.good), []
     for i, name in enumerate(rows.columns):
-        fit = [k for j, (k, _) in enumerate(INFERRED) if seen[f"n{i}"] and seen[f"n{i}_{j}"] == seen[f"n{i}"]]
-        typed.append(F.col(f"`{name}`").cast(fit[0] if fit else "string").alias(name))
+        seen = [s[f"k{i}"] for s in done.watched if s[f"k{i}"] is not None]
+        fit = functools.reduce(operator.and_, seen) if seen else 0
+        kinds = [k for j, (k, _) in enumerate(INFERRED) if fit >> j & 1]
+        typed.append(F.col(f"`{name}`").cast(kinds[0] if kinds else "string").alias(name))
     return rows.select(*typed)
 
 
-def _parsed(spark: SparkSession, path: str, quoted: bool) -> DataFrame:
+def _parsed(spark: SparkSession, path: Paths, quoted: bool) -> DataFrame:
     if quoted:
         return read_parsed(spark, path).where("fields > 0 OR unclosed")
     return read_lines_parsed(spark, path).where("fields > 0").withColumn("unclosed", F.lit(False))
@@ -178,60 +234,172 @@ def _parsed(spark: SparkSession, path: str, quoted: bool) -> DataFrame:
 GOOD = "fields = expected AND NOT unclosed"
 
 
-def split_rejects(spark: SparkSession, path: str, *, quoted: bool = True) -> tuple[DataFrame, DataFrame]:
+def split_rejects(spark: SparkSession, path: Paths, *, quoted: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected records): a reject has another number of fields than the header,
     or a quote that is never closed."""
     parsed = _parsed(spark, path, quoted)
     return parsed.where(GOOD).select("cells.*"), parsed.where(f"NOT ({GOOD})").drop("cells")
 
 
-def reject_summary(spark: SparkSession, path: str, cap: int, *, quoted: bool = True) -> DataFrame:
+def reject_summary(spark: SparkSession, path: Paths, cap: int, *, quoted: bool = True) -> DataFrame:
     """One row: loaded and rejected records, files with an open quote, the cap, and whether
     the load is accepted. An open quote hides the rest of its file, so it is never accepted."""
     good = F.expr(GOOD)
-    return (
-        _parsed(spark, path, quoted)
-        .agg(
-            F.count_if(good).alias("loaded"),
-            F.count_if(~good).alias("rejected"),
-            F.count_if("unclosed").alias("open_quotes"),
-        )
-        .withColumn("cap", F.lit(cap).cast("bigint"))
-        .withColumn("accepted", (F.col("rejected") <= F.col("cap")) & (F.col("open_quotes") == 0))
+    there = F.expr("fields > 0 OR unclosed")
+    wanted = {"loaded": good & there, "rejected": ~good & there, "open_quotes": F.col("unclosed")}
+    if quoted:
+        _, found = find_parsed(spark, path, F.lit(False), [F.lit(None).cast("int").alias("none")], wanted)
+        row = spark.createDataFrame([tuple(found[n] for n in wanted)], ", ".join(f"{n} bigint" for n in wanted))
+    else:
+        row = _parsed(spark, path, quoted).agg(*(F.count_if(c).alias(n) for n, c in wanted.items()))
+    return row.withColumn("cap", F.lit(cap).cast("bigint")).withColumn(
+        "accepted", (F.col("rejected") <= F.col("cap")) & (F.col("open_quotes") == 0)
     )
 
 
-def _check_rejects(path: str, rejected: int, open_quotes: int, cap: int) -> None:
+def _check_rejects(path: Paths, rejected: int, open_quotes: int, cap: int) -> None:
     if open_quotes:
         raise RejectedRows(f"a quote is left open in {open_quotes} file(s) of {path}")
     if rejected > cap:
         raise RejectedRows(f"more than {cap} malformed records in {path}: {rejected}")
 
 
-def read_tolerant(spark: SparkSession, path: str, cap: int, *, quoted: bool = True) -> DataFrame:
+def read_tolerant(spark: SparkSession, path: Paths, cap: int, *, quoted: bool = True) -> DataFrame:
     """Rows of the right shape; fails when more than ``cap`` records are malformed.
 
-    Counting them takes a pass of its own; :func:`load_tolerant` keeps them as well.
+    The rows are staged while they are counted; :func:`load_tolerant` keeps the rejects as well.
     """
-    found = reject_summary(spark, path, cap, quoted=quoted).first()
-    _check_rejects(path, found.rejected, found.open_quotes, cap)
-    return split_rejects(spark, path, quoted=quoted)[0]
+    return load_tolerant(spark, path, cap, scratch_dir(spark, "rejects"), quoted=quoted)[0]
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a load wrote: folder and columns of its good rows, its rejects if there may be any, the
+    counts of both, of open quotes, and what was watched."""
+
+    good: str
+    schema: StructType
+    rejects: DataFrame
+    loaded: int
+    rejected: int
+    open_quotes: int
+    watched: list[dict]
+
+
+# What a load does with its records: which ones it stops at, and which it leaves out.
+POLICIES = ("tolerant", "quoted", "strict")
+
+
+def _judged(parsed: DataFrame, policy: str) -> DataFrame:
+    """Parsed records with ``good``; a policy that stops at a record does so when its cells are read."""
+    if policy == "tolerant":
+        return parsed.where("piece OR fields > 0 OR unclosed").withColumn("good", ~F.col("piece") & F.expr(GOOD))
+    if policy == "quoted":
+        parsed = _cells_or_stop(parsed, ~F.col("piece") & F.col("unclosed"), _open_quote()).where("piece OR fields > 0 OR unclosed")
+    else:
+        parsed = _cells_or_stop(parsed, ~F.col("piece") & F.col("unclosed"), _open_quote())
+        parsed = _cells_or_stop(parsed, ~F.col("piece") & (F.col("fields") != F.col("expected")), _malformed())
+    return parsed.withColumn("good", ~F.col("piece"))
+
+
+def write_cells(
+    spark: SparkSession,
+    path: Paths,
+    staging: str,
+    policy: str,
+    *,
+    quoted: bool = True,
+    watch: Callable[[list[str]], list[Column]] | None = None,
+) -> Written:
+    """Reads the text once and writes good rows, rejects and pieces of records side by side.
+
+    A partition column of the folder ``staging`` tells them apart, so all are text columns
+    alike: a reject or a piece is kept as JSON in the first one. The pieces, a few lines at each
+    split's end, are then read again, put together, and added where they belong. Rows are counted
+    by the writes themselves; ``watch`` names further aggregates over the good rows.
+    """
+    header = read_header(spark, path, quoted=quoted)
+    names = clean_header(header)
+    verdict = "verdict"
+    while verdict in {n.lower() for n in names}:
+        verdict += "_"
+    found, watched, about = {"good": 0, "bad": 0, "open": 0, "pieces": 0}, [], []
+
+    def write(parsed: DataFrame) -> None:
+        piece, good = F.col("piece"), F.col("good")
+        about[:] = [f for f in parsed.schema if f.name not in ("cells", "good", "piece", "file_id")]
+        line = F.lit(None).cast("string")
+        if quoted:
+            line = F.to_json(F.struct("file_id", "record_num", F.col("start_line").alias("line"), F.col("raw").alias("value")))
+        reject = F.to_json(F.struct(*(F.col(f.name) for f in about)))
+        cells = [F.when(good, null_if_empty(F.col(f"cells.`{n}`"))).alias(n) for n in names]
+        laid = parsed.select(
+            *cells,
+            F.when(piece, "piece").when(good, "good").otherwise("rejected").alias(verdict),
+            F.when(piece, line).when(~good, reject).alias("other "),
+            F.col("unclosed").alias("unclosed "),
+        )
+        counts, also = Observation(), Observation()
+        which = F.col(verdict)
+        laid = laid.observe(
+            counts,
+            F.count_if(which == "good").alias("good"),
+            F.count_if(which == "rejected").alias("bad"),
+            F.count_if((which != "piece") & F.col("unclosed ")).alias("open"),
+            F.count_if(which == "piece").alias("pieces"),
+        )
+        if watch:
+            laid = laid.observe(also, *watch(names))
+        first = F.coalesce(F.col("other "), F.col(f"`{names[0]}`")).alias(names[0])
+        laid.select(first, *(f"`{n}`" for n in names[1:]), verdict).write.mode("append").option(
+            "maxRecordsPerFile", ROWS_PER_FILE
+        ).partitionBy(verdict).parquet(staging)
+        for name, n in counts.get.items():
+            found[name] += n
+        if watch:
+            watched.append(also.get)
+
+    text = StructType([StructField(n, StringType()) for n in names])
+
+    def told(what: str, schema: StructType | str) -> DataFrame:
+        rows = spark.read.schema(text).parquet(f"{staging}/{verdict}={what}")
+        return rows.select(F.from_json(F.col(f"`{names[0]}`"), schema).alias("r")).select("r.*")
+
+    if quoted:
+        write(_judged(_parse(records_and_pieces(spark, path), header), policy))
+        if found["pieces"]:
+            pieces = told("piece", "file_id bigint, record_num bigint, line bigint, value string")
+            write(_judged(_parse(records_of_pieces(spark, path, pieces), header), policy))
+    else:
+        parsed = _parsed(spark, path, quoted).withColumns({"piece": F.lit(False), "good": F.expr(GOOD)})
+        write(parsed)
+    folder, schema = f"{staging}/{verdict}=good", StructType(about)
+    if not found["good"]:
+        spark.createDataFrame([], text).write.parquet(folder)
+    rejects = told("rejected", schema) if found["bad"] else spark.createDataFrame([], schema)
+    return Written(folder, text, rejects, found["good"], found["bad"], found["open"], watched)
+
+
+def write_split(
+    spark: SparkSession, path: Paths, cap: int, rejects_path: str, staging: str, *, quoted: bool = True
+) -> Written:
+    """A tolerant load: the rejects are stored below ``rejects_path``, then the cap is judged.
+
+    They stay when the load is refused, so that they can be looked at; the good rows are then
+    left where no table is.
+    """
+    done = write_cells(spark, path, staging, "tolerant", quoted=quoted)
+    done.rejects.write.mode("overwrite").parquet(rejects_path)
+    _check_rejects(path, done.rejected, done.open_quotes, cap)
+    return replace(done, rejects=spark.read.schema(done.rejects.schema).parquet(rejects_path))
 
 
 def load_tolerant(
-    spark: SparkSession, path: str, cap: int, rejects_path: str, *, quoted: bool = True
+    spark: SparkSession, path: Paths, cap: int, rejects_path: str, *, quoted: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejects as stored below ``rejects_path``); fails like :func:`read_tolerant`.
-
-    The rejects are written first and stay there when the load is refused, so that they
-    can be looked at; what is counted against the cap is what was written.
-    """
-    good, rejected = split_rejects(spark, path, quoted=quoted)
-    rejected.write.mode("overwrite").parquet(rejects_path)
-    stored = spark.read.schema(rejected.schema).parquet(rejects_path)
-    found = stored.agg(F.count("*").alias("n"), F.count_if("unclosed").alias("open")).first()
-    _check_rejects(path, found.n, found.open, cap)
-    return good, stored
+    """(good rows, rejects as stored below ``rejects_path``); fails like :func:`read_tolerant`."""
+    done = write_split(spark, path, cap, rejects_path, scratch_dir(spark, "tolerant"), quoted=quoted)
+    return spark.read.parquet(done.good), done.rejects
 
 
 def preview(raw: str, fields: int, chars: int) -> Column:
@@ -244,14 +412,19 @@ def preview(raw: str, fields: int, chars: int) -> Column:
 PREVIEW_FIELDS, PREVIEW_CHARS = 8, 80
 
 
-def read_strict(spark: SparkSession, path: str) -> DataFrame:
+def read_strict(spark: SparkSession, path: Paths) -> DataFrame:
     """All rows; a query that reads or writes any of the columns fails at a malformed record.
 
     The check is part of the same pass, and the message says where the record is and
     what it looks like. The structure report lists all of them.
     """
-    parsed = read_parsed(spark, path)
-    message = F.concat(
+    checked = _cells_or_stop(read_parsed(spark, path), F.col("unclosed"), _open_quote())
+    checked = _cells_or_stop(checked, F.col("fields") != F.col("expected"), _malformed())
+    return checked.select("cells.*")
+
+
+def _malformed() -> Column:
+    return F.concat(
         F.lit("malformed record "),
         F.col("record_num").cast("string"),
         F.lit(", lines "),
@@ -267,9 +440,6 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
         F.lit(": "),
         preview("raw", PREVIEW_FIELDS, PREVIEW_CHARS),
     )
-    checked = _cells_or_stop(parsed, F.col("unclosed"), _open_quote())
-    checked = _cells_or_stop(checked, F.col("fields") != F.col("expected"), message)
-    return checked.select("cells.*")
 
 
 def empty_to_null(df: DataFrame) -> DataFrame:

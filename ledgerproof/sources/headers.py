@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -39,11 +39,11 @@ def clean_header(raw_names: Iterable[str | None]) -> list[str]:
     return names
 
 
-def read_header(spark: SparkSession, path: str, *, quoted: bool = True) -> list[str | None]:
+def read_header(spark: SparkSession, path: str | Sequence[str], *, quoted: bool = True) -> list[str | None]:
     """The raw header cells. Only the first record of the first file is read."""
     reader = spark.read.option("header", False).option("multiLine", quoted)
     reader = reader.option("quote", '"' if quoted else "").option("escape", '"')
-    row = reader.csv(path).first()
+    row = reader.csv(path if isinstance(path, str) else path[0]).first()
     if row is None:
         raise ValueError(f"no header in {path}")
     return list(row)

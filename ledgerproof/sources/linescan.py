@@ -14,6 +14,9 @@ import pyarrow.compute as pc
 
 Batches = Iterator[pa.RecordBatch]
 
+# What is counted of a split.
+COUNTED = "file_id split_start first_pos lines quotes evens last_even first_odd last_odd crlf_lines".split()
+
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """The batch cut where the file or the split changes, each piece with its split."""
@@ -45,9 +48,9 @@ def count_splits(batches: Batches) -> Iterator[pa.RecordBatch]:
     ``first_pos`` and ``lines``; ``quotes``; ``evens``: lines that start a record if none is
     open at the split's start (the others do if one is); ``last_even`` and ``last_odd``: the
     last of either kind; ``first_odd``: the first of the other kind, counted from 0, or the
-    number of lines.
+    number of lines; ``crlf_lines``: lines that end with CR LF.
     """
-    names = "file_id split_start first_pos lines quotes evens last_even first_odd last_odd".split()
+    names = COUNTED
     split, row, last_pos = None, None, -1
 
     def done():
@@ -60,7 +63,7 @@ def count_splits(batches: Batches) -> Iterator[pa.RecordBatch]:
                 if row:
                     yield done()
                 split, last_pos = here, -1
-                row = dict(zip(names, [*here, run.column("pos")[0].as_py(), 0, 0, 0, -1, None, -1]))
+                row = dict(zip(names, [*here, run.column("pos")[0].as_py(), 0, 0, 0, -1, None, -1, 0]))
             last_pos = _in_order(run, last_pos)
             before, _ = _parity_before(run, row["quotes"] & 1)
             evens, odds = np.flatnonzero(before == 0), np.flatnonzero(before == 1)
@@ -73,6 +76,7 @@ def count_splits(batches: Batches) -> Iterator[pa.RecordBatch]:
             row["evens"] += len(evens)
             row["lines"] += run.num_rows
             row["quotes"] += pc.sum(run.column("quotes")).as_py()
+            row["crlf_lines"] += pc.sum(run.column("crlf")).as_py()
     if row:
         yield done()
 
@@ -150,3 +154,37 @@ def join_records(batches: Batches) -> Iterator[pa.RecordBatch]:
                     first = line + 1 + int(starts[-1])
                 record += whole
             line, parity = line + run.num_rows, after
+
+
+def split_records(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """The records of :func:`join_records`, and the lines of records that straddle a split's end.
+
+    Lines with a ``piece_num`` are passed on one by one, with ``piece`` set, their record's number
+    and their line's as start and end.
+    """
+    pieces: list[pa.RecordBatch] = []
+
+    def inner() -> Batches:
+        for batch in batches:
+            apart = pc.is_valid(batch.column("piece_num"))
+            if pc.any(apart).as_py():
+                pieces.append(batch.filter(apart))
+                batch = batch.filter(pc.invert(apart))
+            if batch.num_rows:
+                yield batch
+
+    def flagged(rows: pa.RecordBatch, piece: bool) -> pa.RecordBatch:
+        flag = pa.repeat(pa.scalar(piece), rows.num_rows)
+        return pa.RecordBatch.from_arrays([*rows.columns, flag], [*rows.schema.names, "piece"])
+
+    def waiting() -> Iterator[pa.RecordBatch]:
+        while pieces:
+            p = pieces.pop(0)
+            line = pc.add(pc.add(p.column("line_offset"), p.column("at")), 1)
+            columns = [p.column("file_id"), p.column("piece_num"), line, line, p.column("value")]
+            yield flagged(pa.RecordBatch.from_arrays(columns, ["file_id", "record_num", "start_line", "end_line", "raw"]), True)
+
+    for records in join_records(inner()):
+        yield flagged(records, False)
+        yield from waiting()
+    yield from waiting()

@@ -9,22 +9,18 @@ from ..functions import escape_preview, has_line_break
 from ..operators.perkey import distinct_keys
 from ..operators.skew import spread_join
 from ..operators.summaries import first_rows
-from .csvfiles import PREVIEW_CHARS, PREVIEW_FIELDS, preview, read_parsed
+from ..session import scratch_dir
+from .csvfiles import PREVIEW_CHARS, PREVIEW_FIELDS, find_parsed, preview, read_parsed
 from .headers import clean_header, read_header
-from .records import file_names, file_totals, numbered_lines, own_cells, raw_lines, read_records
+from .records import Paths, file_totals, numbered_lines, own_cells, read_records
 
 
-def physical_lines(spark: SparkSession, path: str) -> DataFrame:
+def physical_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Per file: physical lines without the header line. A last line without end counts."""
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg((F.count("*") - 1).alias("data_lines"))
-    )
+    return file_totals(spark, path).select("file", (F.col("lines") - 1).alias("data_lines"))
 
 
-def line_vs_record_count(spark: SparkSession, path: str, loaded: DataFrame) -> DataFrame:
+def line_vs_record_count(spark: SparkSession, path: Paths, loaded: DataFrame) -> DataFrame:
     """One row: data lines of the files, rows loaded, difference and verdict.
 
     Line breaks inside fields make the line count larger than the row count; the
@@ -43,7 +39,7 @@ def line_vs_record_count(spark: SparkSession, path: str, loaded: DataFrame) -> D
     )
 
 
-def record_shape(spark: SparkSession, path: str) -> DataFrame:
+def record_shape(spark: SparkSession, path: Paths) -> DataFrame:
     """One row: logical records without the header, and columns in the header."""
     columns = len(read_header(spark, path))
     return file_totals(spark, path).agg(
@@ -58,7 +54,7 @@ FIRST_CELLS, BREAK_CHARS = 5, 120
 
 def multiline_records(
     spark: SparkSession,
-    path: str,
+    path: Paths,
     key: str | None = None,
     preview_chars: int = BREAK_CHARS,
     first: int | None = None,
@@ -78,10 +74,11 @@ def multiline_records(
     cells = F.array_join(F.slice("own", 1, FIRST_CELLS), " | ")
     named = F.filter("broken", lambda b: b["i"] < len(names))
     key_cell = F.get("own", F.lit(names.index(key))) if key in names else F.lit("")
+    several = (F.col("end_line") > F.col("start_line")) | has_line_break("raw")
+    place = ["file", "record_num", "start_line", "end_line"]
+    records, _ = find_parsed(spark, path, several, [F.col(c) for c in (*place, "raw")])
     found = (
-        read_parsed(spark, path)
-        .where((F.col("end_line") > F.col("start_line")) | has_line_break("raw"))
-        .withColumn("own", own_cells("raw"))
+        records.withColumn("own", own_cells("raw"))
         .withColumn("broken", F.filter(broken, lambda b: has_line_break(b["cell"])))
         .select(
             "file",
@@ -100,7 +97,7 @@ def multiline_records(
     return found if first is None else first_rows(found, first, ["file", "record_num"])
 
 
-def multiline_totals(spark: SparkSession, path: str) -> DataFrame:
+def multiline_totals(spark: SparkSession, path: Paths) -> DataFrame:
     """One row: records scanned, multi-line records and the sum of their extra lines.
 
     Only flags of the lines are looked at; no record is put together for this.
@@ -115,7 +112,7 @@ def multiline_totals(spark: SparkSession, path: str) -> DataFrame:
 
 def bad_structure(
     spark: SparkSession,
-    path: str,
+    path: Paths,
     preview_fields: int = PREVIEW_FIELDS,
     preview_chars: int = PREVIEW_CHARS,
     first: int | None = None,
@@ -123,29 +120,25 @@ def bad_structure(
     """Records whose field count differs from the header's, blank lines included, and
     records whose quote is never closed, shown by their first line. ``first`` stops after
     so many findings, in the order of the files."""
-    found = read_parsed(spark, path).where("fields <> expected OR unclosed").select(
-        "file",
-        "record_num",
-        "start_line",
-        "end_line",
+    columns = [
+        *(F.col(c) for c in ("file", "record_num", "start_line", "end_line")),
         F.col("fields").alias("actual_fields"),
         F.col("expected").alias("expected_fields"),
-        "unclosed",
+        F.col("unclosed"),
         preview("raw", preview_fields, preview_chars).alias("preview"),
-    )
+    ]
+    found, _ = find_parsed(spark, path, F.expr("fields <> expected OR unclosed"), columns)
     return found if first is None else first_rows(found, first, ["file", "record_num"])
 
 
-def quote_balance(spark: SparkSession, path: str) -> DataFrame:
+def quote_balance(spark: SparkSession, path: Paths) -> DataFrame:
     """Per file: lines, records, quotes, and the record that an open quote never lets end."""
-    quotes = raw_lines(spark, path).groupBy("file_id").agg(F.sum("quotes").alias("quotes"))
-    names = file_names(spark, path).join(quotes, "file_id").drop("file_id")
-    return names.join(file_totals(spark, path), "file").select(
+    return file_totals(spark, path).select(
         "file", "lines", "records", "quotes", F.col("unclosed").alias("open_record")
     )
 
 
-def record_positions(spark: SparkSession, path: str) -> DataFrame:
+def record_positions(spark: SparkSession, path: Paths) -> DataFrame:
     """Per file: records, header included, their lines, and faults in their positions.
 
     Where one record ends the next one has to begin, with the next number. Each end and each
@@ -170,25 +163,43 @@ def record_positions(spark: SparkSession, path: str) -> DataFrame:
     return totals.join(loose, "file")
 
 
-def terminator_profile(spark: SparkSession, path: str) -> DataFrame:
+def terminator_profile(spark: SparkSession, path: Paths) -> DataFrame:
     """Per file: lines ended by CR LF and by LF alone, and which of them prevails."""
-    crlf = F.endswith(F.col("value"), F.lit("\r"))
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count_if(crlf).alias("crlf_lines"), F.count_if(~crlf).alias("lf_lines"))
-        .withColumn("terminator", F.when(F.col("crlf_lines") >= F.col("lf_lines"), "CRLF").otherwise("LF"))
+    return file_totals(spark, path).select(
+        "file",
+        "crlf_lines",
+        (F.col("lines") - F.col("crlf_lines")).alias("lf_lines"),
+        F.when(2 * F.col("crlf_lines") >= F.col("lines"), "CRLF").otherwise("LF").alias("terminator"),
     )
 
 
 def missing_rows(
     source: DataFrame, source_key: str, target: DataFrame, target_key: str
 ) -> DataFrame:
-    """Source rows whose key the target lacks; blank keys are skipped, duplicates are kept."""
+    """Source rows whose key the target lacks; blank keys are skipped, duplicates are kept.
+
+    Only keys are compared. The missing ones are written, so that their size is known when
+    the rows are fetched: if it is small, they go to the rows and no row is moved.
+    """
     keyed = source.withColumn("lookup_key", F.trim(source_key)).where("lookup_key <> ''")
+    lost = distinct_keys(keyed, "lookup_key", "lost_key").join(
+        distinct_keys(target, target_key, "target_key"), F.col("lost_key") == F.col("target_key"), "left_anti"
+    )
+    stored = _stored(lost, "missing_keys")
+    return spread_join(keyed, stored, "lookup_key", "lost_key", "left_semi").drop("lookup_key")
+
+
+def missing_positions(
+    spark: SparkSession, path: Paths, key: str, target: DataFrame, target_key: str
+) -> DataFrame:
+    """(lost_file, lost_record) of the records of a CSV file whose key the target lacks."""
+    keys = read_parsed(spark, path).select(
+        F.trim(F.col(f"cells.`{key}`")).alias("lookup_key"),
+        F.xxhash64("file").alias("lost_file"),
+        F.col("record_num").alias("lost_record"),
+    )
     return spread_join(
-        keyed,
+        keys.where("lookup_key <> ''"),
         distinct_keys(target, target_key, "target_key"),
         "lookup_key",
         "target_key",
@@ -197,10 +208,21 @@ def missing_rows(
 
 
 def missing_records(
-    spark: SparkSession, path: str, key: str, target: DataFrame, target_key: str
+    spark: SparkSession, path: Paths, key: str, target: DataFrame, target_key: str
 ) -> DataFrame:
-    """Missing rows of a CSV file with their record number, the header being number 1."""
-    source = read_parsed(spark, path).select(
+    """Missing rows of a CSV file with their record number, the header being number 1.
+
+    Keys and places are compared first; the records at these places are then fetched.
+    """
+    lost = _stored(missing_positions(spark, path, key, target, target_key), "missing_records")
+    here = (F.xxhash64("file") == F.col("lost_file")) & (F.col("record_num") == F.col("lost_record"))
+    return read_parsed(spark, path).join(lost, here, "left_semi").select(
         (F.col("record_num") + 1).alias("source_line_num"), "cells.*"
     )
-    return missing_rows(source, key, target, target_key)
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as written to a scratch folder, where Spark knows its size."""
+    folder = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

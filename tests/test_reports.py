@@ -228,7 +228,9 @@ def shuffles(df) -> list[str]:
 
 @pytest.mark.parametrize("first", [True, False])
 def test_differences_shuffle_each_side_twice(case, spark, first):
-    """By all keys behind the map-side aggregate, then by the ledger key for all that follows."""
+    """Both sides together: behind the map-side aggregate, by key and amount, totals by key and
+    method, and these by key; then the methods. Summing bank rows first costs one of its own.
+    Dealing rows out by the key alone would take one less, and put a hot key into one task."""
     frames, _ = case
     saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -239,4 +241,4 @@ def test_differences_shuffle_each_side_twice(case, spark, first):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
-    assert len([x for x in found if x == "hashpartitioning"]) <= 5, found
+    assert len([x for x in found if x == "hashpartitioning"]) <= (6 if first else 5), found
