@@ -38,7 +38,7 @@ from ledgerproof.llm.common import settle, slices
 LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
-SLICE = 1 << 24
+SLICE = 1 << 23
 ROWS = 1 << 17
 PAIRS = 1 << 20
 # What a byte of a text becomes: A-Z lower-cased, bytes of no term blank.
