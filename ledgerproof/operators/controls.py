@@ -78,11 +78,10 @@ def tie_out(
         .agg(F.sum("amount").cast(TOTAL).alias("amount"))
         .drop("g")
     )
-    ledgers = {"payout": _per_key(p), "bank": _per_key(b)}
-    parts = []
+    ledgers, parts = _per_key({"payout": p, "bank": b}), []
     for side, other in (("payout", "bank"), ("bank", "payout")):
-        whole, keys = (ledgers[side].where(F.col("whole") == w).drop("whole") for w in (1, 0))
-        others = ledgers[other].where("whole = 0 AND k IS NOT NULL").select(F.col("k").alias("other"))
+        whole, keys = (ledgers.where(f"of = '{side}' AND whole = {w}").drop("whole", "of") for w in (1, 0))
+        others = ledgers.where(f"of = '{other}' AND whole = 0 AND k IS NOT NULL").select(F.col("k").alias("other"))
         figures = {
             "total": _sums(whole),
             "matched": _sums(match(keys, "k", others, "other")),
@@ -113,19 +112,24 @@ def tie_out(
     )
 
 
-def _per_key(rows: DataFrame) -> DataFrame:
-    """k, whole, rows, usd, print: one row per key, and one of the whole ledger (whole = 1), as written."""
-    spark = rows.sparkSession
+def _per_key(sides: dict[str, DataFrame]) -> DataFrame:
+    """of, k, whole, rows, usd, print: one row per side and key, and one of each whole side (whole = 1),
+    as written."""
+    totals = []
+    for side, rows in sides.items():
+        hashed = rows.withColumn("print", F.xxhash64("k", "amount").cast("decimal(20,0)"))
+        per_key = hashed.rollup("k").agg(
+            F.grouping("k").cast("int").alias("whole"),
+            F.count("*").alias("rows"),
+            F.sum("amount").cast(TOTAL).alias("usd"),
+            F.sum("print").cast("decimal(38,0)").alias("print"),
+        )
+        totals.append(per_key.withColumn("of", F.lit(side)))
+    every = functools.reduce(DataFrame.unionByName, totals)
+    spark = every.sparkSession
     folder = scratch_dir(spark, "tie_out")
-    hashed = rows.withColumn("print", F.xxhash64("k", "amount").cast("decimal(20,0)"))
-    totals = hashed.rollup("k").agg(
-        F.grouping("k").cast("int").alias("whole"),
-        F.count("*").alias("rows"),
-        F.sum("amount").cast(TOTAL).alias("usd"),
-        F.sum("print").cast("decimal(38,0)").alias("print"),
-    )
-    totals.write.parquet(folder)
-    return spark.read.schema(totals.schema).parquet(folder)
+    every.write.parquet(folder)
+    return spark.read.schema(every.schema).parquet(folder)
 
 
 def _sums(per_key: DataFrame, rows: Column | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import operator
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -76,10 +75,12 @@ def find_parsed(
     wanted = dict(counts or {"records": F.lit(True)})
     folder, total = scratch_dir(spark, "findings"), dict.fromkeys(wanted, 0)
 
-    def written(records: DataFrame, part: str) -> DataFrame:
+    def written(records: DataFrame, part: str) -> tuple[DataFrame, int]:
+        """What was found and the pieces, as written, and how many pieces."""
         piece, seen = F.col("piece"), Observation()
-        parsed = _parse(records, raw_names)
-        parsed = parsed.observe(seen, *(F.count_if(~piece & c).alias(n) for n, c in wanted.items()))
+        parsed = _parse(records, raw_names).observe(
+            seen, *(F.count_if(~piece & c).alias(n) for n, c in wanted.items()), F.count_if(piece).alias("all pieces")
+        )
         line = F.struct("file_id", "record_num", F.col("start_line").alias("line"), F.col("raw").alias("value"))
         found = parsed.where(piece | keep).select(
             F.when(~piece, F.struct(*columns)).alias("found"), F.when(piece, line).alias("piece")
@@ -87,12 +88,13 @@ def find_parsed(
         found.write.parquet(f"{folder}/{part}")
         for name in wanted:
             total[name] += seen.get[name]
-        return spark.read.schema(found.schema).parquet(f"{folder}/{part}")
+        return spark.read.schema(found.schema).parquet(f"{folder}/{part}"), seen.get["all pieces"]
 
-    first = written(records_and_pieces(spark, path), "inside")
-    pieces = first.where("piece IS NOT NULL").select("piece.*")
-    second = written(records_of_pieces(spark, path, pieces), "straddling")
-    return first.where("found IS NOT NULL").unionByName(second).select("found.*"), total
+    every, pieces = written(records_and_pieces(spark, path), "inside")
+    if pieces:
+        lines = every.where("piece IS NOT NULL").select("piece.*")
+        every = every.unionByName(written(records_of_pieces(spark, path, lines), "straddling")[0])
+    return every.where("found IS NOT NULL").select("found.*"), total
 
 
 def _open_quote() -> Column:
@@ -193,15 +195,20 @@ NUMBERS = ("bigint", "decimal(38,10)", "double")
 def _kinds_of(cell: Column) -> Column:
     """The types that take a value, one bit each; no bit for a value that only text takes.
 
-    Whole numbers of up to 18 digits are told by their form alone.
+    Common forms are told by a look: short whole and decimal numbers are what they seem, and what
+    begins like no number or day can only be a truth value.
     """
-    bits = [
-        F.when(cell.rlike(form) & cell.try_cast(kind).isNotNull(), 1 << j).otherwise(0)
-        for j, (kind, form) in enumerate(INFERRED)
+    bit = {kind: 1 << j for j, (kind, _) in enumerate(INFERRED)}
+    every = [
+        F.when(cell.rlike(form) & cell.try_cast(kind).isNotNull(), bit[kind]).otherwise(0) for kind, form in INFERRED
     ]
-    plain = cell.rlike(r"^[0-9]{1,18}$")
-    numbers = functools.reduce(operator.or_, (1 << j for j, (k, _) in enumerate(INFERRED) if k in NUMBERS))
-    return F.when(plain, numbers).when(cell.isNotNull(), functools.reduce(lambda a, b: a.bitwiseOR(b), bits))
+    truth = F.lower(cell).isin("true", "false")
+    return (
+        F.when(cell.rlike(r"^[0-9]{1,18}$"), sum(bit[k] for k in NUMBERS))
+        .when(cell.rlike(r"^[0-9]{1,15}[.][0-9]{1,10}$"), sum(bit[k] for k in NUMBERS[1:]))
+        .when(~cell.rlike(r"^[-+.0-9]"), F.when(truth, bit["boolean"]).otherwise(0))
+        .when(cell.isNotNull(), functools.reduce(lambda a, b: a.bitwiseOR(b), every))
+    )
 
 
 def read_inferred(spark: SparkSession, path: Paths) -> DataFrame:
@@ -214,12 +221,9 @@ def read_inferred(spark: SparkSession, path: Paths) -> DataFrame:
     table is read.
     """
     staged = scratch_dir(spark, "inferred")
-    watched = lambda names: [F.bit_and(_kinds_of(F.col(f"`{n}`"))).alias(f"k{i}") for i, n in enumerate(names)]
-    done = write_cells(spark, path, staged, "quoted", watch=watched)
+    done = write_cells(spark, path, staged, "quoted", bits=_kinds_of)
     rows, typed = spark.read.schema(done.schema).parquet(done.good), []
-    for i, name in enumerate(rows.columns):
-        seen = [s[f"k{i}"] for s in done.watched if s[f"k{i}"] is not None]
-        fit = functools.reduce(operator.and_, seen) if seen else 0
+    for name, fit in zip(rows.columns, done.bits, strict=True):
         kinds = [k for j, (k, _) in enumerate(INFERRED) if fit >> j & 1]
         typed.append(F.col(f"`{name}`").cast(kinds[0] if kinds else "string").alias(name))
     return rows.select(*typed)
@@ -275,7 +279,7 @@ def read_tolerant(spark: SparkSession, path: Paths, cap: int, *, quoted: bool =
 @dataclass(frozen=True)
 class Written:
     """What a load wrote: folder and columns of its good rows, its rejects if there may be any, the
-    counts of both, of open quotes, and what was watched."""
+    counts of both and of open quotes, and the bits that all cells of a column share."""
 
     good: str
     schema: StructType
@@ -283,7 +287,7 @@ class Written:
     loaded: int
     rejected: int
     open_quotes: int
-    watched: list[dict]
+    bits: list[int]
 
 
 # What a load does with its records: which ones it stops at, and which it leaves out.
@@ -309,21 +313,22 @@ def write_cells(
     policy: str,
     *,
     quoted: bool = True,
-    watch: Callable[[list[str]], list[Column]] | None = None,
+    bits: Callable[[Column], Column] | None = None,
 ) -> Written:
     """Reads the text once and writes good rows, rejects and pieces of records side by side.
 
     A partition column of the folder ``staging`` tells them apart, so all are text columns
     alike: a reject or a piece is kept as JSON in the first one. The pieces, a few lines at each
     split's end, are then read again, put together, and added where they belong. Rows are counted
-    by the writes themselves; ``watch`` names further aggregates over the good rows.
+    by the writes themselves, and ``bits`` of the cells are narrowed down to what a column's have in common.
     """
     header = read_header(spark, path, quoted=quoted)
     names = clean_header(header)
     verdict = "verdict"
     while verdict in {n.lower() for n in names}:
         verdict += "_"
-    found, watched, about = {"good": 0, "bad": 0, "open": 0, "pieces": 0}, [], []
+    found, about = {"good": 0, "bad": 0, "open": 0, "pieces": 0}, []
+    shared: list[int | None] = [None] * len(names)
 
     def write(parsed: DataFrame) -> None:
         piece, good = F.col("piece"), F.col("good")
@@ -339,7 +344,10 @@ def write_cells(
             F.when(piece, line).when(~good, reject).alias("other "),
             F.col("unclosed").alias("unclosed "),
         )
-        counts, also = Observation(), Observation()
+        # Metrics are not compiled, so what they take is a column already.
+        marks = [f"bits {i} " for i in range(len(names) if bits else 0)]
+        laid = laid.withColumns({m: bits(F.col(f"`{n}`")) for m, n in zip(marks, names)})
+        counts = Observation()
         which = F.col(verdict)
         laid = laid.observe(
             counts,
@@ -347,17 +355,18 @@ def write_cells(
             F.count_if(which == "rejected").alias("bad"),
             F.count_if((which != "piece") & F.col("unclosed ")).alias("open"),
             F.count_if(which == "piece").alias("pieces"),
+            *(F.bit_and(m).alias(m) for m in marks),
         )
-        if watch:
-            laid = laid.observe(also, *watch(names))
         first = F.coalesce(F.col("other "), F.col(f"`{names[0]}`")).alias(names[0])
         laid.select(first, *(f"`{n}`" for n in names[1:]), verdict).write.mode("append").option(
             "maxRecordsPerFile", ROWS_PER_FILE
         ).partitionBy(verdict).parquet(staging)
-        for name, n in counts.get.items():
-            found[name] += n
-        if watch:
-            watched.append(also.get)
+        seen = counts.get
+        for name in found:
+            found[name] += seen[name]
+        for i, mark in enumerate(marks):
+            if seen[mark] is not None:
+                shared[i] = seen[mark] if shared[i] is None else shared[i] & seen[mark]
 
     text = StructType([StructField(n, StringType()) for n in names])
 
@@ -377,7 +386,7 @@ def write_cells(
     if not found["good"]:
         spark.createDataFrame([], text).write.parquet(folder)
     rejects = told("rejected", schema) if found["bad"] else spark.createDataFrame([], schema)
-    return Written(folder, text, rejects, found["good"], found["bad"], found["open"], watched)
+    return Written(folder, text, rejects, found["good"], found["bad"], found["open"], [b or 0 for b in shared])
 
 
 def write_split(

@@ -304,7 +304,8 @@ def field_count(raw: Column | str, quote: str = '"', delimiter: str = ",") -> Co
     raw = F.col(raw) if isinstance(raw, str) else raw
     pieces = F.split(raw, quote)
     outside = F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), "")
-    commas = F.length(outside) - F.length(F.replace(outside, F.lit(delimiter), F.lit("")))
+    seen = F.when(F.contains(raw, F.lit(quote)), outside).otherwise(raw)
+    commas = F.length(seen) - F.length(F.replace(seen, F.lit(delimiter), F.lit("")))
     return F.when(raw == "", F.lit(0)).otherwise(commas + 1)
 
 

@@ -296,6 +296,9 @@ def test_inferred_types(spark, tmp_path):
     assert csvfiles.read_inferred(spark, typed).dtypes == [("k", "bigint"), ("v", "decimal(38,10)")]
     more = write(tmp_path / "c.csv", 'd,t,b,e,m\n2024-01-02,2024-01-02 03:04:05,true,1e300,"x\ny"\n,,,,\n')
     assert [k for _, k in csvfiles.read_inferred(spark, more).dtypes] == ["date", "timestamp", "boolean", "double", "string"]
+    odd = "a,b,c,d,e\n+1,-2.5,2024-1-2,TRUE,.5\n7,3,2024-01-02,x,1e5\n99999999999999999999,1234567890123456.5,,false,5\n"
+    kinds = [k for _, k in csvfiles.read_inferred(spark, write(tmp_path / "e.csv", odd)).dtypes]
+    assert kinds == ["decimal(38,10)", "decimal(38,10)", "date", "string", "double"]
     bare = write(tmp_path / "d.csv", "k,v\n")
     assert csvfiles.read_inferred(spark, bare).dtypes == [("k", "string"), ("v", "string")]
 
