@@ -11,21 +11,27 @@ thrown per document, however many words it has.
 
 Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates: texts of similarity 0.8
 share a bucket with probability ``1 - 8e-6``. Texts with the same words in the same order
-are one representative from the start. No pairs are formed inside a bucket. In each round
-every bucket names leaders among those that still wait, one at first and ``LEADERS`` times
-as many as before in each further round, and all others are compared with these. A
-comparison is screened first: where one byte per coordinate agrees in less than the
-threshold less ``MARGIN`` (four standard deviations), it is over; later rounds screen in the
-join itself, so that unlike texts of a bucket make no row. The rest is compared exactly, on
-the full multisets. What reaches ``THRESHOLD`` is linked and leaves; what does not waits for
-the next leaders. As one minus the similarity is a metric, a linked document that could
-still be linked to a waiting one (its distance to its leader is at least the least distance
-of those waiting, less ``1 - THRESHOLD``) stays to be compared too. The distance of a waiting
-one that was screened out is taken to be at least one minus its agreement and ``MARGIN``;
-agreements down to ``NEAR``, below which it holds nothing, are carried for this. So two
-documents that share a bucket, reach the threshold and pass the screen end in one class, but
-for estimates more than ``MARGIN`` too low (3e-5 a pair), and a bucket that is one large class
-costs one comparison a document.
+are one representative from the start. No pairs are formed inside a bucket. First every
+bucket is led by the member that meets most others over all its buckets, so that a group has
+few leaders, and all others are compared with it. A comparison is screened: where one byte
+per coordinate agrees in less than the threshold less ``MARGIN`` (four standard deviations),
+it is over. The rest is compared exactly, on the full multisets; what reaches ``THRESHOLD``
+is linked. As one minus the similarity is a metric, a linked document leaves its bucket
+unless it could still be linked to an unlinked one there (its distance to the leader is at
+least the least distance of those, less ``1 - THRESHOLD``). The distance of one that was
+screened out is taken to be at least one minus its agreement and ``MARGIN``; agreements down
+to ``NEAR``, below which it holds nothing, are carried for this.
+
+Members of buckets with several classes left get keys of their own: ``LONG_KEYS`` draws of
+``LONG_ROWS`` coordinates. A pair at 0.8 has one in common but for 9e-6, one at 0.6 in a
+tenth of all cases, so unlike texts of a large group hardly meet any more. In each round
+every key with several classes names leaders among all but its largest class, one at first and
+``LEADERS`` times as many as before in each further round, and all members of other classes are compared
+with these; what is linked by then, by any chain, is one class and is not compared. Of two
+classes the pair that looks most alike is compared first and the others only if it fails. So two documents
+that share a bucket, a key and pass the screen end in one class, but for estimates more than
+``MARGIN`` too low (3e-5 a pair), and a bucket that is one large class costs one comparison a
+document.
 
 Classes are the connected components of the links; the smallest id of a class stays. Cases:
 null texts and texts without words are classes of their own; equal rows are copies; ids are unique but for
@@ -42,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerproof.llm.common import packed, settle, slices, token_hashes
@@ -57,6 +63,8 @@ SPARE = 3.0
 MARGIN = 0.07
 # Less agreement, by MARGIN, is too far from a leader to be linked to what is linked to it.
 NEAR = 2 * THRESHOLD - 1 - MARGIN
+LONG_ROWS = 16
+LONG_KEYS = 400
 LEADERS = 16
 DARTS = COORDINATES * (math.log(COORDINATES) + SPARE)
 
@@ -202,58 +210,106 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compare, "doc long, leader long, similarity double")
 
 
-def _agreement() -> Column:
-    """How many bytes of both sketches agree."""
-    return F.size(F.filter(F.zip_with("sketch", "leader_sketch", lambda a, b: a == b), lambda e: e))
+def _screened(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs (doc, leader) whose sketches agree in ``least`` or more, with their agreement, of 0 to 1."""
+    of_leader = sketches.select(F.col("doc").alias("leader"), F.col("sketch").alias("leader_sketch"))
+    same = F.size(F.filter(F.zip_with("sketch", "leader_sketch", lambda a, b: a == b), lambda e: e))
+    rows = pairs.join(sketches, "doc").join(of_leader, "leader")
+    return rows.select("doc", "leader", (same / COORDINATES).alias("agreement")).where(F.col("agreement") >= least)
+
+
+def _first_round(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of every bucket's members to its leader, and the members (bucket, doc) that may have more."""
+    # Who meets most others leads all its buckets, so that a group has few leaders and few pairs.
+    sizes = waiting.groupBy("bucket").agg((F.count("*") - 1).alias("others"))
+    met = waiting.join(sizes, "bucket").groupBy("doc").agg(F.sum("others").alias("meets"))
+    first = F.max(F.struct("meets", (-F.col("doc")).alias("back")))
+    leaders = waiting.join(met, "doc").groupBy("bucket").agg(first.alias("first"))
+    leaders = leaders.select("bucket", (-F.col("first.back")).alias("leader"))
+    led = settle(waiting.join(leaders, "bucket").where("doc <> leader").select("bucket", "doc", "leader"), "led")
+    pairs = settle(_screened(led.select("doc", "leader").distinct(), sketches, NEAR), "met")
+    found = _verified(pairs.where(F.col("agreement") >= THRESHOLD - MARGIN).select("doc", "leader"), tokens)
+    found = settle(found, "verified")
+    linked = F.coalesce(F.col("similarity") >= THRESHOLD, F.lit(False))
+    # Whose agreement was below NEAR is at least this far from the leader.
+    farthest = F.lit(1 - NEAR - MARGIN)
+    at_least = F.coalesce(1 - F.col("similarity"), 1 - MARGIN - F.col("agreement"), farthest)
+    judged = led.join(pairs.join(found, ["doc", "leader"], "left"), ["doc", "leader"], "left")
+    judged = settle(judged.select("bucket", "doc", "similarity", linked.alias("linked"), at_least.alias("at_least")), "judged")
+    nearest = judged.where("NOT linked").groupBy("bucket").agg(F.min("at_least").alias("nearest"))
+    reach = F.least("nearest", farthest) - (1 - THRESHOLD) - 1e-9
+    stays = ~F.col("linked") | (1 - F.col("similarity") >= reach)
+    left = judged.join(nearest, "bucket").where(stays).select("bucket", "doc")
+    return found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")), left
+
+
+def long_keys(sketch: np.ndarray) -> np.ndarray:
+    """A hash of ``LONG_ROWS`` drawn bytes of a sketch for each of ``LONG_KEYS`` draws, documents x LONG_KEYS."""
+    draw = np.random.default_rng(LONG_KEYS)
+    chosen = np.stack([draw.choice(COORDINATES, LONG_ROWS, replace=False) for _ in range(LONG_KEYS)])
+    halves = np.ascontiguousarray(sketch[:, chosen]).view(np.uint64)
+    out = np.broadcast_to(mixed(np.arange(1, LONG_KEYS + 1, dtype=np.uint64)), halves.shape[:2])
+    for i in range(halves.shape[2]):
+        out = mixed(out * np.uint64(5) + mixed(halves[:, :, i] + np.uint64(1)))
+    return out.view(np.int64)
 
 
-def _met(members: DataFrame, leading: int, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bucket, doc, leader, agreement) of ``NEAR`` or more, and the leaders (bucket, leader) of this round."""
-    # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))
-    leaders = members.where("open").withColumn("rank", rank).where(F.col("rank") <= leading)
-    leaders = settle(leaders.select("bucket", F.col("doc").alias("leader")), "leaders")
-    of_leader = sketches.select(F.col("doc").alias("leader"), F.col("sketch").alias("leader_sketch"))
-    # Of two leaders the larger meets the smaller.
-    once = (F.col("doc") != F.col("leader")) & ~(F.col("open") & (F.col("doc") < F.col("leader")))
-    if leading > 1:
-        shown = members.join(sketches, "doc").alias("m")
-        near = (F.col("m.bucket") == F.col("l.bucket")) & once & (_agreement() >= NEAR * COORDINATES)
-        led = shown.join(leaders.join(of_leader, "leader").alias("l"), near)
-        return led.select("m.bucket", "doc", "leader", _agreement().alias("agreement")), leaders
-    led = settle(members.join(leaders, "bucket").where(once).select("bucket", "doc", "leader"), "led")
-    pairs = led.select("doc", "leader").distinct().join(sketches, "doc").join(of_leader, "leader")
-    pairs = pairs.select("doc", "leader", _agreement().alias("agreement")).where(F.col("agreement") >= NEAR * COORDINATES)
-    return led.join(pairs, ["doc", "leader"]), leaders
+def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs = batch.column("doc").to_numpy()
+        sketch = batch.column("sketch").flatten().to_numpy().view(np.uint8).reshape(len(docs), COORDINATES)
+        for at in range(0, len(docs), 256):
+            keys = long_keys(sketch[at : at + 256])
+            rows = [pa.array(keys.ravel()), pa.array(np.repeat(docs[at : at + 256], LONG_KEYS))]
+            yield pa.RecordBatch.from_arrays(rows, ["bucket", "doc"])
+
+
+def _of_classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (bucket, doc, class, open) of the buckets with several classes; of each one class is not open."""
+    labels = components(links)
+    own = members.join(labels, F.col("doc") == F.col("node"), "left")
+    own = own.select("bucket", "doc", F.coalesce("label", "doc").alias("class"))
+    # The largest class need not lead: of any two classes one is open.
+    sizes = own.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("most"), F.count("*").alias("classes"))
+    several = own.join(largest.where("classes > 1"), "bucket")
+    return settle(several.select("bucket", "doc", "class", (F.col("class") != F.col("most.class")).alias("open")), "members")
 
 
 def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links (a, b) of all representatives that share a bucket; ``waiting`` holds (bucket, doc)."""
-    links = waiting.sparkSession.createDataFrame([], "a long, b long")
-    members, leading, apart = waiting.withColumn("open", F.lit(True)), 1, 1 - THRESHOLD
-    while not members.where("open").isEmpty():
-        met, leaders = _met(members, leading, sketches)
-        met = settle(met, "met")
-        screened_in = met.where(F.col("agreement") >= (THRESHOLD - MARGIN) * COORDINATES)
-        found = settle(_verified(screened_in.select("doc", "leader").distinct(), tokens), "verified")
-        linked = F.col("similarity") >= THRESHOLD
-        links = links.unionAll(found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-        judged = met.join(found, ["doc", "leader"], "left")
-        at_least = F.coalesce(1 - F.col("similarity"), 1 - MARGIN - F.col("agreement") / COORDINATES)
-        best = judged.groupBy("bucket", "doc").agg(
-            F.max("similarity").alias("similarity"), F.min(at_least).alias("at_least")
+    """Links (a, b) that join all representatives of a class; ``waiting`` holds (bucket, doc)."""
+    links, left = _first_round(waiting, sketches, tokens)
+    left = _of_classes(left, links).select("doc").distinct()
+    keys = left.join(sketches, "doc").select("doc", "sketch").mapInArrow(_long, "bucket long, doc long")
+    keys = settle(keys, "long-keys")
+    several = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members, leading = _of_classes(keys.join(several, "bucket"), links), 1
+    linked = F.col("similarity") >= THRESHOLD
+    while not members.isEmpty():
+        # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))
+        leaders = members.where("open").withColumn("rank", rank).where(F.col("rank") <= leading)
+        leaders = settle(leaders.select("bucket", F.col("doc").alias("leader"), F.col("class").alias("of")), "leaders")
+        pairs = members.join(leaders, "bucket").where(F.col("class") != F.col("of"))
+        pairs = pairs.select(
+            F.least("doc", "leader").alias("leader"),
+            F.greatest("doc", "leader").alias("doc"),
+            F.struct(F.least("class", "of").alias("one"), F.greatest("class", "of").alias("other")).alias("classes"),
         )
+        pairs = settle(pairs.distinct(), "led")
+        met = _screened(pairs.select("doc", "leader"), sketches, THRESHOLD - MARGIN).join(pairs, ["doc", "leader"])
+        met = settle(met, "met")
+        # One link joins two classes, so the pair that looks most alike goes first.
+        likely = met.groupBy("classes").agg(F.max(F.struct("agreement", "doc", "leader")).alias("p"))
+        found = settle(_verified(likely.select("p.doc", "p.leader"), tokens).where(linked), "verified")
+        joined = pairs.join(found, ["doc", "leader"], "left_semi").select("classes").distinct()
+        rest = met.join(joined, "classes", "left_anti").join(likely.select("p.doc", "p.leader"), ["doc", "leader"], "left_anti")
+        more = settle(_verified(rest.select("doc", "leader"), tokens).where(linked), "verified")
+        for new in (found, more):
+            links = links.unionAll(new.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
         # Leaders have met everyone in their bucket and are done.
-        left = members.join(leaders.withColumnRenamed("leader", "doc"), ["bucket", "doc"], "left_anti")
-        left = settle(left.join(best, ["bucket", "doc"], "left"), "left")
-        waits = F.col("open") & ~F.coalesce(linked, F.lit(False))
-        # Whose agreement was below NEAR is at least this far from every leader.
-        farthest = F.lit(1 - NEAR - MARGIN)
-        nearest = left.where(waits).groupBy("bucket").agg(F.min(F.coalesce("at_least", farthest)).alias("nearest"))
-        reach = F.least("nearest", farthest) - apart - 1e-9
-        # What was linked to no leader of this round tells nothing and stays.
-        stays = waits | ~F.coalesce(linked, F.lit(False)) | (1 - F.col("similarity") >= reach)
-        members = settle(left.join(nearest, "bucket").where(stays).select("bucket", "doc", waits.alias("open")), "members")
+        done = leaders.select("bucket", F.col("leader").alias("doc"))
+        members = _of_classes(members.select("bucket", "doc").join(done, ["bucket", "doc"], "left_anti"), links)
         leading *= LEADERS
     return links
 
