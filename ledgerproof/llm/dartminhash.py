@@ -292,8 +292,8 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
         leaders = settle(leaders.select("bucket", F.col("doc").alias("leader"), F.col("class").alias("of")), "leaders")
         pairs = members.join(leaders, "bucket").where(F.col("class") != F.col("of"))
         pairs = pairs.select(
-            F.least("doc", "leader").alias("leader"),
-            F.greatest("doc", "leader").alias("doc"),
+            F.least("doc", "leader").alias("doc"),
+            F.greatest("doc", "leader").alias("leader"),
             F.struct(F.least("class", "of").alias("one"), F.greatest("class", "of").alias("other")).alias("classes"),
         )
         pairs = settle(pairs.distinct(), "led")
