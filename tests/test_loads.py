@@ -8,7 +8,9 @@ from task_rows import stages_of
 from ledgerproof import sample
 from ledgerproof.operators.controls import tie_out
 from ledgerproof.operators.perkey import with_keys
-from ledgerproof.plans import load, reports
+from ledgerproof.plans import exports, load, reports
+from ledgerproof.plans.oracles import ORACLES
+from ledgerproof.plans.queries import QUERIES
 from ledgerproof.sources import csvfiles, quality, records, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -244,3 +246,16 @@ def test_statements_of_a_file(spark):
     assert tuple(sinks.run_sql(spark, text, {"t": spark.range(3)}, {"n": 7}).first()) == (7, 3)
     with pytest.raises(ValueError, match="no statement"):
         sinks.run_sql(spark, " -- nothing\n;", {})
+
+
+def test_small_files_hold_every_document(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "ROWS_PER_SMALL_FILE", 2)
+    rows = [(i, f'line {i}\nsecond, "quoted"', "en", None if i % 3 else "s1") for i in range(7)] + [(None, None, None, "s2")]
+    rows += [rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["csv_small_files"](spark, str(tmp_path))
+    wanted = [(None if r[0] is None else str(r[0]), *r[1:]) for r in rows]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted))
+    assert len(got.inputFiles()) == 5
+    assert "FROM documents" in ORACLES["csv_small_files"]
