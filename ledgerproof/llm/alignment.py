@@ -1,10 +1,16 @@
 """Alignment of two tokenizers' tokens over the same text, and how often token pairs meet.
 
 Both sides' tokens tile the bytes of space+text. Per batch ``pandas.merge_asof``, keyed by
-document, finds for each token start the other side's covering token; both directions
+document and offset (as one place that runs on over the documents, which both sides tile alike),
+finds for each token start the other side's covering token; both directions
 together are all pairs of overlapping tokens (a pair whose tokens start together is found
 twice and kept once). Offsets at which both sides end cut the tokens into groups.
 
+Texts are cut into chunks across which no token of a side reaches, and a task encodes equal
+chunks once. Side A's are those of ``bytebpe.py``; side B's begin at runs of spaces, as no piece
+of the model has a mark behind other characters. With a model of another kind whole texts
+are encoded.
+
 How often a pair of ids is linked in the whole corpus needs every document first. Texts are
 therefore worked on in blocks of about ``BLOCK`` bytes, and one row is written per block: its
 documents' figures, the pairs of ids that it holds with their counts, and, compressed, which
@@ -31,13 +37,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerproof.llm.bytebpe import ByteEncoder, column_bytes, read_vocabulary
+from ledgerproof.llm.bytebpe import (
+    SPACE,
+    ByteEncoder,
+    Remembered,
+    chunk_starts,
+    chunks_at,
+    column_bytes,
+    read_vocabulary,
+)
 from ledgerproof.llm.common import settle, slices
-from ledgerproof.llm.pieces import MARK, MODEL, gather
+from ledgerproof.llm.pieces import MARK, MERGES, MODEL, gather
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 BLOCK = 1 << 23
 SLICE = 1 << 20
+RUN = 1 << 12
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 BLOCKS = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -49,7 +64,7 @@ ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 class PieceSide:
     """Side B: ids of a piece model and the bytes of its pieces."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, separable: bool):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -59,11 +74,72 @@ class PieceSide:
             byte = self.library.is_byte(i)
             self.token_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace(MARK, " ").encode())
 
+        self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
+        self.separable = separable
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the texts' offsets."""
         lists = self.library.encode(texts.to_pylist(), num_threads=1) if len(texts) else []
         offsets = np.cumsum([0, *map(len, lists)])
         return np.fromiter((i for ids in lists for i in ids), np.int32, offsets[-1]), offsets
 
+    def distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after the other, and the number of each.
+
+        A chunk begins with a space; in runs of about ``RUN`` bytes they are encoded one behind the other.
+        """
+        data, at = column_bytes(words)
+        # Behind a chunk of spaces, or one with a literal mark, the next one would not begin a word.
+        last = data[np.maximum(at[1:] - 1, 0)]
+        follows = (last != SPACE) & ~pc.match_substring(words, MARK).to_numpy(zero_copy_only=False)
+        together, apart = words.filter(pa.array(follows)), words.filter(pa.array(~follows)).to_pylist()
+        data, at = column_bytes(together)
+        run = at[1:] // RUN
+        firsts = np.flatnonzero(np.diff(run, prepend=-1)) if len(run) else np.zeros(0, np.int64)
+        edges = [*at[firsts].tolist(), len(data)]
+        # The library puts the first space in front.
+        texts = [data[lo + 1 : hi].tobytes().decode("utf-8") for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+        lists = self.library.encode(texts, num_threads=1) if texts else []
+        # A chunk of spaces alone is not encoded by itself: the library gives no ids for an empty text.
+        before = len(self.library.encode("a"))
+        ids = [np.array(ids, np.int32) for ids in lists]
+        alone = [np.array(self.library.encode("a" + w.decode("utf-8"))[before:], np.int32) for w in apart]
+        ends = np.searchsorted(np.cumsum(self.sizes[np.concatenate([np.zeros(0, np.int32), *ids])]), at[1:]) + 1
+        sizes = np.zeros(len(words), np.int64)
+        sizes[follows] = np.diff(ends, prepend=0)
+        sizes[~follows] = [len(a) for a in alone]
+        flat = np.concatenate([np.zeros(0, np.int32), *ids, *alone])
+        order = np.argsort(~follows, kind="stable")
+        begins = np.zeros(len(words), np.int64)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return gather(flat, begins, sizes, np.arange(len(words) + 1))[0], sizes
+
+
+def separable(model: bytes) -> bool:
+    """Whether a model merges pieces, leaves texts as they are and has no piece that reaches into a next word."""
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    read = proto.ModelProto()
+    read.ParseFromString(model)
+    rules = read.normalizer_spec
+    plain = rules.add_dummy_prefix and not (rules.precompiled_charsmap or rules.remove_extra_whitespaces)
+    merging = read.trainer_spec.model_type == MERGES and read.trainer_spec.byte_fallback
+    return bool(plain and merging) and not any(MARK in p.piece.lstrip(MARK) for p in read.pieces)
+
+
+def word_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where texts may be cut for side B: their beginnings, and spaces that follow something else."""
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (data[1:] == SPACE) & (data[:-1] != SPACE)
+    cut[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(cut)
+
+
+def _joined(memory: Remembered, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts that are cut at ``starts``, and the texts' offsets."""
+    begins, sizes = memory.runs(chunks_at(data, starts))
+    return gather(memory.flat, begins, sizes, np.searchsorted(starts, bounds))
+
 
 class Spelling:
     """Bytes of runs of ids."""
@@ -83,8 +159,8 @@ class Spelling:
 
 
 def covering(starts: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
-    """For each token start the other side's token of the same document that covers it."""
-    found = pd.merge_asof(starts[["at", "doc"]], others, on="at", by="doc", direction="backward")
+    """For each token start the other side's token that covers it; a document's places are its own."""
+    found = pd.merge_asof(starts[["at"]], others[["at", "token"]], on="at", direction="backward")
     return found["token"].to_numpy(np.int64)
 
 
@@ -95,7 +171,8 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     apart = a["at"].to_numpy()[of_b] != b["at"].to_numpy()
     first = np.concatenate([np.arange(len(a)), of_b[apart]])
     second = np.concatenate([of_a, np.arange(len(b))[apart]])
-    order = np.lexsort((second, first))
+    # By where a link begins: two ascending runs, which a stable sort merges.
+    order = np.argsort(np.concatenate([a["at"].to_numpy(), b["at"].to_numpy()[apart]]), kind="stable")
     return first[order], second[order]
 
 
@@ -109,13 +186,16 @@ class Names:
 
     def digests(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarray, docs: int) -> tuple[list[str], np.ndarray]:
         """Per document the digest of its groups and their number."""
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        in_a, in_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        last_a, last_b = np.isin(ends_a, common, assume_unique=True), np.isin(ends_b, common, assume_unique=True)
+        met = np.zeros(max(ends_a[-1:].max(initial=0), ends_b[-1:].max(initial=0)) + 1, np.int8)
+        met[ends_a] = 1
+        met[ends_b] += 1
+        last_a, last_b = met[ends_a] == 2, met[ends_b] == 2
+        in_a, in_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        of_a, of_b = np.bincount(in_a), np.bincount(in_b)
         text = np.empty(len(a) + len(b), object)
         # Of a group the tokens of A come first: behind all tokens of earlier groups of B.
-        text[np.arange(len(a)) + np.searchsorted(in_b, in_a)] = np.where(last_a, self.a_last[a], self.a[a])
-        text[np.arange(len(b)) + np.searchsorted(in_a, in_b, side="right")] = np.where(last_b, self.b_last[b], self.b[b])
+        text[np.arange(len(a)) + (np.cumsum(of_b) - of_b)[in_a]] = np.where(last_a, self.a_last[a], self.a[a])
+        text[np.arange(len(b)) + np.cumsum(of_a)[in_b]] = np.where(last_b, self.b_last[b], self.b[b])
         cuts = np.cumsum(np.bincount(doc_a, minlength=docs) + np.bincount(doc_b, minlength=docs))
         parts = text.tolist()
         out = []
@@ -127,8 +207,9 @@ class Names:
 class Aligner:
     """What a task needs to align slices of texts."""
 
-    def __init__(self, vocabulary: str, model: bytes):
-        self.a, self.b = ByteEncoder(vocabulary, plain=True), PieceSide(model)
+    def __init__(self, vocabulary: str, model: bytes, separable: bool):
+        self.a, self.b = ByteEncoder(vocabulary, plain=True), PieceSide(model, separable)
+        self.memory_a, self.memory_b = Remembered(self.a.distinct), Remembered(self.b.distinct)
         self.spell_a, self.spell_b = Spelling(self.a.token_bytes), Spelling(self.b.token_bytes)
         self.names = Names(len(self.a.token_bytes), len(self.b.token_bytes))
 
@@ -146,8 +227,11 @@ class Aligner:
         whole = pc.fill_null(texts, "")
         spaced = pc.binary_join_element_wise(" ", whole, "")
         data, bounds = column_bytes(spaced)
-        ids_a, at_a = self.a.encode(spaced)
-        ids_b, at_b = self.b.encode(whole)
+        ids_a, at_a = _joined(self.memory_a, data, bounds, chunk_starts(data, bounds))
+        if self.b.separable:
+            ids_b, at_b = _joined(self.memory_b, data, bounds, word_starts(data, bounds))
+        else:
+            ids_b, at_b = self.b.encode(whole)
         good = np.diff(bounds) > 1
         good &= self.spell_a.fits(ids_a, at_a, data, bounds) & self.spell_b.fits(ids_b, at_b, data, bounds)
         a, ids_a, ends_a = self.tokens(ids_a, at_a, self.spell_a.sizes, good)
@@ -163,7 +247,7 @@ class Aligner:
 def aligned_blocks(docs: DataFrame, vocabulary: str, model: bytes) -> DataFrame:
     """One row per block of documents."""
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary, model))
+    shared = spark.sparkContext.broadcast((vocabulary, model, separable(model)))
     block_size, slice_size, names = BLOCK, SLICE, [field.split()[0] for field in BLOCKS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,21 +4,24 @@ The pattern of such vocabularies always starts a new part at a space that a non-
 and nothing behind it changes the parts before it. Texts are therefore cut in front of these
 spaces, and of all equal chunks of a batch only one is encoded, by the tokenizers library. The
 chunks go there in runs of about ``RUN`` bytes, one behind the other; the byte lengths of the
-ids tell where each chunk ends again.
+ids tell where each chunk ends again. What a task has encoded it may remember for its next batches
+(:class:`Remembered`).
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerproof.llm.pieces import gather
 
 RUN = 1 << 20
+REMEMBERED = 1 << 22
 # Bytes that are blank or may begin a blank; in front of these no text is cut.
 BLANK = np.zeros(256, bool)
 BLANK[[*range(33), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -50,6 +53,47 @@ def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def chunks_at(data: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+    """The chunks that begin at ``starts``, as a dictionary of distinct ones and their places in it."""
+    cuts = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
+
+
+class Remembered:
+    """Ids of chunks, encoded when a task first meets them.
+
+    ``encode`` gives the ids of distinct chunks, one after the other, and the number of each. Beyond
+    ``REMEMBERED`` bytes of chunks all are forgotten, so memory is bounded by that and one batch.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.flat = pa.array([], pa.binary()), np.zeros(0, np.int32)
+        self.starts = self.sizes = np.zeros(0, np.int64)
+
+    def runs(self, chunks: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``flat`` the ids of each chunk begin, and how many there are."""
+        if self.known.nbytes > REMEMBERED:
+            self.forget()
+        words, before = chunks.dictionary, len(self.known)
+        place = pc.index_in(words, value_set=self.known)
+        new = place.is_null()
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        fresh = words.filter(new)
+        if len(fresh):
+            flat, sizes = self.encode(fresh)
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, flat])
+            self.known = pa.concat_arrays([self.known, fresh])
+            place[new.to_numpy(zero_copy_only=False)] = before + np.arange(len(fresh))
+        place = place[chunks.indices.to_numpy()]
+        return self.starts[place], self.sizes[place]
+
+
 class ByteEncoder:
     """Encodes texts in a task. With ``plain`` the special tokens' strings are ordinary text."""
 
@@ -78,15 +122,8 @@ class ByteEncoder:
             ends = np.searchsorted(np.cumsum(self.sizes[ids]), bounds[lo + 1 : hi + 1] - bounds[lo]) + 1
             yield ids, np.diff(ends, prepend=0)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and the texts' offsets. No text may be null."""
-        data, bounds = column_bytes(texts)
-        if not len(data):
-            return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
-        starts = chunk_starts(data, bounds)
-        cuts = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
-        chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
-        words = chunks.dictionary
+    def distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after the other, and the number of each."""
         inside, at = column_bytes(words)
         second = np.minimum(at[:-1] + 1, len(inside) - 1)
         # Only chunks that begin like a cut may follow one another.
@@ -102,7 +139,17 @@ class ByteEncoder:
         order = np.argsort(~follows, kind="stable")
         begins = np.zeros(len(words), np.int64)
         begins[order] = np.cumsum(sizes[order]) - sizes[order]
-        which = chunks.indices.to_numpy()
+        return gather(flat, begins, sizes, np.arange(len(words) + 1))[0], sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the texts' offsets. No text may be null."""
+        data, bounds = column_bytes(texts)
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
+        starts = chunk_starts(data, bounds)
+        chunks = chunks_at(data, starts)
+        flat, sizes = self.distinct(chunks.dictionary)
+        begins, which = np.cumsum(sizes) - sizes, chunks.indices.to_numpy()
         return gather(flat, begins[which], sizes[which], np.searchsorted(starts, bounds))
 
 

@@ -1,7 +1,9 @@
 import base64
 import hashlib
+import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -77,3 +79,48 @@ def test_special_strings_are_text(spark):
 
 def test_empty(empty):
     assert alignment.align(empty).count() == 0
+
+
+PARTS = ["a", "zz", "the ", " ", "  ", "\t", "\n", "▁", " ▁", "é", "日本", "😀", "<s>", "<0x41>", "\x00", "\r\n", "　"]
+
+
+def aligner():
+    with open(alignment.MODEL, "rb") as file:
+        return alignment.Aligner(alignment.read_vocabulary(alignment.VOCABULARY), file.read(), True)
+
+
+def test_chunks_give_the_ids_of_whole_texts():
+    rng, made = random.Random(3), aligner()
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 30))) for _ in range(400)] + [" ", "   ", "a  ", " " * 900]
+    plain = pa.array([t for t in texts if t and "▁" not in t])
+    data, bounds = alignment.column_bytes(alignment.pc.binary_join_element_wise(" ", plain, ""))
+    for memory, side, starts in (
+        (made.memory_a, lambda t: made.a.one(" " + t).tolist(), alignment.chunk_starts),
+        (made.memory_b, made.b.library.encode, alignment.word_starts),
+    ):
+        ids, at = alignment._joined(memory, data, bounds, starts(data, bounds))
+        assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == list(map(side, plain.to_pylist()))
+
+
+def test_a_task_encodes_equal_chunks_once(monkeypatch):
+    made, met = aligner(), []
+    for memory in (made.memory_a, made.memory_b):
+        monkeypatch.setattr(memory, "encode", lambda w, f=memory.encode: met.extend(w.to_pylist()) or f(w))
+    for _ in range(3):
+        figures, *_ = made.align(pa.array([("one two three " * 40).strip()] * 5))
+    assert sorted(met) == sorted([b" one", b" two", b" three"] * 2)
+    assert (figures["n_groups"] == figures["n_groups"][0]).all() and figures["n_groups"][0] >= 120
+    before = made.align(pa.array(["one four"]))
+    monkeypatch.setattr("ledgerproof.llm.bytebpe.REMEMBERED", 0)
+    after = made.align(pa.array(["one four"]))
+    assert before[1] == after[1] and len(made.memory_a.known) == 2
+
+
+def test_a_model_with_pieces_over_words_encodes_whole_texts():
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    with open(alignment.MODEL, "rb") as file:
+        model = proto.ModelProto.FromString(file.read())
+    assert alignment.separable(model.SerializeToString())
+    model.pieces[-1].piece = "of▁the"
+    assert not alignment.separable(model.SerializeToString())
