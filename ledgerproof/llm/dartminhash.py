@@ -66,6 +66,8 @@ NEAR = 2 * THRESHOLD - 1 - MARGIN
 LONG_ROWS = 16
 LONG_KEYS = 400
 LEADERS = 16
+# Words of the texts that are signed together: a few dozen darts a word are in memory at once.
+SLICE = 1 << 15
 DARTS = COORDINATES * (math.log(COORDINATES) + SPARE)
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -136,7 +138,9 @@ def signatures(hashed: np.ndarray, bounds: np.ndarray) -> np.ndarray:
             kept[place[won]] = thrown[won]
             more = time[:, -1] <= until[owner[own]]
             own, begun = own[more], time[more, -1]
-            dart, block = dart + block, 8 if block == 1 else 64
+            # Each block is a part of what was thrown before, so that few darts lie beyond ``until``.
+            dart += block
+            block = min(max(8, dart // 2), 64)
         todo = np.isinf(first.reshape(n, COORDINATES)).any(1) & (runs > 0)
         until = np.where(todo, until * 2, until)
     return kept.reshape(n, COORDINATES)
@@ -156,7 +160,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = batch.column("tokens")
         offsets = tokens.offsets.to_numpy().astype(np.int64)
         values = tokens.values.to_numpy(zero_copy_only=False)
-        for part in slices(np.diff(offsets).tolist(), 1 << 18):
+        for part in slices(np.diff(offsets).tolist(), SLICE):
             edge = offsets[part.start : part.stop + 1]
             own = values[edge[0] : edge[-1]]
             edge = edge - edge[0]
@@ -218,6 +222,18 @@ def _screened(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return rows.select("doc", "leader", (same / COORDINATES).alias("agreement")).where(F.col("agreement") >= least)
 
 
+def _thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the same components: each b has one to its smallest a, which has one to the others.
+
+    Members of a group share their leaders, so most of the links among these are the same.
+    A b has at most as many leaders as bands.
+    """
+    of_b = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("all"))
+    first = F.get("all", F.lit(0))
+    others = F.transform(F.concat(F.array("b"), F.slice("all", 2, F.size("all"))), lambda x: F.struct(first.alias("a"), x.alias("b")))
+    return of_b.select(F.explode(others).alias("link")).select("link.*").distinct()
+
+
 def _first_round(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of every bucket's members to its leader, and the members (bucket, doc) that may have more."""
     # Who meets most others leads all its buckets, so that a group has few leaders and few pairs.
@@ -240,7 +256,8 @@ def _first_round(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) ->
     reach = F.least("nearest", farthest) - (1 - THRESHOLD) - 1e-9
     stays = ~F.col("linked") | (1 - F.col("similarity") >= reach)
     left = judged.join(nearest, "bucket").where(stays).select("bucket", "doc")
-    return found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")), left
+    links = found.where(linked).select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+    return settle(_thinned(links), "thinned"), left
 
 
 def long_keys(sketch: np.ndarray) -> np.ndarray:
@@ -264,9 +281,18 @@ def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(rows, ["bucket", "doc"])
 
 
-def _of_classes(members: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """(node, label) after classes have been joined; ``joined`` holds (node, label) of the classes that were.
+
+    A class is named by its smallest node; one without a row in ``labels`` is a single node.
+    """
+    into = joined.select(F.col("node").alias("class"), F.col("label").alias("into"))
+    moved = labels.join(into, F.col("label") == F.col("class"), "left").select("node", F.coalesce("into", "label").alias("label"))
+    return moved.unionAll(joined.join(labels, "node", "left_anti").select("node", "label"))
+
+
+def _of_classes(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (bucket, doc, class, open) of the buckets with several classes; of each one class is not open."""
-    labels = components(links)
     own = members.join(labels, F.col("doc") == F.col("node"), "left")
     own = own.select("bucket", "doc", F.coalesce("label", "doc").alias("class"))
     # The largest class need not lead: of any two classes one is open.
@@ -279,11 +305,12 @@ def _of_classes(members: DataFrame, links: DataFrame) -> DataFrame:
 def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFrame:
     """Links (a, b) that join all representatives of a class; ``waiting`` holds (bucket, doc)."""
     links, left = _first_round(waiting, sketches, tokens)
-    left = _of_classes(left, links).select("doc").distinct()
+    labels = components(links)
+    left = _of_classes(left, labels).select("doc").distinct()
     keys = left.join(sketches, "doc").select("doc", "sketch").mapInArrow(_long, "bucket long, doc long")
     keys = settle(keys, "long-keys")
     several = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members, leading = _of_classes(keys.join(several, "bucket"), links), 1
+    members, leading = _of_classes(keys.join(several, "bucket"), labels), 1
     linked = F.col("similarity") >= THRESHOLD
     while not members.isEmpty():
         # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
@@ -305,11 +332,16 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
         joined = pairs.join(found, ["doc", "leader"], "left_semi").select("classes").distinct()
         rest = met.join(joined, "classes", "left_anti").join(likely.select("p.doc", "p.leader"), ["doc", "leader"], "left_anti")
         more = settle(_verified(rest.select("doc", "leader"), tokens).where(linked), "verified")
-        for new in (found, more):
-            links = links.unionAll(new.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        for these in (found, more):
+            links = links.unionAll(these.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        # Only the classes that were joined are looked at again, not all links of all rounds.
+        new = pairs.join(found.unionAll(more), ["doc", "leader"], "left_semi")
+        new = settle(new.select(F.col("classes.one").alias("a"), F.col("classes.other").alias("b")).distinct(), "joined")
+        if not new.isEmpty():
+            labels = settle(_merged(labels, components(new)), "merged")
         # Leaders have met everyone in their bucket and are done.
         done = leaders.select("bucket", F.col("leader").alias("doc"))
-        members = _of_classes(members.select("bucket", "doc").join(done, ["bucket", "doc"], "left_anti"), links)
+        members = _of_classes(members.select("bucket", "doc").join(done, ["bucket", "doc"], "left_anti"), labels)
         leading *= LEADERS
     return links
 

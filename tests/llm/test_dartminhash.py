@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import regex
 from llm_texts import prose
 
@@ -162,3 +164,35 @@ def test_rows_without_id_join_by_text_and_one_stays(spark):
     stay = [tuple(r) for r in dm.without_near_duplicates(docs).collect()]
     assert len(stay) == 4 and {(4, near[1]), (9, same), (None, None)} < set(stay)
     assert sum(i is None and t is not None and t.startswith(alone) for i, t in stay) == 1
+
+
+def test_thinned_links_have_the_same_components(spark):
+    rng = random.Random(4)
+    links = [(leader, doc) for doc in range(100, 300) for leader in rng.sample(range(6), rng.randint(1, 5))]
+    links += [(900 + leader, doc) for doc in range(400, 500) for leader in range(3)] + [(700, 701)]
+    before = spark.createDataFrame(links, "a long, b long")
+    after = dm._thinned(before)
+    assert after.count() <= 301 + 6 * 5 + 2 < len(links)
+    assert sorted(map(tuple, components(after).collect())) == sorted(map(tuple, components(before).collect()))
+
+
+def test_joined_classes_are_those_of_all_links(spark):
+    first, later = [(1, 2), (2, 3), (10, 11), (20, 21)], [(1, 20), (5, 10), (7, 9)]
+    labels = components(spark.createDataFrame(first, "a long, b long"))
+    joined = components(spark.createDataFrame(later, "a long, b long"))
+    every = components(spark.createDataFrame(first + later, "a long, b long"))
+    assert sorted(map(tuple, dm._merged(labels, joined).collect())) == sorted(map(tuple, every.collect()))
+
+
+def test_signing_takes_little_memory_and_slices_do_not_matter(monkeypatch):
+    rng = np.random.default_rng(1)
+    offsets = np.concatenate([[0], np.cumsum([*rng.integers(0, 3, 20), *rng.integers(100, 500, 400), 9000])])
+    tokens = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(rng.integers(0, 1 << 40, offsets[-1])))
+    ids = pa.array(np.arange(len(tokens)))
+    batch = pa.RecordBatch.from_arrays([ids, ids, tokens], ["doc_id", "unnamed", "tokens"])
+    tracemalloc.start()
+    signed = pa.Table.from_batches(list(dm._sign(iter([batch]))))
+    assert tracemalloc.get_traced_memory()[1] < 60e6  # 270 MB in slices of 262,144 words
+    tracemalloc.stop()
+    monkeypatch.setattr(dm, "SLICE", 500)
+    assert signed.to_pylist() == pa.Table.from_batches(list(dm._sign(iter([batch])))).to_pylist()
