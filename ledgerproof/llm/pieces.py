@@ -23,12 +23,15 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ DICTIONARY = 65_536
 LONGEST = 24
 CACHE = 1 << 20
 SHORT = 40
+SLICE = 1 << 20
 MERGES, UNIGRAM = 2, 1
 UNKNOWN_PENALTY = 10.0
 
@@ -182,20 +186,17 @@ def merge_parts(word: str, score: dict[str, float]) -> list[str]:
     """The parts of a word after all merges, best score first, leftmost first among equals."""
     parts = list(word)
     if len(parts) <= SHORT:
-        ranks = [score.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(ranks):
-                if r is not None and (best is None or r > best):
-                    best, at = r, i
-            if at < 0:
-                return parts
+        least = -math.inf
+        ranks = [score.get(a + b, least) for a, b in zip(parts, parts[1:])]
+        while ranks and (best := max(ranks)) > least:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del ranks[at]
             if at < len(ranks):
-                ranks[at] = score.get(parts[at] + parts[at + 1])
+                ranks[at] = score.get(parts[at] + parts[at + 1], least)
             if at:
-                ranks[at - 1] = score.get(parts[at - 1] + parts[at])
+                ranks[at - 1] = score.get(parts[at - 1] + parts[at], least)
+        return parts
     after = [*range(1, len(parts)), -1]
     before = [-1, *range(len(parts) - 1)]
     heap: list[tuple[float, int, int, str]] = []
@@ -238,6 +239,74 @@ def best_parts(word: str, score: dict[str, float], longest: int, unknown: float)
     return parts[::-1]
 
 
+class Merges:
+    """The same fold for many words of equal length at once: a row a word, a merge a step."""
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, pieces: Pieces):
+        number, self.n = pieces.number, len(pieces.data)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for piece, i in number.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+        order = np.unique([-s for s in pieces.score.values()], return_inverse=True)[1]  # best score first
+        pairs = [
+            (number[p[:k]] * self.n + number[p[k:]], rank, number[p])
+            for p, rank in zip(pieces.score, order.tolist())
+            for k in range(1, len(p))
+            if p[:k] in number and p[k:] in number
+        ]
+        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 3)
+        self.pair, self.order, self.whole = pairs[:, 0].copy(), pairs[:, 1].astype(np.int32), pairs[:, 2].astype(np.int32)
+
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = left.astype(np.int64) * self.n + right
+        at = np.minimum(np.searchsorted(self.pair, wanted), len(self.pair) - 1)
+        return at, self.pair[at] == wanted
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair's piece in the order of scores, ``NONE`` without one."""
+        at, found = self._found(left, right)
+        return np.where(found, self.order[at], self.NONE)
+
+    def fold(self, words: Sequence[str]) -> list[list[int] | None]:
+        """Ids of words of at most ``SHORT`` characters that are all pieces; None for others."""
+        out: list[list[int] | None] = [None] * len(words)
+        if not len(self.pair):
+            return out
+        sizes = np.array([len(w) for w in words], np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first, every = np.cumsum(sizes) - sizes, self.of_char[points]
+        for size in np.unique(sizes[(sizes > 0) & (sizes <= SHORT)]).tolist():
+            rows = np.flatnonzero(sizes == size)
+            parts = every[first[rows][:, None] + np.arange(size)]
+            known = (parts >= 0).all(1)
+            self._fold(rows[known], parts[known], out)
+        return out
+
+    def _fold(self, rows: np.ndarray, parts: np.ndarray, out: list[list[int] | None]) -> None:
+        ranks = self.rank(parts[:, :-1], parts[:, 1:])
+        while ranks.shape[1] and len(rows):
+            at = ranks.argmin(1)  # leftmost first among equals
+            goes_on = ranks[np.arange(len(rows)), at] < self.NONE
+            for i, ids in zip(rows[~goes_on].tolist(), parts[~goes_on].tolist(), strict=True):
+                out[i] = ids
+            rows, parts, ranks, at = rows[goes_on], parts[goes_on], ranks[goes_on], at[goes_on]
+            row = np.arange(len(rows))
+            stays, same = np.ones(parts.shape, bool), np.ones(ranks.shape, bool)
+            stays[row, at + 1] = same[row, at] = False
+            parts[row, at] = self.whole[self._found(parts[row, at], parts[row, at + 1])[0]]
+            parts = parts[stays].reshape(len(rows), stays.shape[1] - 1)
+            ranks = ranks[same].reshape(len(rows), same.shape[1] - 1)
+            for left in (at - 1, at):
+                inside = (left >= 0) & (left < ranks.shape[1])
+                r, k = row[inside], left[inside]
+                ranks[r, k] = self.rank(parts[r, k], parts[r, k + 1])
+        for i, ids in zip(rows.tolist(), parts.tolist(), strict=True):
+            out[i] = ids
+
+
 class Encoder:
     """Ids of words, from the table where it has them, else folded here."""
 
@@ -245,6 +314,7 @@ class Encoder:
         self.pieces, self.table, self.cache = pieces, table or {}, {}
         self.longest = pieces.longest
         self.floor = min(pieces.score.values(), default=0.0) - UNKNOWN_PENALTY
+        self.merges = Merges(pieces) if pieces.kind == MERGES else None
 
     def ids(self, parts: Sequence[str]) -> list[int]:
         out: list[int] = []
@@ -270,16 +340,49 @@ class Encoder:
             self.cache[word] = found
         return found
 
-    def encode(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and the texts' offsets."""
-        offsets = words.offsets.to_numpy().astype(np.int64)
-        coded = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        lists = [self.word(w) for w in coded.dictionary.to_pylist()]
+    def words(self, words: Sequence[str]) -> list[list[int]]:
+        """Ids of many distinct words."""
+        lists = [self.table.get(w) or self.cache.get(w) for w in words]
+        new = [i for i, ids in enumerate(lists) if ids is None]
+        folded = self.merges.fold([words[i] for i in new]) if self.merges else [None] * len(new)
+        if len(self.cache) + len(new) > CACHE:
+            self.cache.clear()
+        for i, ids in zip(new, folded, strict=True):
+            lists[i] = self.word(words[i]) if ids is None else ids
+            self.cache[words[i]] = lists[i]
+        return lists
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the texts' offsets. No text may be null."""
+        coded, offsets = cut_texts(texts, self.pieces)
+        lists = self.words(coded.dictionary.to_pylist())
         sizes = np.array([len(x) for x in lists], np.int64)
-        flat = np.array([i for x in lists for i in x], np.int32)
+        flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, sizes.sum())
         starts = np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy()
-        return gather(flat, starts[which], sizes[which], offsets - offsets[0])
+        return gather(flat, starts[which], sizes[which], offsets)
+
+
+def cut_texts(texts: pa.Array, pieces: Pieces) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of :func:`words_of` of all texts, and where each text's words begin."""
+    marked = pc.binary_join_element_wise(MARK, pc.replace_substring(texts, " ", MARK), "")
+    marked = pc.if_else(pc.equal(texts, ""), "", marked)
+    at = np.frombuffer(marked.buffers()[1], np.int32)[marked.offset : marked.offset + len(marked) + 1].astype(np.int64)
+    data = np.frombuffer(marked.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    first, second, third = MARK.encode()
+    mark = np.zeros(len(data) + 3, bool)  # three places in front, so that the one before is three back
+    mark[3:-2] = (data[:-2] == first) & (data[1:-1] == second) & (data[2:] == third)
+    single = np.zeros(256, bool)
+    single[list(pieces.cut.encode())] = True
+    alone = single[data]
+    begins = mark[3:] & ~mark[:-3] | alone
+    begins[1:] |= alone[:-1]
+    begins[at[:-1][np.diff(at) > 0]] = True
+    starts = np.flatnonzero(begins)
+    cuts = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+    words = pa.Array.from_buffers(pa.string(), len(starts), [None, cuts, pa.py_buffer(data)])
+    return words.dictionary_encode(), np.searchsorted(starts, at)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -344,19 +447,18 @@ def encode(docs: DataFrame, pieces: Pieces, table: dict[str, list[int]] | None =
         encoder = Encoder(Pieces(**parts), known)
         decoder = Decoder(parts["data"])
         for batch in batches:
-            words = batch.column("words")
-            for part in slices(np.diff(words.offsets.to_numpy()).tolist(), 1 << 18):
+            column = pc.fill_null(batch.column("text"), "")
+            for part in slices(pc.binary_length(column).to_pylist(), SLICE):
                 size = part.stop - part.start
-                own = words.slice(part.start, size)
+                own = column.slice(part.start, size)
                 ids, offsets = encoder.encode(own)
-                texts = batch.column("text").slice(part.start, size).to_pylist()
-                wanted = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+                wanted = own.cast(pa.binary()).to_pylist()
                 same = [a == b for a, b in zip(decoder.decode(ids, offsets), wanted, strict=True)]
                 lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids))
                 columns = [batch.column("doc_id").slice(part.start, size), pa.array(np.diff(offsets)), lists, pa.array(same)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "ids", "round_trip"])
 
-    rows = docs.select("doc_id", "text", words_of(F.coalesce("text", F.lit("")), pieces).alias("words"))
+    rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids array<int>, round_trip boolean")
 

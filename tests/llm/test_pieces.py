@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -92,3 +93,26 @@ def test_both_folds_equal_the_library(spark, kind):
         ours, theirs = one_unknown(r.ids), one_unknown(library.encode(text))
         # Equal sums of scores are ties between paths; the library takes another of them.
         assert ours == theirs or kind == pc.UNIGRAM and sorted(ours) == sorted(theirs), text
+
+
+def test_words_are_cut_in_the_task_as_by_the_expression(spark, model):
+    rng = random.Random(3)
+    parts = ["a", "zz", "the ", " ", "  ", "\t", "\n", "▁", " ▁", "é", "日本", "😀", "1", "23", "\x00", "\r\n", "　"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(300)] + ["", " ", "▁", "9", " " * 70]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    wanted = [r.words for r in docs.orderBy("doc_id").select(pc.words_of(F.col("text"), model).alias("words")).collect()]
+    coded, offsets = pc.cut_texts(pa.array(texts), model)
+    words = coded.to_pylist()
+    assert [words[a:b] for a, b in zip(offsets[:-1], offsets[1:])] == wanted
+    assert "regexp_extract_all" not in pc.encode(docs, model, {})._jdf.queryExecution().toString()
+
+
+def test_many_words_fold_as_one_by_one(model):
+    rng = random.Random(8)
+    words = {"".join(rng.choices("abcdefghilmnoprstu" + "aeiot" * 3 + "é日😀", k=rng.randint(1, 45))) for _ in range(900)}
+    words = sorted(words | {pc.MARK + w for w in words}) + ["", pc.MARK, "🜚"]
+    one = [pc.Encoder(model).ids(pc.merge_parts(w, model.score)) for w in words]
+    folded = pc.Merges(model).fold(words)
+    assert sum(f is not None for f in folded) > 500
+    assert all(f is None or f == ids for f, ids in zip(folded, one, strict=True))
+    assert pc.Encoder(model).words(words) == one
