@@ -111,8 +111,9 @@ def test_many_words_fold_as_one_by_one(model):
     rng = random.Random(8)
     words = {"".join(rng.choices("abcdefghilmnoprstu" + "aeiot" * 3 + "é日😀", k=rng.randint(1, 45))) for _ in range(900)}
     words = sorted(words | {pc.MARK + w for w in words}) + ["", pc.MARK, "🜚"]
-    one = [pc.Encoder(model).ids(pc.merge_parts(w, model.score)) for w in words]
+    encoder = pc.Encoder(model)
+    one = [encoder.ids(pc.merge_parts(w, model.score)) for w in words]
     folded = pc.Merges(model).fold(words)
     assert sum(f is not None for f in folded) > 500
     assert all(f is None or f == ids for f, ids in zip(folded, one, strict=True))
-    assert pc.Encoder(model).words(words) == one
+    assert encoder.words(words) == one
