@@ -69,12 +69,6 @@ def letter_vectors(dim: int = DIM) -> np.ndarray:
     return np.random.default_rng(SEED).choice(np.float32([-1, 1]), (SYMBOLS, dim))
 
 
-def trigram_vectors(numbers: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """Bound vectors of some trigrams, one row each."""
-    a, b, c = numbers // SYMBOLS**2, numbers // SYMBOLS % SYMBOLS, numbers % SYMBOLS
-    return np.roll(letters[a], 2, 1) * np.roll(letters[b], 1, 1) * letters[c]
-
-
 @dataclass
 class Profiles:
     """Languages, each trigram's product with each unit-length prototype, the symbol table."""
@@ -91,10 +85,11 @@ def bundle(counts: dict[str, tuple[np.ndarray, np.ndarray]], dim: int = DIM) ->
     middle, first = np.roll(letters, 1, 1), np.roll(letters, 2, 1)
     for i, language in enumerate(languages):
         numbers, times = counts[language]
+        every = np.bincount(numbers, times, TRIGRAMS)
+        # The sum over the bound vectors, letter by letter: no vector of a trigram is formed. Sums of whole numbers are exact.
         prototype = np.zeros(dim, np.float64)
-        for at in range(0, len(numbers), 4096):
-            part = slice(at, at + 4096)
-            prototype += times[part].astype(np.float64) @ trigram_vectors(numbers[part], letters)
+        for a, of_a in enumerate(every.reshape(SYMBOLS, SYMBOLS, SYMBOLS)):
+            prototype += first[a] * (middle * (of_a @ letters)).sum(0)
         prototype = (prototype / np.linalg.norm(prototype)).astype(np.float32)
         for a in range(SYMBOLS):  # all b and c at once
             bound = (first[a] * middle * prototype) @ letters.T

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -62,3 +64,19 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     found = QUERIES["op9_hyperdimensional_language"](spark, SF).join(docs, "doc_id").where("held_out")
     assert found.where("lang = lang_pred").count() >= 0.98 * found.count()
+
+
+def test_profiles_of_many_trigrams_take_little_memory_and_are_the_sums_of_their_vectors():
+    rng = np.random.default_rng(3)
+    numbers = np.sort(rng.choice(hyperlang.TRIGRAMS, 9000, replace=False))
+    times = rng.integers(1, 10**7, len(numbers))
+    hyperlang.bundle({"x": (numbers[:9], times[:9])})
+    tracemalloc.start()
+    products = hyperlang.bundle({"x": (numbers, times)}).products
+    assert tracemalloc.get_traced_memory()[1] < 80e6  # 330 MB with vectors of 4096 trigrams at once
+    tracemalloc.stop()
+    letters = hyperlang.letter_vectors()
+    bound = lambda n: np.roll(letters[n // 4096], 2) * np.roll(letters[n // 64 % 64], 1) * letters[n % 64]
+    prototype = sum(np.float64(t) * bound(n) for n, t in zip(numbers, times, strict=True))
+    prototype /= np.linalg.norm(prototype)
+    assert all(abs(products[n, 0] - bound(n) @ prototype) < 1e-3 for n in numbers[:50])
