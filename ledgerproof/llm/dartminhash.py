@@ -27,7 +27,10 @@ Members of buckets with several classes left get keys of their own: ``LONG_KEYS`
 tenth of all cases, so unlike texts of a large group hardly meet any more. In each round
 every key with several classes names leaders among all but its largest class, one at first and
 ``LEADERS`` times as many as before in each further round, and all members of other classes are compared
-with these; what is linked by then, by any chain, is one class and is not compared. Of two
+with these; what is linked by then, by any chain, is one class and is not compared. Neither are
+two members that cannot reach ``THRESHOLD`` for certain: what stands in one member alone, of all
+that wait, is shared with nobody, so the smaller number of shared runs bounds what two have in
+common. One that is too far from everything this way gets no keys. Of two
 classes the pair that looks most alike is compared first and the others only if it fails. So two documents
 that share a bucket, a key and pass the screen end in one class, but for estimates more than
 ``MARGIN`` too low (3e-5 a pair), and a bucket that is one large class costs one comparison a
@@ -48,7 +51,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerproof.llm.common import packed, settle, slices, token_hashes
@@ -260,6 +263,46 @@ def _first_round(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) ->
     return settle(_thinned(links), "thinned"), left
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of every run of every document, numbered among the equal ones, as rows (doc, run)."""
+    for batch in batches:
+        tokens, docs = batch.column("tokens"), batch.column("doc").to_numpy()
+        offsets = tokens.offsets.to_numpy().astype(np.int64)
+        values = tokens.values.to_numpy(zero_copy_only=False)
+        for part in slices(np.diff(offsets).tolist()):
+            edge = offsets[part.start : part.stop + 1]
+            hashed, bounds = shingles(values[edge[0] : edge[-1]], edge - edge[0])
+            owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            order = np.lexsort((hashed, owner))
+            run, owner = hashed[order], owner[order]
+            first = np.ones(len(run), bool)
+            first[1:] = (run[1:] != run[:-1]) | (owner[1:] != owner[:-1])
+            at = np.arange(len(run))
+            unit = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+            rows = [pa.array(docs[part][owner]), pa.array(mixed(run + mixed(unit + np.uint64(7))).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(rows, ["doc", "run"])
+
+
+def _reachable(shared: Column, runs: Column, other_runs: Column) -> Column:
+    """Whether documents of so many runs can be linked with at most ``shared`` in common."""
+    return shared >= (THRESHOLD - 1e-9) * (runs + other_runs - shared)
+
+
+def _hopeful(left: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(doc, runs, shared) of those of ``left`` that can be linked to another: how many runs, and how many not alone in it.
+
+    Equal hashes of different runs only make ``shared`` larger.
+    """
+    runs = settle(left.join(tokens, "doc").select("doc", "tokens").mapInArrow(_runs, "doc long, run long"), "runs")
+    alone = runs.groupBy("run").agg(F.count("*").alias("n"), F.min("doc").alias("doc")).where("n = 1")
+    alone = alone.groupBy("doc").agg(F.count("*").alias("alone"))
+    counted = runs.groupBy("doc").agg(F.count("*").alias("runs")).join(alone, "doc", "left")
+    shared = F.col("runs") - F.coalesce("alone", F.lit(0))
+    counted = counted.select("doc", "runs", shared.alias("shared"))
+    # The best that could be met is what is shared, and no more.
+    return settle(counted.where(_reachable(F.col("shared"), F.col("runs"), F.col("shared"))), "hopeful")
+
+
 def long_keys(sketch: np.ndarray) -> np.ndarray:
     """A hash of ``LONG_ROWS`` drawn bytes of a sketch for each of ``LONG_KEYS`` draws, documents x LONG_KEYS."""
     draw = np.random.default_rng(LONG_KEYS)
@@ -273,12 +316,12 @@ def long_keys(sketch: np.ndarray) -> np.ndarray:
 
 def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs = batch.column("doc").to_numpy()
-        sketch = batch.column("sketch").flatten().to_numpy().view(np.uint8).reshape(len(docs), COORDINATES)
-        for at in range(0, len(docs), 256):
+        known = [batch.column(c).to_numpy() for c in ("doc", "runs", "shared")]
+        sketch = batch.column("sketch").flatten().to_numpy().view(np.uint8).reshape(batch.num_rows, COORDINATES)
+        for at in range(0, batch.num_rows, 256):
             keys = long_keys(sketch[at : at + 256])
-            rows = [pa.array(keys.ravel()), pa.array(np.repeat(docs[at : at + 256], LONG_KEYS))]
-            yield pa.RecordBatch.from_arrays(rows, ["bucket", "doc"])
+            rows = [pa.array(np.repeat(c[at : at + 256], LONG_KEYS)) for c in known]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *rows], ["bucket", "doc", "runs", "shared"])
 
 
 def _merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
@@ -292,14 +335,14 @@ def _merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _of_classes(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, doc, class, open) of the buckets with several classes; of each one class is not open."""
+    """Members of the buckets with several classes, with (class, open); of each bucket one class is not open."""
     own = members.join(labels, F.col("doc") == F.col("node"), "left")
-    own = own.select("bucket", "doc", F.coalesce("label", "doc").alias("class"))
+    own = own.select(*members.columns, F.coalesce("label", "doc").alias("class"))
     # The largest class need not lead: of any two classes one is open.
     sizes = own.groupBy("bucket", "class").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("most"), F.count("*").alias("classes"))
     several = own.join(largest.where("classes > 1"), "bucket")
-    return settle(several.select("bucket", "doc", "class", (F.col("class") != F.col("most.class")).alias("open")), "members")
+    return settle(several.select(*members.columns, "class", (F.col("class") != F.col("most.class")).alias("open")), "members")
 
 
 def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -307,8 +350,8 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
     links, left = _first_round(waiting, sketches, tokens)
     labels = components(links)
     left = _of_classes(left, labels).select("doc").distinct()
-    keys = left.join(sketches, "doc").select("doc", "sketch").mapInArrow(_long, "bucket long, doc long")
-    keys = settle(keys, "long-keys")
+    keys = _hopeful(left, tokens).join(sketches, "doc").select("doc", "runs", "shared", "sketch")
+    keys = settle(keys.mapInArrow(_long, "bucket long, doc long, runs long, shared long"), "long-keys")
     several = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members, leading = _of_classes(keys.join(several, "bucket"), labels), 1
     linked = F.col("similarity") >= THRESHOLD
@@ -316,8 +359,11 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
         # The ranks are cut in the map tasks first, so that a large bucket is no task's load.
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))
         leaders = members.where("open").withColumn("rank", rank).where(F.col("rank") <= leading)
-        leaders = settle(leaders.select("bucket", F.col("doc").alias("leader"), F.col("class").alias("of")), "leaders")
+        own = (F.col(c).alias(f"leader_{c}") for c in ("runs", "shared"))
+        leaders = settle(leaders.select("bucket", F.col("doc").alias("leader"), F.col("class").alias("of"), *own), "leaders")
+        common = F.least("shared", "leader_shared")
         pairs = members.join(leaders, "bucket").where(F.col("class") != F.col("of"))
+        pairs = pairs.where(_reachable(common, F.col("runs"), F.col("leader_runs")))
         pairs = pairs.select(
             F.least("doc", "leader").alias("doc"),
             F.greatest("doc", "leader").alias("leader"),
@@ -341,7 +387,7 @@ def _links(waiting: DataFrame, sketches: DataFrame, tokens: DataFrame) -> DataFr
             labels = settle(_merged(labels, components(new)), "merged")
         # Leaders have met everyone in their bucket and are done.
         done = leaders.select("bucket", F.col("leader").alias("doc"))
-        members = _of_classes(members.select("bucket", "doc").join(done, ["bucket", "doc"], "left_anti"), labels)
+        members = _of_classes(members.drop("class", "open").join(done, ["bucket", "doc"], "left_anti"), labels)
         leading *= LEADERS
     return links
 

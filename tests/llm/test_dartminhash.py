@@ -196,3 +196,35 @@ def test_signing_takes_little_memory_and_slices_do_not_matter(monkeypatch):
     tracemalloc.stop()
     monkeypatch.setattr(dm, "SLICE", 500)
     assert signed.to_pylist() == pa.Table.from_batches(list(dm._sign(iter([batch])))).to_pylist()
+
+
+def test_documents_near_a_group_are_not_compared_with_all_of_it(spark, monkeypatch):
+    """25 texts of 0.7 to 0.78 to a group of 60 met nearly all of its members."""
+    rng = random.Random(3)
+    base = prose(rng, 150).split()
+
+    def changed(n, at):
+        words = base.copy()
+        for k, p in enumerate(rng.sample(range(5, 145, 6), n)):
+            words[p] = f"new{at}x{k}"
+        return " ".join(words)
+
+    rows = [(i, changed(1, i)) for i in range(60)] + [(100 + i, changed(4 + i % 2, 100 + i)) for i in range(25)]
+    pairs, screened = [], dm._screened
+
+    def counted(these, sketches, least):
+        if least > dm.NEAR:
+            pairs.append(these.count())
+        return screened(these, sketches, least)
+
+    monkeypatch.setattr(dm, "_screened", counted)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == classes_by_hand(rows)
+    assert sum(pairs) < 100
+
+
+def test_runs_of_one_document_alone_bound_what_it_shares(spark):
+    tokens = [(1, [*range(50)]), (2, [*range(46), 91, 92, 93, 94]), (3, [*range(30), *range(60, 80)]), (4, [7, 7, 7, 7, 7, 7]), (5, [7] * 7), (6, [])]
+    tokens = spark.createDataFrame(tokens, "doc long, tokens array<long>")
+    got = {r.doc: (r.runs, r.shared) for r in dm._hopeful(tokens.select("doc"), tokens).collect()}
+    # 4 has two equal runs, 5 has three; of 3 only 26 runs of 46 stand elsewhere.
+    assert got == {1: (46, 42), 2: (46, 42), 4: (2, 2)}
